@@ -53,12 +53,13 @@ def concentration_to_aqi(value: Column | str, pollutant: str) -> Column:
     edges = UPPER_EDGES[pollutant]
     step = 10.0**-decimals
     lower_edges = (0.0, *(round(edge + step, decimals) for edge in edges[:-1]))
-    index = F.when(conc > edges[-1], F.lit(float(TOP_INDEX)))
+    # Truncated values leave no gap between bands, so the upper edges alone tell them apart.
+    index = F.when(conc < 0, F.lit(None).cast("double"))
     for (i_low, i_high), c_low, c_high in zip(INDEX_BANDS, lower_edges, edges):
         slope = (i_high - i_low) / (c_high - c_low)
         line = F.lit(slope) * (conc - F.lit(c_low)) + F.lit(float(i_low))
-        index = index.when(conc.between(c_low, c_high), F.rint(line))
-    return index
+        index = index.when(conc <= c_high, F.rint(line))
+    return index.when(conc > edges[-1], F.lit(float(TOP_INDEX)))
 
 
 def aqi_category(aqi: Column | str) -> Column:

@@ -30,18 +30,15 @@ def build_sensors(
     measurements: DataFrame, gazetteer: DataFrame, keep_moves: bool = False
 ) -> DataFrame:
     """`sensors` table: device, coordinates, and city / region / country of the nearest settlement."""
-    coordinates = sensor_coordinates(measurements, keep_moves)
-    found = nearest_settlement(coordinates.select("latitude", "longitude").distinct(), gazetteer)
-    same_place = coordinates.latitude.eqNullSafe(found.latitude) & coordinates.longitude.eqNullSafe(
-        found.longitude
-    )
-    return coordinates.join(found, same_place, "left").select(
-        coordinates.device_id,
-        coordinates.latitude,
-        coordinates.longitude,
-        found.name.alias("city"),
-        found.admin1.alias("region"),
-        found.cc.alias("country_code"),
+    coordinates = sensor_coordinates(measurements, keep_moves).alias("sensor")
+    spots = coordinates.select("latitude", "longitude").distinct()
+    found = nearest_settlement(spots, gazetteer).alias("place")
+    same_spot = [F.col(f"sensor.{c}") == F.col(f"place.{c}") for c in ("latitude", "longitude")]
+    return coordinates.join(found, same_spot, "left").select(
+        "sensor.*",
+        F.col("place.name").alias("city"),
+        F.col("place.admin1").alias("region"),
+        F.col("place.cc").alias("country_code"),
     )
 
 

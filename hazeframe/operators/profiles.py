@@ -117,16 +117,20 @@ def season_contrast(seasonal: DataFrame, column: str = "pm25_raw") -> DataFrame:
 
 
 def value_counts(df: DataFrame, column: str, keep_nulls: bool = False) -> DataFrame:
-    """(value, n), most frequent first."""
-    rows = df if keep_nulls else df.where(F.col(column).isNotNull())
-    counts = rows.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    """(value, n), most frequent first.
+
+    The NULL group is recognised by its count of values. A filter on the column itself would be pushed below
+    the expressions that compute it and evaluate them twice.
+    """
+    counted = F.count(F.lit(1)) if keep_nulls else F.count(column)
+    counts = df.groupBy(column).agg(counted.alias("n")).where("n > 0")
     return counts.orderBy(F.col("n").desc(), F.col(column).asc_nulls_last())
 
 
 def pair_counts(df: DataFrame, group: str, label: str) -> DataFrame:
     """(group, label, n) over rows where both are known."""
-    known = df.where(F.col(group).isNotNull() & F.col(label).isNotNull())
-    return known.groupBy(group, label).agg(F.count(F.lit(1)).alias("n")).orderBy(group, label)
+    known = F.count(F.when(F.col(group).isNotNull(), F.col(label)))
+    return df.groupBy(group, label).agg(known.alias("n")).where("n > 0").orderBy(group, label)
 
 
 def span(df: DataFrame, column: str) -> DataFrame:

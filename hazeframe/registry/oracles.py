@@ -175,8 +175,8 @@ featured AS (SELECT *, {plain(lag_sql(target))}, {plain(rolling_sql(target))},
   lead({target}, 1) {W}) AS target, {plain(CYCLES)}, {plain(FLAGS)} FROM grid),
 data AS (SELECT *, {target} - lag_3h AS delta_3h FROM featured
   WHERE {target} IS NOT NULL AND target IS NOT NULL AND lag_1h IS NOT NULL),
-split AS (SELECT quantile_cont(epoch_us(timestamp), 0.8) AS at FROM data),
-test AS (SELECT data.* FROM data, split WHERE epoch_us(timestamp) > at)"""
+split AS (SELECT quantile_cont(epoch_us(timestamp), 0.8) AS cut_us FROM data),
+test AS (SELECT data.* FROM data, split WHERE epoch_us(timestamp) > cut_us)"""
 
 
 FEATURE_DOUBLES = [
@@ -489,7 +489,7 @@ add("missing_features", [READINGS, DATA], f"""
 SELECT {r('(' + ' + '.join(f"avg(CASE WHEN {c} IS NULL THEN 1.0::DOUBLE ELSE 0 END)" for c in ALL_FEATURES)
 + f') * 100 / {len(ALL_FEATURES)}', 'missing_pct')} FROM data""")
 add("time_split", [READINGS, DATA], """
-SELECT CASE WHEN epoch_us(timestamp) <= at THEN 'train' ELSE 'test' END AS part, count(*) AS n,
+SELECT CASE WHEN epoch_us(timestamp) <= cut_us THEN 'train' ELSE 'test' END AS part, count(*) AS n,
 min(timestamp) AS "first", max(timestamp) AS "last" FROM data, split GROUP BY 1""")
 add("persistence_metrics", [READINGS, DATA], f"""
 SELECT {r('avg(abs(target - pm25_raw))', 'mae')}, {r('sqrt(avg((target - pm25_raw) ** 2))', 'rmse')},

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
 from pathlib import Path
 
 import duckdb
-import pandas as pd
+from pyspark.sql import DataFrame
+
+Rows = tuple[list[str], list[tuple]]
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
@@ -16,36 +17,31 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
-def normal(frame: pd.DataFrame) -> pd.DataFrame:
-    """Columns by name, cells as text, rows in order."""
-    frame = frame[sorted(frame.columns)].copy()
-    for name in frame.columns:
-        kind = frame[name].dtype.kind
-        if kind == "M":
-            frame[name] = frame[name].astype("datetime64[us]")
-        if kind == "f" and frame[name].notna().all() and False:
-            frame[name] = frame[name].astype(float)
-        frame[name] = [None if pd.isna(v) else repr(v) if isinstance(v, float) else str(v) for v in frame[name]]
-    return frame.sort_values(list(frame.columns), na_position="first").reset_index(drop=True)
+def spark_rows(df: DataFrame) -> Rows:
+    return df.columns, [tuple(row) for row in df.collect()]
 
 
-def digest(frame: pd.DataFrame) -> str:
-    return hashlib.sha256(normal(frame).to_csv(index=False).encode()).hexdigest()
+def duck_rows(connection: duckdb.DuckDBPyConnection, sql: str) -> Rows:
+    result = connection.execute(sql)
+    return [item[0] for item in result.description], result.fetchall()
 
 
-def kinds(frame: pd.DataFrame) -> dict[str, str]:
-    return {name: frame[name].dtype.kind for name in sorted(frame.columns)}
+def normal(rows: Rows) -> list[tuple]:
+    """Columns by name, cells with their Python type and exact value, rows in order."""
+    names, cells = rows
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(tuple(f"{type(row[i]).__name__}:{row[i]!r}" for i in order) for row in cells)
 
 
-def difference(left: pd.DataFrame, right: pd.DataFrame) -> str:
-    """Empty text if both hold the same rows, else a short account."""
-    if sorted(left.columns) != sorted(right.columns):
-        return f"columns {sorted(left.columns)} != {sorted(right.columns)}"
-    if len(left) != len(right):
-        return f"{len(left)} rows != {len(right)} rows"
+def difference(left: Rows, right: Rows) -> str:
+    """Empty text if both hold the same columns and rows, else a short account."""
+    if sorted(left[0]) != sorted(right[0]):
+        return f"columns {sorted(left[0])} != {sorted(right[0])}"
+    if len(left[1]) != len(right[1]):
+        return f"{len(left[1])} rows != {len(right[1])} rows"
     a, b = normal(left), normal(right)
-    if a.equals(b):
+    pairs = [(x, y) for x, y in zip(a, b) if x != y]
+    if not pairs:
         return ""
-    differing = [c for c in a.columns if not a[c].equals(b[c])]
-    rows = (a != b).any(axis=1) & ~(a.isna() & b.isna()).all(axis=1)
-    return f"columns {differing}\n{a[rows].head(4).to_string()}\n{b[rows].head(4).to_string()}"
+    fields = [f"{n}: {x} | {y}" for n, x, y in zip(sorted(left[0]), *pairs[0]) if x != y]
+    return f"{len(pairs)} rows differ, first: {pairs[0]}\n   " + "\n   ".join(fields)
