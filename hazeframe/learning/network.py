@@ -9,6 +9,7 @@ data size). Rows never leave the executors, and a lost task is simply rerun from
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 LEARNING_RATE, BETA1, BETA2, EPSILON = 1e-3, 0.9, 0.999, 1e-8
 BATCH, DECAY = 200, 1e-4
+ROWS_PER_TASK = 50_000
 VALIDATION_SHARE, PATIENCE, TOLERANCE = 0.1, 10, 1e-4
 
 
@@ -161,13 +163,15 @@ def fit_network(
     improved for ten epochs, and the best parameters are returned.
     """
     spark = train.sparkSession
+    tasks = max(1, math.ceil(train.count() / ROWS_PER_TASK))
     in_tenth = F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(1000)) < int(1000 * VALIDATION_SHARE)
     mixed = F.xxhash64(*key)
-    # Spread by key hash: every task gets an even share of all sensors, in a repeatable order.
+    # Spread by key hash: every task gets an even share of all sensors, in a repeatable order, and
+    # enough rows for many mini-batches between two rounds of averaging.
     rows = (
         preparation.transform(train)
         .select(mixed.alias("mixed"), vector_to_array("features").alias("x"), "target", in_tenth.alias("held_out"))
-        .repartition("mixed")
+        .repartition(tasks, "mixed")
         .sortWithinPartitions("mixed")
         .select("x", "target", "held_out")
         .persist()

@@ -6,7 +6,9 @@ import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -120,7 +122,12 @@ def run_targets(
     targets: Sequence[str] = TARGETS,
     trainers: dict[str, Trainer] | None = None,
 ) -> list[TargetRun]:
-    return [run_target(measurements, sensors, target, trainers) for target in targets]
+    """All targets side by side: boosting is a long chain of small jobs that leaves executors idle."""
+    run = inheritable_thread_target(measurements.sparkSession)(
+        lambda target: run_target(measurements, sensors, target, trainers)
+    )
+    with ThreadPool(len(targets)) as pool:
+        return pool.map(run, targets)
 
 
 def all_metrics(runs: Sequence[TargetRun]) -> DataFrame:

@@ -44,13 +44,18 @@ def fill_gaps(
 
 
 def hourly_grid(measurements: DataFrame, sensors: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per device, city and UTC hour with hourly means; hours without readings are NULL."""
+    """One row per device, city and UTC hour with hourly means; hours without readings are NULL.
+
+    The grid is laid per device before the sensor join, so that it, the join and all later windows
+    share one partitioning by device.
+    """
     hour = F.date_trunc("hour", "timestamp").alias("timestamp")
     hourly = measurements.groupBy("device_id", hour).agg(
         *[F.avg(to_number(c)).alias(c) for c in columns]
     )
-    located = join_sensors(hourly, sensors).where(F.col("city").isNotNull())
-    return fill_gaps(located, ["device_id", "city"], "timestamp", columns)
+    grid = fill_gaps(hourly, ["device_id"], "timestamp", columns)
+    located = join_sensors(grid, sensors).where(F.col("city").isNotNull())
+    return located.select("device_id", "city", "timestamp", *columns)
 
 
 def resample(
