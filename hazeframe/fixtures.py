@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeframe.functions.air_index import concentration_to_aqi
+from hazeframe.functions.air_index import cut, index_of_cut
 
 N_CITIES = 7
 
@@ -28,6 +28,9 @@ def readings(spark: SparkSession, folder: str) -> DataFrame:
     )
     i, v = F.col("event_id"), F.col("value")
     no2 = F.when(i % 7 != 0, F.when(i % 5 == 0, F.col("k") * 25).otherwise(F.col("k")))
+    events = events.withColumns({"no2": no2, "nowcast": F.when(i % 6 != 0, v * 0.8)}).withColumns(
+        {"no2_cut": cut("no2", "no2"), "nowcast_cut": cut("nowcast", "pm25")}
+    )
     null = F.lit(None).cast("double")
     return events.select(
         "event_id",
@@ -35,12 +38,12 @@ def readings(spark: SparkSession, folder: str) -> DataFrame:
         "timestamp",
         v.alias("pm25_raw"),
         F.when(i % 3 != 0, v * 0.9).alias("pm25_24h_raw"),
-        F.when(i % 6 != 0, v * 0.8).alias("pm25_nowcast"),
-        (concentration_to_aqi(F.when(i % 6 != 0, v * 0.8), "pm25") + i % 2).alias("pm25_nowcast_aqi_epa"),
+        F.col("nowcast").alias("pm25_nowcast"),
+        (index_of_cut("nowcast_cut", "pm25") + i % 2).alias("pm25_nowcast_aqi_epa"),
         (v * 1.4 + i % 41 - 10).alias("pm10_raw"),
         F.when(i % 4 != 0, v * 1.2 + i % 37).alias("pm10_24h_raw"),
-        no2.alias("no2_raw"),
-        (concentration_to_aqi(no2, "no2") + i % 3).alias("no2_aqi_epa"),
+        F.col("no2").alias("no2_raw"),
+        (index_of_cut("no2_cut", "no2") + i % 3).alias("no2_aqi_epa"),
         null.alias("o3_raw"),
         (F.col("user_id") % 30).cast("double").alias("temp_internal"),
         F.when(i % 10 != 0, (i % 100).cast("double")).alias("humidity_internal"),

@@ -46,11 +46,15 @@ def truncate(value: Column | str, decimals: int) -> Column:
     return F.floor(as_column(value) * F.lit(scale)).cast("double") / F.lit(scale)
 
 
-def concentration_to_aqi(value: Column | str, pollutant: str) -> Column:
-    """Index of one concentration: NULL when missing or negative, 500 above the top band."""
-    decimals = DECIMALS[pollutant]
-    conc = truncate(value, decimals)
-    edges = UPPER_EDGES[pollutant]
+def cut(value: Column | str, pollutant: str) -> Column:
+    """Concentration as the index tables take it: truncated to the decimals of the pollutant."""
+    return truncate(value, DECIMALS[pollutant])
+
+
+def index_of_cut(conc: Column | str, pollutant: str) -> Column:
+    """Index of a truncated concentration: NULL when missing or negative, 500 above the top band."""
+    conc = as_column(conc)
+    decimals, edges = DECIMALS[pollutant], UPPER_EDGES[pollutant]
     step = 10.0**-decimals
     lower_edges = (0.0, *(round(edge + step, decimals) for edge in edges[:-1]))
     # Truncated values leave no gap between bands, so the upper edges alone tell them apart.
@@ -62,6 +66,12 @@ def concentration_to_aqi(value: Column | str, pollutant: str) -> Column:
     return index.when(conc > edges[-1], F.lit(float(TOP_INDEX)))
 
 
+def concentration_to_aqi(value: Column | str, pollutant: str) -> Column:
+    """Index of one concentration. For large inputs, select `cut` first and apply `index_of_cut` to that
+    column: the ladder refers to its input many times."""
+    return index_of_cut(cut(value, pollutant), pollutant)
+
+
 def aqi_category(aqi: Column | str) -> Column:
     """Band of a whole-numbered index, NULL outside every band."""
     aqi = as_column(aqi)

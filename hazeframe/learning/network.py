@@ -10,16 +10,21 @@ from __future__ import annotations
 
 import json
 import math
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Task functions travel by value: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LEARNING_RATE, BETA1, BETA2, EPSILON = 1e-3, 0.9, 0.999, 1e-8
 BATCH, DECAY = 200, 1e-4
 ROWS_PER_TASK = 50_000

@@ -1,10 +1,15 @@
 """Exact quantiles of whole columns without gathering a column in one task.
 
-Spark's `percentile` merges a value -> count map of the entire group in a single task. Here the values are first
-counted in parallel, then the wanted ranks are narrowed down: each round splits the current
-value range of a rank into equal bins, adds up the bin counts (at most `BINS` rows per rank), and keeps the bin
-that holds the rank. After the rounds a bin holds a handful of distinct values, which are ranked directly.
-The counted values are read by several branches of one plan; Spark computes their shuffle once.
+Spark's `percentile` merges a value -> count map of the entire group in a single task. Here three scans find the
+values at the wanted ranks:
+
+1. mergeable sketches give approximate quantiles a little below and above each probability;
+2. these cut each column into a few segments, whose exact counts tell which segment holds which rank
+   (the sketch only decides how narrow that segment is, never which value is returned);
+3. the values of those segments alone - about a 2,500th of the rows per rank - are counted, split once
+   more into equal bins, and ranked inside one bin.
+
+Nothing but sketches, segment counts and the narrow segments is ever shuffled.
 """
 
 from __future__ import annotations
@@ -16,86 +21,107 @@ from pyspark.sql import functions as F
 
 from hazeframe.functions.numeric import to_number
 
+ACCURACY = 10_000
+MARGIN = 2.0 / ACCURACY
 BINS = 1 << 14
-ROUNDS = 2
 
 
-def value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value, n) of the present values; a frequent value is combined before the shuffle."""
-    long = df.select(*[to_number(c).alias(c) for c in columns]).unpivot(
-        [], list(columns), "column", "value"
-    )
-    return (
-        long.where(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+def cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(position, value) of the present values; position is the index of the column."""
+    values = F.array(*[to_number(c) for c in columns])
+    return df.select(F.posexplode(values).alias("position", "value")).where("value IS NOT NULL")
 
 
-def _bin() -> Column:
-    """Bin of `value` in [low, high]. Monotone in the value, so bins keep the order of ranks."""
-    width = F.col("high") - F.col("low")
-    position = (F.col("value") - F.col("low")) / F.nullif(width, F.lit(0.0)) * F.lit(float(BINS))
-    return F.coalesce(F.least(F.floor(position), F.lit(BINS - 1)), F.lit(0))
+def column_at(columns: Sequence[str]) -> Column:
+    """Column name of `position`."""
+    return F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("position") + 1)
+
+
+def _edges(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """(position, edges): ascending approximate quantiles around each probability, one row per column."""
+    around = sorted(
+        {min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-MARGIN, MARGIN)}
+    )
+    sketches = [
+        F.percentile_approx(to_number(c), around, ACCURACY).alias(f"c{i}") for i, c in enumerate(columns)
+    ]
+    row = df.agg(*sketches)
+    return row.select(F.posexplode(F.array(*row.columns)).alias("position", "edges")).where(
+        "edges IS NOT NULL"
+    )
 
 
 def _first_reaching(rows: DataFrame, order: str, keep: Sequence[str]) -> DataFrame:
-    """Per (column, rank): the first row in `order` whose running count passes the rank."""
-    running = Window.partitionBy("column", "rank").orderBy(order)
+    """Per (position, rank): the first row in `order` whose running count passes the rank."""
+    running = Window.partitionBy("position", "rank").orderBy(order)
     upto = rows.withColumn("upto", F.col("below") + F.sum("n").over(running))
     hit = (F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank"))
-    return upto.where(hit).select("column", "rank", *keep, (F.col("upto") - F.col("n")).alias("below"))
+    return upto.where(hit).select("position", "rank", *keep, (F.col("upto") - F.col("n")).alias("below"))
 
 
-def values_at_ranks(frequencies: DataFrame, ranks: DataFrame) -> DataFrame:
-    """(column, rank, value) for wanted 0-based ranks given as (column, rank, low, high, below = 0).
-
-    `ranks` is two rows per column and probability, a size fixed by the call, hence the broadcast.
-    """
-    for _ in range(ROUNDS):
-        inside = frequencies.join(F.broadcast(ranks), "column").where("value BETWEEN low AND high")
-        bins = inside.groupBy("column", "rank", "below", _bin().alias("bin")).agg(
-            F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
-        )
-        ranks = _first_reaching(bins, "bin", ["low", "high"])
-    inside = frequencies.join(F.broadcast(ranks), "column").where("value BETWEEN low AND high")
-    return _first_reaching(inside, "value", ["value"]).select("column", "rank", "value")
+def _bin() -> Column:
+    """Bin of `value` in [low, high]. Monotone in the value, so bins keep the order of ranks."""
+    width = F.col("high") - F.col("low")
+    place = (F.col("value") - F.col("low")) / F.nullif(width, F.lit(0.0)) * F.lit(float(BINS))
+    return F.coalesce(F.least(F.floor(place), F.lit(BINS - 1)), F.lit(0))
 
 
-def quantiles_of(frequencies: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    """(column, probability, value) by linear interpolation between neighbouring ranks."""
-    totals = frequencies.groupBy("column").agg(
-        F.sum("n").alias("total"), F.min("value").alias("low"), F.max("value").alias("high")
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
+) -> DataFrame:
+    """(column, probability, value) by linear interpolation; columns without a value are absent."""
+    values = cells(df, columns)
+    edges = _edges(df, columns, probabilities)
+    n_edges = 2 * len(probabilities)
+    segment = sum((F.col("value") > F.get("edges", F.lit(i))).cast("int") for i in range(n_edges))
+    # Broadcast tables below hold a few rows per column and probability.
+    segments = (
+        values.join(F.broadcast(edges), "position")
+        .groupBy("position", F.coalesce(segment, F.lit(0)).alias("segment"))
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+        )
+    )
+    place = (F.col("total") - 1) * F.col("probability")
+    wanted = (
+        segments.groupBy("position")
+        .agg(F.sum("n").alias("total"))
+        .withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
+        .select(
+            "position",
+            "probability",
+            F.floor(place).alias("lower_rank"),
+            F.ceil(place).alias("upper_rank"),
+            (place - F.floor(place)).alias("fraction"),
+        )
+    )
+    ranks = wanted.select("position", F.explode(F.array("lower_rank", "upper_rank")).alias("rank")).distinct()
+    start = segments.join(F.broadcast(ranks), "position").withColumn("below", F.lit(0).cast("bigint"))
+    holders = _first_reaching(start, "segment", ["low", "high"])
+
+    inside = (
+        values.join(F.broadcast(holders), "position")
+        .where("value BETWEEN low AND high")
+        .groupBy("position", "rank", "low", "high", "below", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    probability = F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
-    position = (F.col("total") - 1) * F.col("probability")
-    wanted = totals.withColumn("probability", probability).select(
-        "column",
-        "probability",
-        "low",
-        "high",
-        F.floor(position).alias("lower_rank"),
-        F.ceil(position).alias("upper_rank"),
-        (position - F.floor(position)).alias("fraction"),
+    bins = inside.groupBy("position", "rank", "below", _bin().alias("bin")).agg(
+        F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
     )
-    both = F.explode(F.array("lower_rank", "upper_rank"))
-    ranks = wanted.select(
-        "column", both.alias("rank"), "low", "high", F.lit(0).cast("bigint").alias("below")
-    ).distinct()
-    found = values_at_ranks(frequencies, ranks)
-    ends = wanted.join(F.broadcast(found), "column").where("rank IN (lower_rank, upper_rank)")
+    narrow = _first_reaching(bins, "bin", ["low", "high"])
+    candidates = inside.select("position", "rank", "value", "n").join(
+        F.broadcast(narrow), ["position", "rank"]
+    )
+    found = _first_reaching(candidates.where("value BETWEEN low AND high"), "value", ["value"])
+
+    ends = wanted.join(F.broadcast(found), "position").where("rank IN (lower_rank, upper_rank)")
     lower = F.max(F.when(F.col("rank") == F.col("lower_rank"), F.col("value")))
     upper = F.max(F.when(F.col("rank") == F.col("upper_rank"), F.col("value")))
-    return ends.groupBy("column", "probability", "fraction").agg(
-        (lower + (upper - lower) * F.col("fraction")).alias("value")
-    ).select("column", "probability", "value")
-
-
-def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
-) -> DataFrame:
-    """(column, probability, value); columns without a value are absent."""
-    return quantiles_of(value_frequencies(df, columns), probabilities)
+    return (
+        ends.groupBy("position", "probability", "fraction")
+        .agg((lower + (upper - lower) * F.col("fraction")).alias("value"))
+        .select(column_at(columns).alias("column"), "probability", "value")
+    )
 
 
 def quantile_table(quantiles: DataFrame, names: dict[float, str]) -> DataFrame:

@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-from itertools import combinations
+import sys
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeframe.functions.numeric import pearson, ratio, sample_skewness
 from hazeframe.operators.cleaning import filled_counts
-from hazeframe.operators.quantiles import (
-    exact_quantiles,
-    quantile_table,
-    quantiles_of,
-    value_frequencies,
-)
+from hazeframe.operators.quantiles import cells, column_at, exact_quantiles, quantile_table
+
+# Task functions travel by value: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 QUARTILES = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
-PAIRS_PER_PASS = 64
+# Relative size below which a difference of sums is taken for rounding error.
+ROUNDING = 1e-11
 
 
 def _per_column(df: DataFrame, columns: Sequence[str], stats: dict[str, object]) -> DataFrame:
@@ -84,25 +85,27 @@ def skewness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def iqr_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, outlier_pct): share of present values strictly beyond 1.5 IQR, largest first.
-
-    The counted values that gave the quartiles are compared with them, so the readings are scanned once.
-    """
-    frequencies = value_frequencies(df, columns)
-    fences = quantile_table(quantiles_of(frequencies, (0.25, 0.75)), {0.25: "q1", 0.75: "q3"})
+    """(column, outlier_pct): share of present values strictly beyond 1.5 IQR, largest first."""
+    quartiles = quantile_table(exact_quantiles(df, columns, (0.25, 0.75)), {0.25: "q1", 0.75: "q3"})
     reach = (F.col("q3") - F.col("q1")) * 1.5
-    outside = (F.col("value") < F.col("q1") - reach) | (F.col("value") > F.col("q3") + reach)
+    order = F.array(*[F.lit(c) for c in columns])
+    fences = quartiles.select(
+        (F.array_position(order, F.col("column")) - 1).cast("int").alias("position"),
+        (F.col("q1") - reach).alias("low"),
+        (F.col("q3") + reach).alias("high"),
+    )
+    outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
     shares = (
-        frequencies.join(F.broadcast(fences), "column")
-        .groupBy("column")
-        .agg((F.sum(F.when(outside, F.col("n")).otherwise(0)) * 100.0 / F.sum("n")).alias("pct"))
+        cells(df, columns)
+        .join(F.broadcast(fences), "position")
+        .groupBy("position")
+        .agg((F.count_if(outside) * 100.0 / F.count(F.lit(1))).alias("outlier_pct"))
     )
-    order = F.array(*[F.lit(c) for c in columns])
+    positions = df.sparkSession.range(len(columns)).select(F.col("id").cast("int").alias("position"))
     return (
-        df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
-        .join(F.broadcast(shares), "column", "left")
-        .orderBy(F.col("pct").desc_nulls_last(), F.array_position(order, F.col("column")))
-        .select("column", F.col("pct").alias("outlier_pct"))
+        positions.join(F.broadcast(shares), "position", "left")
+        .orderBy(F.col("outlier_pct").desc_nulls_last(), "position")
+        .select(column_at(columns).alias("column"), "outlier_pct")
     )
 
 
@@ -112,72 +115,120 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 40) -> DataFram
     Every bin is half-open but the last, which is closed; empty bins are listed. A constant column gets the
     range value +- 0.5. Two scans: limits, then counts combined before the shuffle.
     """
-    limits = _per_column(df, columns, {"low": F.min, "high": F.max, "mean": F.avg})
     flat = F.col("low") == F.col("high")
-    limits = limits.where(F.col("low").isNotNull()).select(
-        "column",
-        F.when(flat, F.col("low") - 0.5).otherwise(F.col("low")).alias("low"),
-        F.when(flat, F.col("high") + 0.5).otherwise(F.col("high")).alias("high"),
-        "mean",
+    limits = (
+        _per_column(df, columns, {"low": F.min, "high": F.max, "mean": F.avg})
+        .where(F.col("low").isNotNull())
+        .select(
+            "position",
+            F.when(flat, F.col("low") - 0.5).otherwise(F.col("low")).alias("low"),
+            F.when(flat, F.col("high") + 0.5).otherwise(F.col("high")).alias("high"),
+            "mean",
+        )
+        .withColumn("width", (F.col("high") - F.col("low")) / F.lit(float(bins)))
     )
-    width = (F.col("high") - F.col("low")) / F.lit(float(bins))
 
     def edge(i: Column) -> Column:
-        return F.when(i == bins, F.col("high")).otherwise(F.col("low") + i * width)
+        return F.when(i == bins, F.col("high")).otherwise(F.col("low") + i * F.col("width"))
 
-    guess = F.least(F.floor((F.col("value") - F.col("low")) / width), F.lit(bins - 1))
+    guess = F.least(F.floor((F.col("value") - F.col("low")) / F.col("width")).cast("int"), F.lit(bins - 1))
     # Division may land one bin off; the edges decide.
-    bin_index = (
-        F.when(F.col("value") < edge(guess), guess - 1)
-        .when((guess < bins - 1) & (F.col("value") >= edge(guess + 1)), guess + 1)
-        .otherwise(guess)
+    exact = (
+        F.when(F.col("value") < edge(F.col("guess")), F.col("guess") - 1)
+        .when((F.col("guess") < bins - 1) & (F.col("value") >= edge(F.col("guess") + 1)), F.col("guess") + 1)
+        .otherwise(F.col("guess"))
     )
     counts = (
-        df.select(*columns)
-        .unpivot([], list(columns), "column", "value")
-        .where(F.col("value").isNotNull())
-        .join(F.broadcast(limits), "column")
-        .groupBy("column", bin_index.cast("int").alias("bin"))
+        cells(df, columns)
+        .join(F.broadcast(limits), "position")
+        .withColumn("guess", guess)
+        .groupBy("position", exact.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     slots = limits.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     return (
-        slots.join(F.broadcast(counts), ["column", "bin"], "left")
+        slots.join(F.broadcast(counts), ["position", "bin"], "left")
+        .orderBy("position", "bin")
         .select(
-            "column",
+            column_at(columns).alias("column"),
             "bin",
             edge(F.col("bin")).alias("left"),
             edge(F.col("bin") + 1).alias("right"),
             F.coalesce("n", F.lit(0)).alias("n"),
             "mean",
         )
-        .orderBy("column", "bin")
     )
 
 
+def _pair_sums(width: int):
+    """Task: sums over the rows where both columns of a pair are present, for all pairs at once."""
+    first, second = np.triu_indices(width, 1)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((3 * width, 3 * width))
+        for frame in frames:
+            values = frame.to_numpy(dtype=float, na_value=np.nan)
+            present = ~np.isnan(values)
+            filled = np.where(present, values, 0.0)
+            stacked = np.hstack([filled, present, filled * filled])
+            total += stacked.T @ stacked
+        v, m, s = (slice(i * width, (i + 1) * width) for i in range(3))
+        yield pd.DataFrame(
+            {
+                "pos_a": first,
+                "pos_b": second,
+                "n": total[m, m][first, second],
+                "sum_a": total[v, m][first, second],
+                "sum_b": total[m, v][first, second],
+                "sum_aa": total[s, m][first, second],
+                "sum_bb": total[m, s][first, second],
+                "sum_ab": total[v, v][first, second],
+            }
+        )
+
+    return run
+
+
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(pos_a, pos_b, col_a, col_b, corr) of the upper triangle, pairwise-complete.
 
-    One map-side aggregate per chunk of pairs; nothing but one row of moments per task is shuffled.
+    Hundreds of pairwise aggregates are too many for generated code, so each Arrow batch is reduced to the
+    sums of all pairs by one matrix product; a task hands on one row per pair. Columns are centred first,
+    which keeps the sums well conditioned and makes a constant column exactly zero.
     """
-    pairs = list(combinations(enumerate(columns), 2))
-    chunks = [pairs[i : i + PAIRS_PER_PASS] for i in range(0, len(pairs), PAIRS_PER_PASS)]
-
-    def one_pass(chunk: list) -> DataFrame:
-        row = df.agg(*[pearson(a, b).alias(f"r_{i}_{j}") for (i, a), (j, b) in chunk])
-        cells = [
-            F.struct(
-                F.lit(i).alias("pos_a"),
-                F.lit(j).alias("pos_b"),
-                F.lit(a).alias("col_a"),
-                F.lit(b).alias("col_b"),
-                F.col(f"r_{i}_{j}").alias("corr"),
-            )
-            for (i, a), (j, b) in chunk
-        ]
-        return row.select(F.inline(F.array(*cells)))
-
-    return reduce(DataFrame.unionByName, [one_pass(chunk) for chunk in chunks])
+    centre = df.agg(
+        F.struct(
+            *[
+                F.when(F.min(c) == F.max(c), F.min(c)).otherwise(F.avg(c)).alias(f"c{i}")
+                for i, c in enumerate(columns)
+            ]
+        )
+    ).scalar()
+    centred = df.select(*[(F.col(c) - centre.getField(f"c{i}")).alias(f"c{i}") for i, c in enumerate(columns)])
+    names = ("n", "sum_a", "sum_b", "sum_aa", "sum_bb", "sum_ab")
+    schema = "pos_a int, pos_b int, " + ", ".join(f"{name} double" for name in names)
+    sums = (
+        centred.mapInPandas(_pair_sums(len(columns)), schema)
+        .groupBy("pos_a", "pos_b")
+        .agg(*[F.sum(name).alias(name) for name in names])
+    )
+    n = F.nullif("n", F.lit(0.0))
+
+    def spread(total: str, squares: str) -> Column:
+        shift = F.col(total) * F.col(total) / n
+        # Within rounding of zero: constant wherever the other column is present.
+        return F.when(F.col(squares) - shift > shift * ROUNDING, F.col(squares) - shift)
+
+    shared = F.col("sum_ab") - F.col("sum_a") * F.col("sum_b") / n
+    corr = shared / F.sqrt(spread("sum_a", "sum_aa") * spread("sum_b", "sum_bb"))
+    label = F.array(*[F.lit(c) for c in columns])
+    return sums.select(
+        "pos_a",
+        "pos_b",
+        F.element_at(label, F.col("pos_a") + 1).alias("col_a"),
+        F.element_at(label, F.col("pos_b") + 1).alias("col_b"),
+        F.when(F.abs(corr) > 1, F.signum(corr)).otherwise(corr).alias("corr"),
+    )
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

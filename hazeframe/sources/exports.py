@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import csv
+import sys
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,9 @@ from pyspark.sql import functions as F
 from hazeframe.functions.numeric import to_number
 from hazeframe.schema import COLUMN_MAP, MEASUREMENTS, MISSING_TOKENS, TABLE_COLUMNS
 
+# Task functions travel by value: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TIMESTAMP_FORMATS = (
     "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX",
     "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS][XXX]",
