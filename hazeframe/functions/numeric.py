@@ -34,12 +34,17 @@ def pearson(x: Column | str, y: Column | str) -> Column:
     return ratio(F.covar_pop(x, y), spread_x * spread_y)
 
 
+def bias_corrected(skew: Column, n: Column, low: Column, high: Column) -> Column:
+    """Sample skewness from the population form: NULL below three values, 0 for a constant column."""
+    n = n.cast("double")
+    corrected = skew * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0))
+    return F.when(n >= 3, F.when(low == high, F.lit(0.0)).otherwise(corrected))
+
+
 def sample_skewness(value: Column | str) -> Column:
-    """Bias-corrected skewness: NULL below three values, 0 for a constant column."""
+    """Bias-corrected skewness of a column, as an aggregate."""
     value = as_column(value)
-    n = F.count(value).cast("double")
-    corrected = F.skewness(value) * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0))
-    return F.when(n >= 3, F.when(F.min(value) == F.max(value), F.lit(0.0)).otherwise(corrected))
+    return bias_corrected(F.skewness(value), F.count(value), F.min(value), F.max(value))
 
 
 def half_even(value: Column | str, digits: int) -> Column:

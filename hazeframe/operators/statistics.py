@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazeframe.functions.numeric import pearson, ratio, sample_skewness
+from hazeframe.functions.numeric import bias_corrected, pearson, ratio
 from hazeframe.operators.cleaning import filled_counts
 from hazeframe.operators.quantiles import cells, column_at, exact_quantiles, quantile_table
 
@@ -23,41 +23,30 @@ QUARTILES = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
 ROUNDING = 1e-11
 
 
-def _per_column(df: DataFrame, columns: Sequence[str], stats: dict[str, object]) -> DataFrame:
-    """Aggregates of every column in one pass, turned into one row per column."""
-    aggregates = [
-        make(F.col(c)).alias(f"{name}_{i}")
-        for i, c in enumerate(columns)
-        for name, make in stats.items()
-    ]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.lit(i).alias("position"),
-                *[F.col(f"{name}_{i}").alias(name) for name in stats],
-            )
-            for i, c in enumerate(columns)
-        ]
-    )
-    return df.agg(*aggregates).select(F.inline(rows))
+def _per_column(df: DataFrame, columns: Sequence[str], stats: dict[str, str]) -> DataFrame:
+    """(column, position, statistics...): SQL aggregates over `@`, for every column in one pass."""
+    rows = []
+    for i, c in enumerate(columns):
+        cells_of = [f"'{name}', {sql.replace('@', f'`{c}`')}" for name, sql in stats.items()]
+        rows.append(f"named_struct('column', '{c}', 'position', {i}, {', '.join(cells_of)})")
+    return df.agg(F.expr(f"array({', '.join(rows)})").alias("rows")).select(F.inline("rows"))
+
+
+SHAPE = {
+    "n_rows": "count(1)",
+    "count": "count(@)",
+    "mean": "avg(@)",
+    "std": "stddev_samp(@)",
+    "min": "min(@)",
+    "max": "max(@)",
+    "population_skew": "skewness(@)",
+}
+SKEW = ("population_skew", "count", "min", "max")
 
 
 def descriptive_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """column, count, mean, std, min, q25, q50, q75, max, missing_pct, skew: one row per column."""
-    moments = _per_column(
-        df,
-        columns,
-        {
-            "n_rows": lambda c: F.count(F.lit(1)),
-            "count": F.count,
-            "mean": F.avg,
-            "std": F.stddev_samp,
-            "min": F.min,
-            "max": F.max,
-            "skew": sample_skewness,
-        },
-    )
+    moments = _per_column(df, columns, SHAPE)
     quartiles = quantile_table(exact_quantiles(df, columns, list(QUARTILES)), QUARTILES)
     missing = ratio((F.col("n_rows") - F.col("count")) * F.lit(100.0), F.col("n_rows").cast("double"))
     # Both sides hold one row per measurement column.
@@ -66,7 +55,7 @@ def descriptive_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .orderBy("position")
         .select(
             "column", "count", "mean", "std", "min", *QUARTILES.values(), "max",
-            missing.alias("missing_pct"), "skew",
+            missing.alias("missing_pct"), bias_corrected(*map(F.col, SKEW)).alias("skew"),
         )
     )
 
@@ -80,8 +69,9 @@ def missing_share(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def skewness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, skew), largest absolute skew first."""
-    table = _per_column(df, columns, {"skew": sample_skewness})
-    return table.orderBy(F.abs("skew").desc_nulls_last(), "position").select("column", "skew")
+    table = _per_column(df, columns, {name: SHAPE[name] for name in SKEW})
+    skew = table.select("column", "position", bias_corrected(*map(F.col, SKEW)).alias("skew"))
+    return skew.orderBy(F.abs("skew").desc_nulls_last(), "position").select("column", "skew")
 
 
 def iqr_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -117,7 +107,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 40) -> DataFram
     """
     flat = F.col("low") == F.col("high")
     limits = (
-        _per_column(df, columns, {"low": F.min, "high": F.max, "mean": F.avg})
+        _per_column(df, columns, {"low": "min(@)", "high": "max(@)", "mean": "avg(@)"})
         .where(F.col("low").isNotNull())
         .select(
             "position",
@@ -240,7 +230,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
     varies = F.when(F.col("low") < F.col("high"), F.lit(1.0)).alias("corr")
     name, position = F.col("column"), F.col("position")
-    diagonal = _per_column(df, columns, {"low": F.min, "high": F.max}).select(
+    diagonal = _per_column(df, columns, {"low": "min(@)", "high": "max(@)"}).select(
         position.alias("pos_a"), position.alias("pos_b"), name.alias("col_a"), name.alias("col_b"), varies
     )
     whole = upper.unionByName(mirrored).unionByName(diagonal)

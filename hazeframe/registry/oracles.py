@@ -493,7 +493,7 @@ SELECT CASE WHEN epoch_us(timestamp) <= cut_us THEN 'train' ELSE 'test' END AS p
 min(timestamp) AS "first", max(timestamp) AS "last" FROM data, split GROUP BY 1""")
 add("persistence_metrics", [READINGS, DATA], f"""
 SELECT {r('avg(abs(target - pm25_raw))', 'mae')}, {r('sqrt(avg((target - pm25_raw) ** 2))', 'rmse')},
-{r('1 - sum((target - pm25_raw) ** 2) / (var_pop(target) * count(*))', 'r2')} FROM test""")
+{r('1 - sum((target - pm25_raw) ** 2) / nullif(var_pop(target) * count(*), 0)', 'r2')} FROM test""")
 add("prediction_long", [READINGS, DATA], f"""
 SELECT timestamp, 'actual' AS series, {r('target', 'value')} FROM test WHERE device_id = 'view-1'
 UNION ALL SELECT timestamp, 'predicted', {r('pm25_raw', 'value')} FROM test WHERE device_id = 'view-1'""")

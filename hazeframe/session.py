@@ -15,6 +15,11 @@ RUNTIME_CONF = {
     # Splitting a hot device is worth the extra shuffle it may cause downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+STATIC_CONF = {
+    "spark.ui.enabled": "false",
+    # Recording a Python call site for every column expression makes wide plans slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -26,7 +31,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def get_spark(app_name: str = "hazeframe", master: str | None = None, **conf: str) -> SparkSession:
     """Get or create a session. Cluster sizing is left to spark-submit."""
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = SparkSession.builder.appName(app_name).config(map={**STATIC_CONF, **RUNTIME_CONF})
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
