@@ -23,14 +23,25 @@ STEPS = {"hour": "INTERVAL 1 HOUR", "day": "INTERVAL 1 DAY", "month": "INTERVAL
 
 
 def fill_gaps(
-    df: DataFrame, keys: Sequence[str], time: str, values: Sequence[str], step: str = "hour"
+    df: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    values: Sequence[str],
+    step: str = "hour",
+    partition: Sequence[str] | None = None,
 ) -> DataFrame:
     """Adds a row of NULLs for every missing step between the first and last row of each key.
 
     Each row is extended up to its successor, so one window does it: no generated calendar and no join.
+    `partition` names the keys to shuffle by, all of them by default.
     """
+    partition = list(keys if partition is None else partition)
+    rest = [k for k in keys if k not in partition]
+    in_order = Window.partitionBy(*partition).orderBy(*rest, time)
+    following = F.lead(time).over(in_order)
+    for key in rest:
+        following = F.when(F.lead(key).over(in_order) == F.col(key), following)
     every = F.expr(STEPS[step])
-    following = F.lead(time).over(Window.partitionBy(*keys).orderBy(time))
     last = F.coalesce(following - every, F.col(time)).cast(df.schema[time].dataType)
     return (
         df.withColumn("_last", last)
@@ -46,16 +57,14 @@ def fill_gaps(
 def hourly_grid(measurements: DataFrame, sensors: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per device, city and UTC hour with hourly means; hours without readings are NULL.
 
-    The grid is laid per device before the sensor join, so that it, the join and all later windows
-    share one partitioning by device.
+    The grid is partitioned by device alone, as all later windows are, so they need no further shuffle.
     """
     hour = F.date_trunc("hour", "timestamp").alias("timestamp")
     hourly = measurements.groupBy("device_id", hour).agg(
         *[F.avg(to_number(c)).alias(c) for c in columns]
     )
-    grid = fill_gaps(hourly, ["device_id"], "timestamp", columns)
-    located = join_sensors(grid, sensors).where(F.col("city").isNotNull())
-    return located.select("device_id", "city", "timestamp", *columns)
+    located = join_sensors(hourly, sensors).where(F.col("city").isNotNull())
+    return fill_gaps(located, ["device_id", "city"], "timestamp", columns, partition=["device_id"])
 
 
 def resample(

@@ -236,6 +236,9 @@ SELECT '@' AS "column", count(*) AS n_rows, count(@) AS n_filled,
 add("missing_share", [READINGS], per_column(CHANNELS, f"""
 SELECT '@' AS "column", {r("(count(*) - count(@)) * 100.0::DOUBLE / count(*)", "missing_pct")} FROM readings"""))
 
+KEPT = [c for c in CHANNELS if c != "pressure"]
+add("drop_empty", [READINGS], f"SELECT event_id, device_id, timestamp, {rs(KEPT)} FROM readings")
+
 # --- sensors --------------------------------------------------------------------------------
 
 add("sensor_coordinates", [READINGS], f"SELECT DISTINCT device_id, {rs(['latitude', 'longitude'])} FROM readings")
@@ -264,6 +267,8 @@ CAST(hour(local_ts) AS INTEGER) AS local_hour FROM joined""")
 # --- rollups and profiles -------------------------------------------------------------------
 
 add("daily_city_avg", [READINGS], f"SELECT city, CAST(local_ts AS DATE) AS date, {means(CHANNELS)} FROM joined GROUP BY 1, 2")
+add("daily_preview", [READINGS], f"""
+SELECT city, CAST(local_ts AS DATE) AS date, {means(RAW[:2])} FROM joined GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 5""")
 add("monthly_city_avg", [LONG], f"""
 SELECT city, strftime(local_ts, '%Y-%m') AS month, {means(RAW[:2])} FROM long_joined GROUP BY 1, 2""")
 add("diurnal", [READINGS], f"SELECT CAST(hour(local_ts) AS INTEGER) AS hour, {means(RAW)} FROM joined GROUP BY 1")
@@ -476,6 +481,8 @@ SELECT city, date, {TENTHS}, severity FROM found
 WHERE {CITIES} AND date BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'""")
 add("severity_counts", [READINGS, ANOMALIES], "SELECT severity, count(*) AS n FROM found GROUP BY 1")
 
+add("anomalies_per_city", [READINGS, ANOMALIES], "SELECT city, count(*) AS n FROM found GROUP BY 1")
+
 # --- learning -------------------------------------------------------------------------------
 
 DATA = dataset_sql("pm25_raw")
@@ -500,3 +507,12 @@ UNION ALL SELECT timestamp, 'predicted', {r('pm25_raw', 'value')} FROM test WHER
 add("persistence_by_sensor", [READINGS, DATA], f"""
 SELECT 'pm25_raw' AS target, city, device_id, {r('avg(abs(target - pm25_raw))', 'mae')}, count(*) AS n_hours
 FROM test GROUP BY city, device_id""")
+add("prediction_choices", [READINGS, DATA], f"SELECT DISTINCT city, device_id FROM test WHERE {CITIES}")
+THOUSANDTHS = [
+    ("avg(abs(target - pm25_raw))", "mae"),
+    ("sqrt(avg((target - pm25_raw) ** 2))", "rmse"),
+    ("1 - sum((target - pm25_raw) ** 2) / nullif(var_pop(target) * count(*), 0)", "r2"),
+    (d(0), "train_seconds"),
+]
+add("persistence_table", [READINGS, DATA], f"""
+SELECT 'Persistence (baseline)' AS model, {rounded([(f"round_even({e}, 3)", n) for e, n in THOUSANDTHS])} FROM test""")

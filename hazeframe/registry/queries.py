@@ -135,6 +135,12 @@ def missing_share(spark, folder):
     return statistics.missing_share(fx.readings(spark, folder), CHANNELS)
 
 
+@query
+def drop_empty(spark, folder):
+    rows = fx.readings(spark, folder).select("event_id", "device_id", "timestamp", *CHANNELS, "o3_raw")
+    return cleaning.drop_empty_columns(rows)
+
+
 # --- sensors --------------------------------------------------------------------------------
 
 
@@ -173,6 +179,11 @@ def daily_city_avg(spark, folder):
     return profiles.daily_city_avg(*pair(spark, folder), CHANNELS)
 
 
+@query
+def daily_preview(spark, folder):
+    return profiles.preview(profiles.daily_city_avg(*pair(spark, folder), ["pm25_raw", "pm10_raw"]))
+
+
 @query
 def monthly_city_avg(spark, folder):
     return profiles.monthly_city_avg(*long_pair(spark, folder), ["pm25_raw", "pm10_raw"])
@@ -492,6 +503,11 @@ def severity_counts(spark, folder):
     return profiles.value_counts(anomalies.detect_anomalies(city_days(spark, folder)), "severity")
 
 
+@query
+def anomalies_per_city(spark, folder):
+    return profiles.value_counts(anomalies.detect_anomalies(city_days(spark, folder)), "city")
+
+
 # --- learning -------------------------------------------------------------------------------
 
 
@@ -529,22 +545,31 @@ def persistence_metrics(spark, folder):
     return ds.evaluate(training.persistence(test, "pm25_raw"), "target", "prediction")
 
 
+def persistence_predictions(spark, folder):
+    _, test = ds.time_split(ds.build_dataset(*pair(spark, folder), "pm25_raw"))
+    scored = training.persistence(test, "pm25_raw")
+    return training.predictions_table(scored, "pm25_raw", training.BASELINE)
+
+
 @query
 def prediction_long(spark, folder):
-    _, test = ds.time_split(ds.build_dataset(*pair(spark, folder), "pm25_raw"))
-    predictions = training.predictions_table(
-        training.persistence(test, "pm25_raw"), "pm25_raw", training.BASELINE
-    )
-    return dashboard.prediction_series(predictions, "pm25_raw", "view-1")
+    return dashboard.prediction_series(persistence_predictions(spark, folder), "pm25_raw", "view-1")
+
+
+@query
+def prediction_choices(spark, folder):
+    return dashboard.prediction_choices(persistence_predictions(spark, folder), "pm25_raw", CITIES)
 
 
 @query
 def persistence_by_sensor(spark, folder):
-    _, test = ds.time_split(ds.build_dataset(*pair(spark, folder), "pm25_raw"))
-    predictions = training.predictions_table(
-        training.persistence(test, "pm25_raw"), "pm25_raw", training.BASELINE
-    )
-    return dashboard.sensor_mae(predictions)
+    return dashboard.sensor_mae(persistence_predictions(spark, folder))
+
+
+@query
+def persistence_table(spark, folder):
+    scores = ds.evaluate(persistence_predictions(spark, folder), "actual", "predicted", ["target", "model"])
+    return dashboard.model_table(scores.withColumn("train_seconds", F.lit(0.0)), "pm25_raw")
 
 
 _RUNS: dict[tuple[str, str], list[training.TargetRun]] = {}

@@ -371,6 +371,27 @@ def test_grid_fills_every_hour(spark):
     assert got == [("A", 0, 2.0), ("A", 1, None), ("A", 2, None), ("A", 3, 5.0), ("B", 0, 7.0)]
 
 
+def test_a_moved_sensor_has_a_grid_per_city(spark):
+    rows = [("A", T0, 1.0), ("A", T0 + dt.timedelta(hours=2), 3.0)]
+    sensors = sensor_table(spark, ("A", "x"), ("A", "y"), ("A", None))
+    grid = timeseries.hourly_grid(readings(spark, rows), sensors, ["pm25_raw"])
+    got = [(r.city, r.timestamp.hour, r.pm25_raw) for r in grid.orderBy("city", "timestamp").collect()]
+    assert got == [(c, h, v) for c in "xy" for h, v in ((0, 1.0), (1, None), (2, 3.0))]
+
+
+def test_features_are_partitioned_once_by_device(spark, medium):
+    from hazeframe import fixtures as fx
+    from hazeframe.learning.dataset import build_dataset
+
+    data = build_dataset(fx.readings(spark, medium), fx.sensors(spark, medium))
+    data.collect()
+    plan = data._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("Initial Plan")]
+    above_join = final[: final.index("Join")]
+    assert above_join.count("Exchange hashpartitioning(device_id") == 1
+    assert above_join.count("Window [") == 2
+
+
 def test_autumn_hours_stay_apart(spark):
     rows = [("A", dt.datetime(2022, 10, 30, 0, 10), 1.0), ("A", dt.datetime(2022, 10, 30, 1, 10), 2.0)]
     pair = readings(spark, rows), sensor_table(spark, ("A", "x"))
