@@ -10,7 +10,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeframe.learning.dataset import (
@@ -62,6 +62,13 @@ class TargetRun:
             self.best_model.write().overwrite().save(path)
 
 
+def side_by_side(spark: SparkSession, task: Callable, items: Sequence) -> list:
+    """Run driver-side tasks in threads. Boosting is a long chain of small jobs that leaves executors
+    idle; the jobs of other models fill them. Training seconds are wall-clock under that load."""
+    with ThreadPool(max(1, len(items))) as pool:
+        return pool.map(inheritable_thread_target(spark)(task), items)
+
+
 def persistence(test: DataFrame, target_column: str) -> DataFrame:
     """Baseline: the next hour equals the current one."""
     return test.withColumn("prediction", F.col(target_column))
@@ -103,13 +110,16 @@ def run_target(
     def score(scored: DataFrame) -> tuple:
         return tuple(evaluate(scored, "target", "prediction").first())
 
-    rows = [(target_column, BASELINE, *score(persistence(test, target_column)), 0.0)]
-    fitted = {}
-    for name, trainer in trainers.items():
+    def fit(name: str) -> tuple[object, tuple]:
         started = time.perf_counter()
-        fitted[name] = trainer(train, fills)
+        model = trainers[name](train, fills)
         seconds = round(time.perf_counter() - started, 1)
-        rows.append((target_column, name, *score(fitted[name].transform(test)), seconds))
+        return model, (target_column, name, *score(model.transform(test)), seconds)
+
+    results = side_by_side(spark, fit, list(trainers))
+    fitted = {name: model for name, (model, _) in zip(trainers, results)}
+    baseline = (target_column, BASELINE, *score(persistence(test, target_column)), 0.0)
+    rows = [baseline, *(row for _, row in results)]
     metrics = spark.createDataFrame(rows, METRICS_SCHEMA)
     best = best_model(metrics).first().model
     predictions = predictions_table(fitted[best].transform(test), target_column, best)
@@ -122,12 +132,12 @@ def run_targets(
     targets: Sequence[str] = TARGETS,
     trainers: dict[str, Trainer] | None = None,
 ) -> list[TargetRun]:
-    """All targets side by side: boosting is a long chain of small jobs that leaves executors idle."""
-    run = inheritable_thread_target(measurements.sparkSession)(
-        lambda target: run_target(measurements, sensors, target, trainers)
+    """All targets, side by side."""
+    return side_by_side(
+        measurements.sparkSession,
+        lambda target: run_target(measurements, sensors, target, trainers),
+        targets,
     )
-    with ThreadPool(len(targets)) as pool:
-        return pool.map(run, targets)
 
 
 def all_metrics(runs: Sequence[TargetRun]) -> DataFrame:

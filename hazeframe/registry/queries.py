@@ -572,6 +572,27 @@ def persistence_table(spark, folder):
     return dashboard.model_table(scores.withColumn("train_seconds", F.lit(0.0)), "pm25_raw")
 
 
+def one_model(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """Metrics of one candidate against the baseline."""
+    trainers = {name: training.TRAINERS[name]}
+    return training.run_target(*pair(spark, folder), "pm25_raw", trainers).metrics
+
+
+@query
+def ridge_metrics(spark, folder):
+    return one_model(spark, folder, "Ridge")
+
+
+@query
+def forest_metrics(spark, folder):
+    return one_model(spark, folder, "RandomForest")
+
+
+@query
+def network_metrics(spark, folder):
+    return one_model(spark, folder, "MLP")
+
+
 _RUNS: dict[tuple[str, str], list[training.TargetRun]] = {}
 
 

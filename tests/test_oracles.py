@@ -6,7 +6,10 @@ from oracle import connect, difference, duck_rows, spark_rows
 import __spark_entry__ as contract
 
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
-TRAINED = {"model_metrics", "best_models", "model_predictions", "model_sensor_mae"}
+TRAINED = {
+    "ridge_metrics", "forest_metrics", "network_metrics",
+    "model_metrics", "best_models", "model_predictions", "model_sensor_mae",
+}
 
 
 @pytest.fixture(scope="module")
