@@ -76,7 +76,7 @@ def random_forest(
         featureSubsetStrategy="all",
         cacheNodeIds=True,
         checkpointInterval=10,
-        maxMemoryInMB=1024,
+        maxMemoryInMB=512,
         seed=SEED,
     )
     return Pipeline(stages=[imputer(fills), _assembler(fills, "features"), forest]).fit(train)

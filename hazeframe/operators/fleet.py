@@ -55,11 +55,13 @@ def join_sensors(
     dimension = sensors.select("device_id", *attributes)
     if salt <= 1:
         return readings.join(dimension, "device_id")
-    spread = F.pmod(F.xxhash64(*readings.columns), F.lit(salt)).cast("int")
+    # A few plain columns, and visibly never NULL: the join must not evaluate computed columns twice.
+    by = ["timestamp"] if "timestamp" in readings.columns else readings.columns
+    spread = F.coalesce(F.pmod(F.xxhash64(*by), F.lit(salt)).cast("int"), F.lit(0))
     copies = F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))
     return (
         readings.withColumn("_salt", spread)
-        .join(dimension.withColumn("_salt", copies), ["device_id", "_salt"])
+        .join(dimension.withColumn("_salt", copies), ["_salt", "device_id"])
         .drop("_salt")
     )
 
