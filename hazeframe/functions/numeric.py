@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Smaller magnitudes count as zero in skewness: the cube of their variance underflows, and Spark then
+# fails with a division by zero.
+TINY = 1e-34
+
+
 def as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
@@ -38,13 +43,14 @@ def bias_corrected(skew: Column, n: Column, low: Column, high: Column) -> Column
     """Sample skewness from the population form: NULL below three values, 0 for a constant column."""
     n = n.cast("double")
     corrected = skew * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0))
-    return F.when(n >= 3, F.when(low == high, F.lit(0.0)).otherwise(corrected))
+    return F.when(n >= 3, F.when(low == high, F.lit(0.0)).otherwise(F.coalesce(corrected, F.lit(0.0))))
 
 
 def sample_skewness(value: Column | str) -> Column:
     """Bias-corrected skewness of a column, as an aggregate."""
     value = as_column(value)
-    return bias_corrected(F.skewness(value), F.count(value), F.min(value), F.max(value))
+    visible = F.when(F.abs(value) < TINY, F.lit(0.0)).otherwise(value)
+    return bias_corrected(F.skewness(visible), F.count(value), F.min(value), F.max(value))
 
 
 def half_even(value: Column | str, digits: int) -> Column:

@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazeframe.functions.numeric import bias_corrected, pearson, ratio
+from hazeframe.functions.numeric import TINY, bias_corrected, pearson, ratio
 from hazeframe.operators.cleaning import filled_counts
 from hazeframe.operators.quantiles import cells, column_at, exact_quantiles, quantile_table
 
@@ -39,7 +39,7 @@ SHAPE = {
     "std": "stddev_samp(@)",
     "min": "min(@)",
     "max": "max(@)",
-    "population_skew": "skewness(@)",
+    "population_skew": f"skewness(CASE WHEN abs(@) < {TINY!r} THEN 0D ELSE @ END)",
 }
 SKEW = ("population_skew", "count", "min", "max")
 
@@ -121,7 +121,8 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 40) -> DataFram
     def edge(i: Column) -> Column:
         return F.when(i == bins, F.col("high")).otherwise(F.col("low") + i * F.col("width"))
 
-    guess = F.least(F.floor((F.col("value") - F.col("low")) / F.col("width")).cast("int"), F.lit(bins - 1))
+    place = F.floor((F.col("value") - F.col("low")) / F.nullif("width", F.lit(0.0)))
+    guess = F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)).cast("int")
     # Division may land one bin off; the edges decide.
     exact = (
         F.when(F.col("value") < edge(F.col("guess")), F.col("guess") - 1)
@@ -210,7 +211,8 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         return F.when(F.col(squares) - shift > shift * ROUNDING, F.col(squares) - shift)
 
     shared = F.col("sum_ab") - F.col("sum_a") * F.col("sum_b") / n
-    corr = shared / F.sqrt(spread("sum_a", "sum_aa") * spread("sum_b", "sum_bb"))
+    scale = F.sqrt(spread("sum_a", "sum_aa")) * F.sqrt(spread("sum_b", "sum_bb"))
+    corr = shared / F.nullif(scale, F.lit(0.0))
     label = F.array(*[F.lit(c) for c in columns])
     return sums.select(
         "pos_a",

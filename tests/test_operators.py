@@ -248,6 +248,15 @@ def test_histogram_equals_numpy(spark, table):
         np.testing.assert_allclose(part["right"], edges[1:], atol=1e-12)
 
 
+def test_extreme_magnitudes_do_not_fail(spark):
+    rows = [(1e17, 1e-200, 1e-200), (1e17, 2e-200, 3e-200), (1e17, 4e-200, 4e-200)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    counts = statistics.histogram(df, ["a", "b"]).groupBy("column").agg(F.sum("n").alias("n"))
+    assert {(r.column, r.n) for r in counts.collect()} == {("a", 3), ("b", 3)}
+    assert statistics.correlation_pairs(df, ["a", "b", "c"]).where("corr > 1 OR corr < -1").count() == 0
+    assert statistics.iqr_outliers(df, ["a", "b"]).count() == 2
+
+
 def test_correlations_equal_pandas(spark, table):
     pdf, df = table
     columns = ["b", "c", "d", "e", "f"]
