@@ -4,8 +4,9 @@ import pytest
 from oracle import connect, difference, duck_rows, spark_rows
 
 import __spark_entry__ as contract
+from hazeframe.registry.oracles import ORACLES
+from hazeframe.registry.queries import QUERIES
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 TRAINED = {
     "ridge_metrics", "forest_metrics", "network_metrics",
     "model_metrics", "best_models", "model_predictions", "model_sensor_mae",
