@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hazeframe.llm import chunk_recipes, licenses, url_rules
+from hazeframe.llm import byte_bpe, chunk_recipes, licenses, packing, secrets, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": licenses.op1,
+    "op2_packing": packing.op2,
+    "op4_secret_scan": secrets.op4,
     "op6_exact_duplicates": chunk_recipes.op6,
     "op7_url_rules": url_rules.op7,
+    "op8_byte_bpe": byte_bpe.op8,
 }
 
 ORACLES: dict[str, str] = {
