@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hazeframe.llm import byte_bpe, chunk_recipes, licenses, packing, secrets, url_rules
+from hazeframe.llm import byte_bpe, chunk_recipes, licenses, minhash, packing, secrets, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": licenses.op1,
     "op2_packing": packing.op2,
+    "op3_minhash_near_duplicates": minhash.op3,
     "op4_secret_scan": secrets.op4,
     "op6_exact_duplicates": chunk_recipes.op6,
     "op7_url_rules": url_rules.op7,
