@@ -16,13 +16,12 @@ from collections.abc import Iterator
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeframe.llm.buckets import block_pairs
+from hazeframe.llm.buckets import block_pairs, gathered, pairs_within, whole_groups
 from hazeframe.llm.common import ROW, cut_lineage, id_and_text, slices, table, words_of
 from hazeframe.llm.components import components
 
@@ -162,25 +161,21 @@ def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
-def _across(group: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one group of blocks, of different components, that no test drops."""
-    group = group.sort_values("node", ignore_index=True)
-    own, label = group["own"].to_numpy(), pd.factorize(group["component"])[0]
-    size = group["n_shingles"].to_numpy()
-    signatures = np.frombuffer(b"".join(group["signature"]), dtype="<u4").reshape(len(group), HASHES)
-    first, second = (int(x) for x in group["pair"].iloc[0].split("-"))
-    left = np.flatnonzero(own == first)
-    right = left if first == second else np.flatnonzero(own == second)
-    found = []
-    for i in left:
-        # Sets whose sizes differ too much can't be similar enough.
-        fits = (label[right] != label[i]) & (100 * np.minimum(size[right], size[i]) >= LEAST * np.maximum(size[right], size[i]))
-        others = right[fits & (right > i)] if first == second else right[fits]
-        if len(others):
-            alive = survivors(np.broadcast_to(signatures[i], (len(others), HASHES)), signatures[others])
-            found += [(i, j) for j in others[alive]]
-    nodes = group["node"].to_numpy()
-    return pd.DataFrame({"a": [nodes[i] for i, _ in found], "b": [nodes[j] for _, j in found]}, columns=["a", "b"], dtype=object)
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of the groups, of different components, that no test drops."""
+    for groups, group in whole_groups(batches, ["bucket", "pair"]):
+        signatures = _stack(groups.column("signature"))
+        label = groups.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
+        size, node = groups.column("n_shingles").to_numpy(), groups.column("node").combine_chunks()
+        for left, right in pairs_within(group, groups.column("own").to_numpy(), groups.column("same").to_numpy()):
+            # Sets whose sizes differ too much can't be similar enough.
+            low, high = np.minimum(size[left], size[right]), np.maximum(size[left], size[right])
+            fits = (label[left] != label[right]) & (100 * low >= LEAST * high)
+            left, right = left[fits], right[fits]
+            for start in range(0, len(left), 20_000):
+                a, b = left[start : start + 20_000], right[start : start + 20_000]
+                alive = survivors(signatures[a], signatures[b])
+                yield pa.RecordBatch.from_arrays([node.take(pa.array(a[alive])), node.take(pa.array(b[alive]))], ["a", "b"])
 
 
 def _linked(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
@@ -231,9 +226,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     named = cut_lineage(named)
     mixed = named.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     split = named.join(cut_lineage(mixed.select("bucket")), "bucket")
-    split = split.join(classes.select("node", "signature", "n_shingles"), "node")
-    groups = block_pairs(split, "bucket", "node").groupBy("bucket", "pair")
-    across = groups.applyInPandas(_across, "a binary, b binary")
+    groups = block_pairs(split, "bucket", "node").join(classes.select("node", "signature", "n_shingles"), "node")
+    groups = gathered(groups, "bucket", "pair")
+    across = groups.mapInArrow(_across, "a binary, b binary")
     across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = links.unionByName(_linked(cut_lineage(across), rows, classes))
     labels = components(links, "a", "b")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hazeframe.llm import byte_bpe, chunk_recipes, licenses, minhash, packing, secrets, url_rules
+from hazeframe.llm import byte_bpe, chunk_recipes, itq, licenses, minhash, packing, secrets, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": licenses.op1,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_duplicates": chunk_recipes.op6,
     "op7_url_rules": url_rules.op7,
     "op8_byte_bpe": byte_bpe.op8,
+    "op10_embedding_near_duplicates": itq.op10,
 }
 
 ORACLES: dict[str, str] = {
