@@ -2,7 +2,8 @@
 
 Documents with the same set of shingles are one class, so that groups of copies cost one signature. Classes that share a
 band are candidates. A pair's signatures are compared batch by batch; it is dropped as soon as the posterior probability
-that its similarity reaches the threshold falls below `MISS`. What survives is checked on the whole sets.
+that its similarity reaches the threshold falls below `MISS`, or once a bitmap proves the sets too different. What
+survives is checked on the whole sets.
 
 Only which classes are connected is asked for, so a bucket isn't expanded into pairs: first its members meet its smallest
 and largest member; once components are known, members of one component need not meet, and only buckets that still hold
@@ -32,6 +33,10 @@ BANDS, ROWS = 24, 5
 HASHES = BANDS * ROWS
 #: Hashes compared before each test, and the chance that a test loses a pair at the threshold.
 BATCH, MISS = 24, 1e-6
+#: Bits of the bitmap that holds, for each place, whether an odd number of shingles falls on it.
+PLACES = 1024
+#: What is kept of a set: hashes, bitmap, size.
+SKETCH = np.dtype([("hashes", "<u4", HASHES), ("odd", "u1", PLACES // 8), ("size", "<u4")])
 
 _WORD_KEYS = tuple(np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 #: Words whose hashes a worker remembers.
@@ -107,47 +112,61 @@ def least_matches(batch: int = BATCH, hashes: int = HASHES, least: float = LEAST
 BOUNDS = least_matches()
 
 
-def survivors(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Numbers of the rows of two signature tables whose pair no test drops."""
-    alive = np.arange(len(left))
-    seen = np.zeros(len(left), dtype=np.int32)
+def sketch(shingles: np.ndarray) -> bytes:
+    """SKETCH of a set that isn't empty."""
+    odd = np.bincount((shingles >> np.uint64(50)).astype(np.int64) % PLACES, minlength=PLACES) & 1
+    one = np.zeros(1, dtype=SKETCH)
+    one["hashes"], one["odd"], one["size"] = signature(shingles), np.packbits(odd.astype(bool)), len(shingles)
+    return one.tobytes()
+
+
+def survivors(sketches: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Numbers of the pairs (left, right) of sketches that no test drops.
+
+    The places where two bitmaps differ are at most as many as the shingles that only one set has, and of a sum of sizes s
+    at most (1 - t) / (1 + t) s may differ at a similarity t: a bound that never drops a link.
+    """
+    size = sketches["size"].astype(np.int64)
+    low, high = np.minimum(size[left], size[right]), np.maximum(size[left], size[right])
+    alive = np.flatnonzero(100 * low >= LEAST * high)
+    seen = np.zeros(len(alive), dtype=np.int32)
     for step, bound in enumerate(BOUNDS):
-        part = slice(step * BATCH, (step + 1) * BATCH)
-        seen = seen + (left[alive, part] == right[alive, part]).sum(axis=1, dtype=np.int32)
+        hashes = sketches["hashes"][:, step * BATCH : (step + 1) * BATCH]
+        seen = seen + (hashes[left[alive]] == hashes[right[alive]]).sum(axis=1, dtype=np.int32)
         passed = seen >= bound
         alive, seen = alive[passed], seen[passed]
-    return alive
+    apart = np.bitwise_count(sketches["odd"][left[alive]] ^ sketches["odd"][right[alive]]).sum(axis=1, dtype=np.int64)
+    return alive[(100 + LEAST) * apart <= (100 - LEAST) * (size[left[alive]] + size[right[alive]])]
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
-        nodes = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-        signatures = [signature(s).astype("<u4").tobytes() if len(s) else None for s in sets]
+        digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(ROW), batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array(nodes, pa.binary()), pa.array(signatures, pa.binary()),
+                pa.array(digests, pa.binary()), pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()),
             ],
-            [ROW, "doc_id", "n_shingles", "node", "signature"],
+            [ROW, "doc_id", "n_shingles", "digest", "sketch"],
         )
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         sets = [shingle_set(t).tobytes() for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"])
+        yield pa.RecordBatch.from_arrays([batch.column(ROW), pa.array(sets, pa.binary())], ["node", "shingles"])
 
 
 def _stack(column: pa.Array) -> np.ndarray:
-    rows = column.to_pylist()
-    return np.frombuffer(b"".join(rows), dtype="<u4").reshape(len(rows), HASHES)
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=SKETCH)
 
 
 def _tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, 4096):
-        alive = survivors(_stack(batch.column("signature_a")), _stack(batch.column("signature_b")))
-        yield batch.select(["a", "b"]).take(pa.array(alive))
+        both = np.concatenate([_stack(batch.column("sketch_a")), _stack(batch.column("sketch_b"))])
+        left = np.arange(batch.num_rows)
+        yield batch.select(["a", "b"]).take(pa.array(survivors(both, left, left + batch.num_rows)))
 
 
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,28 +183,23 @@ def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of the groups, of different components, that no test drops."""
     for groups, group in whole_groups(batches, ["bucket", "pair"]):
-        signatures = _stack(groups.column("signature"))
-        label = groups.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
-        size, node = groups.column("n_shingles").to_numpy(), groups.column("node").combine_chunks()
+        sketches = _stack(groups.column("sketch"))
+        label, node = groups.column("component").to_numpy(), groups.column("node").to_numpy()
         for left, right in pairs_within(group, groups.column("own").to_numpy(), groups.column("same").to_numpy()):
-            # Sets whose sizes differ too much can't be similar enough.
-            low, high = np.minimum(size[left], size[right]), np.maximum(size[left], size[right])
-            fits = (label[left] != label[right]) & (100 * low >= LEAST * high)
-            left, right = left[fits], right[fits]
+            across = label[left] != label[right]
+            left, right = left[across], right[across]
             for start in range(0, len(left), 20_000):
                 a, b = left[start : start + 20_000], right[start : start + 20_000]
-                alive = survivors(signatures[a], signatures[b])
-                yield pa.RecordBatch.from_arrays([node.take(pa.array(a[alive])), node.take(pa.array(b[alive]))], ["a", "b"])
+                alive = survivors(sketches, a, b)
+                a, b = node[a[alive]], node[b[alive]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
-def _linked(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Of candidate pairs (a, b), those that are similar enough on their whole sets."""
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = classes.join(ends, "node").select("node", ROW)
-    sets = cut_lineage(rows.join(wanted, ROW).select("node", "text").mapInArrow(_sets, "node binary, shingles binary"))
     first = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
     both = first.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
-    return cut_lineage(both.select("a", "b", "set_a", "set_b").mapInArrow(_checked, "a binary, b binary"))
+    return cut_lineage(both.select("a", "b", "set_a", "set_b").mapInArrow(_checked, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -199,45 +213,40 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     Pairs at the threshold are missed with a probability of about 1e-6 a pair by the bands, and 1e-6 a test.
     """
     rows = id_and_text(docs, doc_id, text, rows=True)
-    schema = f"{ROW} long, doc_id long, n_shingles long, node binary, signature binary"
+    schema = f"{ROW} long, doc_id long, n_shingles long, digest binary, sketch binary"
     sketched = cut_lineage(rows.mapInArrow(_sketches, schema))
-    sets = sketched.where("node IS NOT NULL")
-    # All rows of a class have the same signature and count; any of them may stand for it.
-    classes = cut_lineage(
-        sets.groupBy("node").agg(
-            F.min("doc_id").alias("first_id"), F.min(ROW).alias(ROW), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles")
-        )
-    )
-    bands = F.array(
-        *(F.xxhash64(F.lit(i), F.substring("signature", 4 * ROWS * i + 1, 4 * ROWS)) for i in range(BANDS))
-    )
+    # A class's node is the first row that has its set; all rows of a class have the same sketch.
+    classes = sketched.where("digest IS NOT NULL").groupBy("digest")
+    classes = cut_lineage(classes.agg(F.min(ROW).alias("node"), F.min("doc_id").alias("first_id"), F.first("sketch").alias("sketch")))
+    bands = F.array(*(F.xxhash64(F.lit(i), F.substring("sketch", 4 * ROWS * i + 1, 4 * ROWS)) for i in range(BANDS)))
     members = classes.select("node", F.explode(bands).alias("bucket"))
     ends = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     full = cut_lineage(members.join(cut_lineage(ends), "bucket"))
+    wanted = full.select(F.col("node").alias(ROW)).distinct()
+    sets = cut_lineage(rows.select(ROW, "text").join(wanted, ROW).mapInArrow(_sets, "node long, shingles binary"))
     low = full.where("node > low").select(F.col("low").alias("a"), F.col("node").alias("b"))
     high = full.where("node < high").select(F.col("node").alias("a"), F.col("high").alias("b"))
     pairs = low.unionByName(high).distinct()
-    sketch = lambda end: classes.select(F.col("node").alias(end), F.col("signature").alias(f"signature_{end}"))
-    paired = pairs.join(sketch("a"), "a").join(sketch("b"), "b").select("a", "b", "signature_a", "signature_b")
-    links = _linked(cut_lineage(paired.mapInArrow(_tested, "a binary, b binary")), rows, classes)
+    of = lambda end: classes.select(F.col("node").alias(end), F.col("sketch").alias(f"sketch_{end}"))
+    paired = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sketch_a", "sketch_b")
+    links = _linked(cut_lineage(paired.mapInArrow(_tested, "a long, b long")), sets)
+    # Buckets that hold more than one component after this first round: all their members across components.
     labels = cut_lineage(components(links, "a", "b"))
-    # Buckets that hold more than one component after the first round: all their members across components.
-    named = full.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    named = cut_lineage(named)
+    named = cut_lineage(
+        full.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    )
     mixed = named.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     split = named.join(cut_lineage(mixed.select("bucket")), "bucket")
-    groups = block_pairs(split, "bucket", "node").join(classes.select("node", "signature", "n_shingles"), "node")
-    groups = gathered(groups, "bucket", "pair")
-    across = groups.mapInArrow(_across, "a binary, b binary")
-    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = links.unionByName(_linked(cut_lineage(across), rows, classes))
+    groups = block_pairs(split, "bucket", "node").join(classes.select("node", "sketch"), "node")
+    across = gathered(groups, "bucket", "pair").mapInArrow(_across, "a long, b long").distinct()
+    links = links.unionByName(_linked(cut_lineage(across), sets))
     labels = components(links, "a", "b")
-    joined = classes.join(labels, "node", "left").select("node", "first_id", F.coalesce("component", "node").alias("component"))
-    joined = cut_lineage(joined)
+    joined = classes.select("digest", "node", "first_id").join(labels, "node", "left")
+    joined = cut_lineage(joined.select("digest", "first_id", F.coalesce("component", "node").alias("component")))
     least = cut_lineage(joined.groupBy("component").agg(F.min("first_id").alias("component_id")))
-    named = cut_lineage(joined.join(least, "component").select("node", "component_id"))
-    whole = sketched.drop("signature").join(named, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    named = cut_lineage(joined.join(least, "component").select("digest", "component_id"))
+    whole = sketched.drop("sketch").join(named, "digest", "left")
+    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return whole.select(
         ROW, "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
