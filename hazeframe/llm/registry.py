@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hazeframe.llm import byte_bpe, chunk_recipes, itq, licenses, minhash, packing, secrets, url_rules
+from hazeframe.llm import byte_bpe, chunk_recipes, itq, licenses, minhash, ordinal, packing, secrets, toxicity, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": licenses.op1,
     "op2_packing": packing.op2,
     "op3_minhash_near_duplicates": minhash.op3,
     "op4_secret_scan": secrets.op4,
+    "op5_quality_classifier": ordinal.op5,
     "op6_exact_duplicates": chunk_recipes.op6,
     "op7_url_rules": url_rules.op7,
     "op8_byte_bpe": byte_bpe.op8,
+    "op9_toxicity": toxicity.op9,
     "op10_embedding_near_duplicates": itq.op10,
 }
 
