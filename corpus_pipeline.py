@@ -8,11 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hazeframe.llm.chunk_recipes import drop_exact_duplicates
+from hazeframe.llm.minhash import drop_near_duplicates
+from hazeframe.llm.ordinal import drop_poor
+from hazeframe.llm.packing import pack_stage
+from hazeframe.llm.secrets import mask_stage
 from hazeframe.session import ensure_checkpoint_dir
 
 #: (name, function of (spark, docs, folder of the tables)); all but the last return the columns of documents.
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", drop_poor),
     ("exact_dedup", drop_exact_duplicates),
+    ("near_dedup", drop_near_duplicates),
+    ("secrets", mask_stage),
+    ("packing", pack_stage),
 ]
 
 #: No SQL states a fitted classifier or a shortest path over token windows; tests compare with brute force instead.
