@@ -7,11 +7,12 @@ and documents are selected by the tail probability of the least grade wanted.
 
 from __future__ import annotations
 
-import re
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache, partial
+from functools import partial
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,13 @@ BUCKETS, STEPS, PENALTY = 1 << 13, 150, 1e-4
 #: A document stays if it has this grade or more with at least this probability. Low, so that clean texts stay.
 WANTED, LEAST = 1, 0.3
 
-_LETTERS = re.compile(r"[^\W\d_]+")
-_TOKENS = re.compile(r"\S+")
+_BYTES = np.arange(256)
+_CAPITALS = (_BYTES >= 65) & (_BYTES <= 90)
+_ODD = (_BYTES < 128) & np.array([not (chr(b).isalpha() or chr(b).isspace() or chr(b) in ".,") for b in range(256)])
+
+
+def _bucket(feature: str) -> int:
+    return zlib.crc32(feature.encode()) % (BUCKETS - 1) + 1
 
 
 def _shape(token: str) -> str:
@@ -41,17 +47,29 @@ def _shape(token: str) -> str:
     return "".join(out)
 
 
-def _bucket(feature: str) -> int:
-    return zlib.crc32(feature.encode()) % (BUCKETS - 1) + 1
+class _Known(dict):
+    """Results of a function, remembered for short keys until there are too many."""
+
+    def __init__(self, compute: Callable, longest: int = 48, most: int = 200_000):
+        self.compute, self.longest, self.most = compute, longest, most
+
+    def __missing__(self, key):
+        result = self.compute(key)
+        if len("".join(key)) <= self.longest:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = result
+        return result
 
 
-def _short(compute: Callable, longest: int = 48) -> Callable:
-    """`compute`, remembered for short texts; others, which may be of any length, are computed each time."""
-    known = lru_cache(200_000)(compute)
-    return lambda text: known(text) if len(text) <= longest else compute(text)
+def _token(token: str) -> tuple[str, int, int]:
+    """A token's shape, its bucket, and that of its letters."""
+    shape = _shape(token)
+    return shape, _bucket("s:" + shape), _bucket("w:" + "".join(filter(str.isalpha, token.lower())))
 
 
-_shape, _bucket = _short(_shape), _short(_bucket)
+_tokens = _Known(_token)
+_pairs = _Known(lambda pair: _bucket("p:" + " ".join(pair)))
 
 
 def hashed(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -59,30 +77,35 @@ def hashed(text: str) -> tuple[np.ndarray, np.ndarray]:
 
     Values are square roots of shares of the tokens, so that they don't grow with the text; all of it counts.
     """
-    tokens = _TOKENS.findall(text)
+    tokens = text.split()
     n = len(tokens)
     if not n:
         return np.array([0, _bucket("empty")]), np.array([1.0, 1.0])
-    shapes = [_shape(t) for t in tokens]
+    different = Counter(tokens)
+    known = {token: _tokens[token] for token in different}
+    shapes = [known[token][0] for token in tokens]
     counts: dict[int, float] = {}
-
-    def add(name: str, share: float) -> None:
-        bucket = _bucket(name)
-        counts[bucket] = counts.get(bucket, 0.0) + share
-
-    for values, kind in ((shapes, "s:"), (map(" ".join, zip(shapes, shapes[1:])), "p:"), (_LETTERS.findall(text.lower()), "w:")):
-        for value in values:
-            add(kind + value, 1.0 / n)
+    for token, times in different.items():
+        _, shape, word = known[token]
+        counts[shape] = counts.get(shape, 0.0) + times
+        counts[word] = counts.get(word, 0.0) + times
+    for pair, times in Counter(zip(shapes, shapes[1:])).items():
+        bucket = _pairs[pair]
+        counts[bucket] = counts.get(bucket, 0.0) + times
     lines = [line for line in text.split("\n") if line.strip()]
-    add("again", sum(a == b for a, b in zip(tokens, tokens[1:])) / n)
-    add("few words", 1 - len(set(tokens)) / n)
-    add("same lines", 1 - len(set(lines)) / max(1, len(lines)))
-    add("odd signs", sum(not (c.isalpha() or c.isspace() or c in ".,") for c in text) / len(text))
-    add("capitals", sum(c.isupper() for c in text) / len(text))
-    add(f"length {min(12, n.bit_length())}", 0.25)
+    data = np.frombuffer(text.encode(), dtype=np.uint8)
+    shares = {
+        "again": sum(map(eq, tokens, tokens[1:])) / n,
+        "few words": 1 - len(different) / n,
+        "same lines": 1 - len(set(lines)) / max(1, len(lines)),
+        "odd signs": _ODD[data].mean(),
+        "capitals": _CAPITALS[data].mean(),
+        f"length {min(12, n.bit_length())}": 0.25,
+    }
     buckets = np.fromiter(counts, dtype=np.int64, count=len(counts))
-    values = np.sqrt(np.fromiter(counts.values(), dtype=np.float64, count=len(counts)))
-    return np.append(buckets, 0), np.append(values, 1.0)
+    values = np.sqrt(np.fromiter(counts.values(), dtype=np.float64, count=len(counts)) / n)
+    own = np.array([_bucket(name) for name in shares])
+    return np.concatenate([[0], own, buckets]), np.concatenate([[1.0], np.sqrt(list(shares.values())), values])
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
