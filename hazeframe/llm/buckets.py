@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeframe.llm.common import cut_lineage
+from hazeframe.llm.common import spread
 
 #: Members of a block. A group holds at most two blocks, apart from the chance of uneven hashing.
 BLOCK = 256
@@ -27,7 +27,7 @@ def block_pairs(members: DataFrame, key: str, member: str, block: int = BLOCK) -
     one block with each other where `same`. (key, pair) is the group. Members must be distinct in a bucket.
     """
     sizes = members.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
-    sized = members.join(cut_lineage(sizes), key)
+    sized = members.join(spread(sizes), key)
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64(member), F.col("blocks")).cast("int")
     others = F.sequence(F.lit(0), F.col("blocks") - 1)

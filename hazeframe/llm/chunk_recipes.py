@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeframe.llm.common import ROW, cut_lineage, id_and_text, slices, table
+from hazeframe.llm.common import ROW, cut_lineage, id_and_text, slices, spread, table
 
 LEAST, MEAN_BITS, MOST = 512, 11, 16_384
 #: Bytes of chunk contents that a task remembers in order to send each of them once.
@@ -128,12 +128,11 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     recipes = cut_lineage(rows.mapInArrow(map_rows, f"{ROW} long, doc_id long, recipe binary, sha binary"))
     contents = rows.select("text").mapInArrow(partial(_contents, size=digest_bytes), "digest binary, content binary")
     shared = contents.distinct().groupBy("digest").count().where("count > 1").select("digest")
-    shared = cut_lineage(shared)
     keyed = recipes.withColumn("key", F.struct("recipe", F.lit(None).cast("binary").alias("whole")))
     if not shared.isEmpty():
         keyed = _with_whole_texts(rows, recipes, shared, digest_bytes)
     best = F.max(F.struct("doc_id", ROW))
-    groups = cut_lineage(keyed.groupBy("key").agg(best.alias("best"), F.count("*").alias("group_size")))
+    groups = spread(keyed.groupBy("key").agg(best.alias("best"), F.count("*").alias("group_size")))
     return keyed.join(groups, "key").select(
         ROW,
         "doc_id",

@@ -13,7 +13,7 @@ from hazeframe.session import cut_lineage
 #: Name of the row number that stages add beside the columns of their input.
 ROW = "__row__"
 
-__all__ = ["ROW", "ascii_lower", "cut_lineage", "id_and_text", "slices", "table", "words_of"]
+__all__ = ["ROW", "ascii_lower", "cut_lineage", "id_and_text", "slices", "spread", "table", "words_of"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,6 +36,12 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """`df` dealt out anew, without regard to keys, so that a join on the key it was grouped by shuffles both sides itself;
+    only then can Spark split a key that holds a large part of the other side's rows."""
+    return df.hint("rebalance")
+
+
 def words_of(text: str) -> list[bytes]:
     """Words between ASCII white space, A-Z lower-cased, as UTF-8."""
     return text.encode().lower().split()

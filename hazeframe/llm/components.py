@@ -1,6 +1,6 @@
 """Connected components of an edge table: alternating large-star and small-star steps (Kiveris et al., 2014).
 
-Every step is an aggregation and a join on a node. The minima are checkpointed before the join, so that Spark may split
+Every step is an aggregation and a join on a node. The minima are dealt out anew before the join, so that Spark may split
 the rows of a node with very many edges over several tasks; nothing is collected.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeframe.llm.common import cut_lineage
+from hazeframe.llm.common import cut_lineage, spread
 
 
 def components(edges: DataFrame, left: str, right: str) -> DataFrame:
@@ -23,20 +23,15 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     links = cut_lineage(links)
     while not _stars(links):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _smallest(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), both)
-        large = large.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = cut_lineage(large)
-        minima = cut_lineage(large.groupBy("u").agg(F.min("v").alias("m")))
-        small = large.join(minima, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        minima = spread(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")))
+        large = both.join(minima, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        minima = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(spread(minima), "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         links = cut_lineage(small.unionByName(minima.select("u", F.col("m").alias("v"))).distinct())
     roots = links.select(F.col("v").alias("u"), "v").distinct()
     return links.unionByName(roots).select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
-def _smallest(minima: DataFrame, rows: DataFrame) -> DataFrame:
-    return rows.join(cut_lineage(minima), "u")
-
-
 def _stars(links: DataFrame) -> bool:
     """Whether each node that points points to one root, and no root points on."""
     one, no = F.lit(1), F.lit(0)

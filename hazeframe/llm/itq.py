@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeframe.llm.buckets import block_pairs, gathered, pairs_within, whole_groups
-from hazeframe.llm.common import ROW, cut_lineage, table
+from hazeframe.llm.common import ROW, cut_lineage, spread, table
 from hazeframe.llm.components import components
 
 LEAST = 0.9
@@ -197,12 +197,13 @@ def near_vectors(
     members = coded.select(ROW, F.explode(_buckets("code")).alias("bucket"))
     parted = gathered(block_pairs(members, "bucket", ROW).join(coded, ROW), "bucket", "pair")
     met = parted.mapInArrow(_meeting, f"bucket long, pair long, own int, same boolean, code array<long>, {ROW} long")
-    met = gathered(cut_lineage(met).join(fit, ROW), "bucket", "pair")
+    met = gathered(met.join(fit, ROW), "bucket", "pair")
     found = cut_lineage(met.mapInArrow(partial(_reranked, least=least), f"{ROW} long, links long, other long"))
-    counts = cut_lineage(found.groupBy(ROW).agg(F.sum("links").alias("n_links")))
+    counts = spread(found.groupBy(ROW).agg(F.sum("links").alias("n_links")))
     named = components(found, ROW, "other")
-    linked = cut_lineage(rows.select(ROW, "vec_id").join(named, F.col(ROW) == F.col("node"), "left").select(ROW, "vec_id", F.coalesce("component", ROW).alias("component")))
-    smallest = cut_lineage(linked.groupBy("component").agg(F.min("vec_id").alias("component_id")))
+    linked = rows.select(ROW, "vec_id").join(named, F.col(ROW) == F.col("node"), "left")
+    linked = linked.select(ROW, "vec_id", F.coalesce("component", ROW).alias("component"))
+    smallest = spread(linked.groupBy("component").agg(F.min("vec_id").alias("component_id")))
     return linked.join(smallest, "component").join(counts, ROW, "left").select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

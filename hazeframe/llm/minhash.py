@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeframe.llm.buckets import block_pairs, gathered, pairs_within, whole_groups
-from hazeframe.llm.common import ROW, cut_lineage, id_and_text, slices, table, words_of
+from hazeframe.llm.common import ROW, cut_lineage, id_and_text, slices, spread, table, words_of
 from hazeframe.llm.components import components
 
 #: Words of a shingle; least similarity in hundredths.
@@ -221,7 +221,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     bands = F.array(*(F.xxhash64(F.lit(i), F.substring("sketch", 4 * ROWS * i + 1, 4 * ROWS)) for i in range(BANDS)))
     members = classes.select("node", F.explode(bands).alias("bucket"))
     ends = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    full = cut_lineage(members.join(cut_lineage(ends), "bucket"))
+    full = cut_lineage(members.join(spread(ends), "bucket"))
     wanted = full.select(F.col("node").alias(ROW)).distinct()
     sets = cut_lineage(rows.select(ROW, "text").join(wanted, ROW).mapInArrow(_sets, "node long, shingles binary"))
     low = full.where("node > low").select(F.col("low").alias("a"), F.col("node").alias("b"))
@@ -229,22 +229,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     pairs = low.unionByName(high).distinct()
     of = lambda end: classes.select(F.col("node").alias(end), F.col("sketch").alias(f"sketch_{end}"))
     paired = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sketch_a", "sketch_b")
-    links = _linked(cut_lineage(paired.mapInArrow(_tested, "a long, b long")), sets)
+    links = _linked(paired.mapInArrow(_tested, "a long, b long"), sets)
     # Buckets that hold more than one component after this first round: all their members across components.
-    labels = cut_lineage(components(links, "a", "b"))
+    labels = components(links, "a", "b")
     named = cut_lineage(
         full.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     )
     mixed = named.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    split = named.join(cut_lineage(mixed.select("bucket")), "bucket")
+    split = named.join(spread(mixed.select("bucket")), "bucket")
     groups = block_pairs(split, "bucket", "node").join(classes.select("node", "sketch"), "node")
     across = gathered(groups, "bucket", "pair").mapInArrow(_across, "a long, b long").distinct()
-    links = links.unionByName(_linked(cut_lineage(across), sets))
+    links = links.unionByName(_linked(across, sets))
     labels = components(links, "a", "b")
     joined = classes.select("digest", "node", "first_id").join(labels, "node", "left")
-    joined = cut_lineage(joined.select("digest", "first_id", F.coalesce("component", "node").alias("component")))
-    least = cut_lineage(joined.groupBy("component").agg(F.min("first_id").alias("component_id")))
-    named = cut_lineage(joined.join(least, "component").select("digest", "component_id"))
+    joined = joined.select("digest", "first_id", F.coalesce("component", "node").alias("component"))
+    least = spread(joined.groupBy("component").agg(F.min("first_id").alias("component_id")))
+    named = joined.join(least, "component").select("digest", "component_id")
     whole = sketched.drop("sketch").join(named, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return whole.select(

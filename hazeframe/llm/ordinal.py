@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeframe.llm.common import ROW, cut_lineage, id_and_text, slices, table
+from hazeframe.llm.common import cut_lineage, id_and_text, slices, table
 
 #: Rated texts that are learned from, at most, chosen by hash of their doc_id.
 SAMPLE = 6_000
@@ -195,33 +195,35 @@ def learn(docs: DataFrame, ratings: DataFrame, *, sample: int = SAMPLE) -> Ordin
 def _scored(batches: Iterator[pa.RecordBatch], model: Ordinal) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         tails = [model.tails(t).tolist() for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in batch.schema.names if c != "text"), pa.array(tails, pa.list_(pa.float64()))],
-            [*(c for c in batch.schema.names if c != "text"), "tails"],
-        )
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(tails, pa.list_(pa.float64()))], ["doc_id", "tails"])
+
+
+def _selected(batches: Iterator[pa.RecordBatch], model: Ordinal, wanted: int, least: float) -> Iterator[pa.RecordBatch]:
+    """The rows that stay, whole."""
+    for batch in slices(batches):
+        tails = (model.tails(t or "") for t in batch.column("text").to_pylist())
+        yield batch.filter(pa.array([len(p) < wanted or p[wanted - 1] >= least for p in tails], pa.bool_()))
 
 
 def graded(
-    docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text", *, wanted: int = WANTED, least: float = LEAST, rows: bool = False
+    docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text", *, wanted: int = WANTED, least: float = LEAST
 ) -> DataFrame:
     """doc_id, expected_grade, tails (P(grade >= 1), ...), tail (that of `wanted`), kept for each row of `docs`.
 
     `ratings` holds (doc_id, grade). kept: tail is `least` or more. Null text counts as empty; empty texts are graded like
     others. Without two different grades nothing can be learned: everything is kept, with null grades. Repeated rows are
-    graded alike. With `rows`, ROW stands first.
+    graded alike.
     """
-    given = id_and_text(docs, doc_id, text, rows=rows)
-    model = learn(id_and_text(docs, doc_id, text), ratings)
-    names = [*([ROW] if rows else []), "doc_id"]
+    given = id_and_text(docs, doc_id, text)
+    model = learn(given, ratings)
     if model is None:
         none = F.lit(None)
         return given.select(
-            *names, none.cast("double").alias("expected_grade"), none.cast("array<double>").alias("tails"), none.cast("double").alias("tail"), F.lit(True).alias("kept")
+            "doc_id", none.cast("double").alias("expected_grade"), none.cast("array<double>").alias("tails"), none.cast("double").alias("tail"), F.lit(True).alias("kept")
         )
-    schema = ", ".join([*(f"{n} long" for n in names), "tails array<double>"])
-    scored = given.mapInArrow(partial(_scored, model=model), schema)
+    scored = given.mapInArrow(partial(_scored, model=model), "doc_id long, tails array<double>")
     return scored.select(
-        *names,
+        "doc_id",
         F.aggregate("tails", F.lit(0.0), lambda total, p: total + p).alias("expected_grade"),
         "tails",
         F.get("tails", F.lit(wanted - 1)).alias("tail"),
@@ -239,6 +241,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pipeline stage: documents of the wanted grade stay."""
-    kept = graded(docs, ratings_of(table(spark, folder, "labels")), rows=True).where("kept").select(ROW)
-    return docs.withColumn(ROW, F.monotonically_increasing_id()).join(kept, ROW, "left_semi").drop(ROW)
+    """Pipeline stage: documents of the wanted grade stay, with all their columns; no row is moved for it."""
+    model = learn(id_and_text(docs), ratings_of(table(spark, folder, "labels")))
+    if model is None:
+        return docs
+    return docs.mapInArrow(partial(_selected, model=model, wanted=WANTED, least=LEAST), docs.schema)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeframe.llm.common import ascii_lower, cut_lineage, table
+from hazeframe.llm.common import ascii_lower, spread, table
 from hazeframe.llm.components import components
 
 #: (rule, verdict); a rule is a host, which stands for its subdomains as well, and a path that begins with "/".
@@ -105,7 +105,7 @@ def url_verdicts(
     edges = edges.where(host_of(F.col("link")) != "").select(
         "key", page_key(F.col("link")).alias("other"), best_rule(host_of(F.col("link")), path_of(F.col("link")), rules).alias("best")
     )
-    groups = cut_lineage(components(edges, "key", "other"))
+    groups = components(edges, "key", "other")
     # One row for each address with a rule, then for each component, before anything meets the pages again. Addresses
     # that are only linked to count as well.
     known = judged.where("key IS NOT NULL").select("key", "best").unionByName(edges.select(F.col("other").alias("key"), "best"))
@@ -115,7 +115,7 @@ def url_verdicts(
     aliases = groups.select(F.col("node").alias("key"), "component")
     plain = judged.select("page_id", "host", "path", "key", "best").join(aliases, "key", "left")
     plain = plain.withColumn("component", F.coalesce("component", "key"))
-    return plain.join(cut_lineage(decided), "component", "left").select(
+    return plain.join(spread(decided), "component", "left").select(
         "page_id",
         "host",
         "path",
