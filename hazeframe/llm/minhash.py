@@ -203,12 +203,13 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """ROW, doc_id, n_shingles, component_id, kept for each row of `docs`.
+    """ROW, doc_id, n_shingles, component_id, kept, group for each row of `docs`.
 
     Words stand between ASCII white space, A-Z lower-cased; a document's set are its distinct WIDTH-word shingles, or all
     its words if there are fewer. Documents whose sets have a similarity of LEAST hundredths or more are linked;
     component_id is the smallest doc_id that links reach (null only where all there are null), kept says whether it is
-    the row's own. Null, empty and blank texts have no shingles, link with nothing and are kept, each its own component.
+    the row's own. group is the component's own number, by ROW: two components have the same component_id where rows of
+    different text repeat a doc_id. Null, empty and blank texts have no shingles, link with nothing and are kept, each its own component.
     Repeated rows link with each other. Shingles are compared as 64-bit hashes, sets of one class by a 128-bit digest.
     Pairs at the threshold are missed with a probability of about 1e-6 a pair by the bands, and 1e-6 a test.
     """
@@ -244,22 +245,24 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     joined = classes.select("digest", "node", "first_id").join(labels, "node", "left")
     joined = joined.select("digest", "first_id", F.coalesce("component", "node").alias("component"))
     least = spread(joined.groupBy("component").agg(F.min("first_id").alias("component_id")))
-    named = joined.join(least, "component").select("digest", "component_id")
+    named = joined.join(least, "component").select("digest", "component", "component_id")
     whole = sketched.drop("sketch").join(named, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return whole.select(
-        ROW, "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        ROW,
+        "doc_id",
+        "n_shingles",
+        component.alias("component_id"),
+        F.col("doc_id").eqNullSafe(component).alias("kept"),
+        F.coalesce("component", ROW).alias("group"),
     )
 
 
 def op3(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(table(spark, folder, "documents")).drop(ROW)
+    return near_duplicates(table(spark, folder, "documents")).drop(ROW, "group")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pipeline stage: one document of each group stays, of rows that repeat its doc_id the first by ROW."""
-    found = near_duplicates(docs)
-    alone = found.where("n_shingles = 0").select(ROW)
-    firsts = found.where("n_shingles > 0 AND kept").groupBy("component_id").agg(F.min(ROW).alias(ROW)).select(ROW)
-    kept = alone.unionByName(firsts)
+    kept = near_duplicates(docs).where("kept").groupBy("group").agg(F.min(ROW).alias(ROW)).select(ROW)
     return docs.withColumn(ROW, F.monotonically_increasing_id()).join(kept, ROW, "left_semi").drop(ROW)

@@ -46,7 +46,7 @@ def test_base_by_brute_force(spark):
 def test_contained_detections_of_less_priority_are_suppressed(spark):
     texts = ["Licensed under the Apache License, Version 2.0", "SPDX-License-Identifier: GPL-2.0-only", "cc by-nc-sa", "license: isc and gnu gpl"]
     found = scan(spark, texts)
-    assert [(d.first, d.last, d.label) for d in found[0].detections] == [(0, 6, "apache-2.0")]
+    assert [(d.first, d.last, d.label) for d in found[0].detections] == [(0, 7, "apache-2.0")]
     assert found[0].labels == "apache,apache-2.0" and found[0].score == 0.9
     assert found[1].labels == "gpl-2"
     assert found[2].labels == "cc-by-nc-sa" or "cc-by-nc-sa" in found[2].labels
