@@ -66,6 +66,6 @@ def iso_utc(ts: Column | str) -> Column:
 
 
 def day_start_utc(day: dt.date, zone: str = LOCAL_ZONE) -> dt.datetime:
-    """UTC instant (naive) at which a local day begins."""
+    """The instant at which a local day begins, with its zone: PySpark reads a time without one in the driver's own."""
     start = dt.datetime.combine(day, dt.time(), tzinfo=ZoneInfo(zone))
-    return start.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return start.astimezone(dt.timezone.utc)

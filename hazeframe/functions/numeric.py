@@ -16,9 +16,14 @@ def as_column(value: Column | str) -> Column:
 
 
 def to_number(value: Column | str) -> Column:
-    """Double, with unreadable text and NaN turned into NULL."""
-    parsed = as_column(value).try_cast("double")
-    return F.when(~F.isnan(parsed), parsed)
+    """Double, with unreadable text and NaN turned into NULL.
+
+    A final letter is not part of a number, though Java reads "12f" and "12d" as one; "inf" and "infinity" are.
+    """
+    column = as_column(value)
+    parsed = column.try_cast("double")
+    suffixed = F.lower(F.trim(column.cast("string"))).rlike("[0-9.][fd]$")
+    return F.when(~F.isnan(parsed) & ~suffixed, parsed)
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -9,7 +9,6 @@ data size). Rows never leave the executors, and a lost task is simply rerun from
 from __future__ import annotations
 
 import json
-import math
 import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
@@ -27,7 +26,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LEARNING_RATE, BETA1, BETA2, EPSILON = 1e-3, 0.9, 0.999, 1e-8
 BATCH, DECAY = 200, 1e-4
-ROWS_PER_TASK = 50_000
+# Tasks whose parameters are averaged after each epoch. They are a setting of the method, not of the data: the fitted
+# weights depend on them, so they stay the same however many rows there are.
+TASKS = 4
 VALIDATION_SHARE, PATIENCE, TOLERANCE = 0.1, 10, 1e-4
 
 
@@ -140,8 +141,8 @@ class NetworkModel:
         return prepared.withColumn("prediction", predict(vector_to_array("features")))
 
     def save(self, path: str) -> None:
-        """Replace the model folder: the pipeline, and the parameters as a small table."""
-        self.preparation.write().overwrite().save(f"{path}/preparation")
+        """Replace the model folder, whatever it held: the pipeline, and the parameters as a small table beside it."""
+        self.preparation.write().overwrite().save(path)
         spark = SparkSession.active()
         row = (json.dumps(self.sizes), self.weights.tolist())
         table = spark.createDataFrame([row], "sizes string, weights array<double>")
@@ -150,7 +151,7 @@ class NetworkModel:
     @classmethod
     def load(cls, path: str) -> NetworkModel:
         row = SparkSession.active().read.parquet(f"{path}/parameters").first()
-        preparation = PipelineModel.load(f"{path}/preparation")
+        preparation = PipelineModel.load(path)
         return cls(preparation, json.loads(row.sizes), np.array(row.weights))
 
 
@@ -161,14 +162,15 @@ def fit_network(
     hidden: Sequence[int] = (64, 32),
     epochs: int = 60,
     seed: int = 42,
+    tasks: int = TASKS,
 ) -> NetworkModel:
     """Train on `features` of the prepared rows against `target`, with early stopping.
 
     A tenth of the rows, chosen by a hash of `key`, is held out; training ends when R2 on it has not
-    improved for ten epochs, and the best parameters are returned.
+    improved for ten epochs, and the best parameters are returned. `tasks` shares of the rows are trained at a
+    time; give more of them to fleets whose share would be too large for one task.
     """
     spark = train.sparkSession
-    tasks = max(1, math.ceil(train.count() / ROWS_PER_TASK))
     in_tenth = F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(1000)) < int(1000 * VALIDATION_SHARE)
     mixed = F.xxhash64(*key)
     # Spread by key hash: every task gets an even share of all sensors, in a repeatable order, and

@@ -9,7 +9,7 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +23,7 @@ from hazeframe.learning.dataset import (
 from hazeframe.learning.models import boosted_trees, fill_values, random_forest, ridge, scaled_features
 from hazeframe.learning.network import NetworkModel, fit_network
 from hazeframe.session import cut_lineage
+from hazeframe.sources.tables import table_exists
 
 TARGETS = ("pm25_raw", "pm10_raw")
 BASELINE = "Persistence (baseline)"
@@ -62,6 +63,11 @@ class TargetRun:
             self.best_model.write().overwrite().save(path)
 
 
+def load_model(spark: SparkSession, path: str) -> NetworkModel | PipelineModel:
+    """A saved best model of either kind."""
+    return NetworkModel.load(path) if table_exists(spark, path, "parameters") else PipelineModel.load(path)
+
+
 def side_by_side(spark: SparkSession, task: Callable, items: Sequence) -> list:
     """Run driver-side tasks in threads. Boosting is a long chain of small jobs that leaves executors
     idle; the jobs of other models fill them. Training seconds are wall-clock under that load."""
@@ -103,8 +109,9 @@ def run_target(
     trainers = TRAINERS if trainers is None else trainers
     spark = measurements.sparkSession
     dataset = cut_lineage(build_dataset(measurements, sensors, target_column, horizon))
-    split_ts = split_point(dataset).first().split_ts
-    train, test = time_split(dataset, split_ts=F.lit(split_ts))
+    # As microseconds: a timestamp on the driver would pass through the zone of its operating system.
+    micros = split_point(dataset).select(F.unix_micros("split_ts").alias("at")).first()["at"]
+    train, test = time_split(dataset, split_ts=F.timestamp_micros(F.lit(micros)))
     fills = fill_values(train, feature_columns(dataset))
 
     def score(scored: DataFrame) -> tuple:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hazeframe.functions.clock import local_time
 from hazeframe.functions.numeric import mean_of, to_number
 from hazeframe.operators.geo import nearest_settlement
+from hazeframe.sources.tables import MONTH
 
 
 def sensor_coordinates(measurements: DataFrame, keep_moves: bool = False) -> DataFrame:
@@ -20,9 +21,11 @@ def sensor_coordinates(measurements: DataFrame, keep_moves: bool = False) -> Dat
     """
     if keep_moves:
         return measurements.select("device_id", "latitude", "longitude").distinct()
+    known = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     place = F.struct("timestamp", "latitude", "longitude")
-    known = F.when(F.col("latitude").isNotNull() & F.col("longitude").isNotNull(), place)
-    latest = measurements.groupBy("device_id").agg(F.max(known).alias("place"))
+    # One row for each instant of a device first, by hash; only those few meet the ordering of whole places.
+    spots = measurements.groupBy("device_id", "latitude", "longitude").agg(F.max("timestamp").alias("timestamp"))
+    latest = spots.groupBy("device_id").agg(F.max(F.when(known, place)).alias("place"))
     return latest.select("device_id", "place.latitude", "place.longitude")
 
 
@@ -73,9 +76,13 @@ def located_readings(
     attributes: Sequence[str] = ("city",),
     salt: int = 1,
 ) -> DataFrame:
-    """Readings with numeric columns, sensor attributes and the local wall-clock time."""
+    """Readings with numeric columns, sensor attributes and the local wall-clock time.
+
+    The month that partitions a stored table stays, so that a period filter still skips its folders.
+    """
+    month = [MONTH] if MONTH in measurements.columns else []
     picked = measurements.select(
-        "device_id", "timestamp", *[to_number(c).alias(c) for c in columns]
+        "device_id", "timestamp", *month, *[to_number(c).alias(c) for c in columns]
     )
     return join_sensors(picked, sensors, attributes, salt).withColumn(
         "local_time", local_time("timestamp")

@@ -4,7 +4,8 @@ Places and coordinates become points on the unit sphere, where straight-line dis
 points as great-circle distance does and neither the poles nor the date line need special care. Space is cut into
 cubes whose edge doubles from level to level. For a coordinate, take the finest level at which its own cube holds a
 place: that place is at most sqrt(3) < 2 edges away, so the nearest one lies in the block of 27 cubes around
-the coordinate one level up. Only those candidates are measured, a few dozen whatever the local density.
+the coordinate one level up. Only those candidates are measured: few, unless very many places lie close together and far
+from the coordinate.
 """
 
 from __future__ import annotations
@@ -68,9 +69,9 @@ def nearest_settlement(coordinates: DataFrame, gazetteer: DataFrame) -> DataFram
     places = (
         gazetteer.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
         .groupBy("latitude", "longitude")
-        .agg(F.min("place_id").alias("place_id"))
+        .agg(F.min(F.struct("place_id", "name", "admin1", "cc")).alias("named"))
         .select(
-            F.struct("latitude", "longitude", "place_id").alias("place"),
+            F.struct("latitude", "longitude", "named").alias("place"),
             _point(F.col("latitude"), F.col("longitude")).alias("point"),
         )
     )
@@ -101,19 +102,12 @@ def nearest_settlement(coordinates: DataFrame, gazetteer: DataFrame) -> DataFram
         F.col("latitude"), F.col("longitude"), F.col("place.latitude"), F.col("place.longitude")
     )
     # Rounded to a millimetre, so that equal distances tie whatever the order of arithmetic.
-    ranked = F.struct(F.round(distance, 6).alias("km"), F.col("place.place_id").alias("place_id"))
+    # Names travel with the place: a gazetteer that repeats an id must not multiply coordinates.
+    ranked = F.struct(F.round(distance, 6).alias("km"), F.col("place.named").alias("named"))
     nearest = (
         candidates.select("latitude", "longitude", ranked.alias("ranked"))
         .groupBy("latitude", "longitude")
         .agg(F.min("ranked").alias("best"))
-        .select(
-            "latitude",
-            "longitude",
-            F.col("best.place_id").alias("place_id"),
-            F.col("best.km").alias("distance_km"),
-        )
-    )
-    names = gazetteer.select("place_id", "name", "admin1", "cc")
-    return nearest.join(names, "place_id").select(
-        "latitude", "longitude", "name", "admin1", "cc", "place_id", "distance_km"
+        .select("latitude", "longitude", "best.named.*", F.col("best.km").alias("distance_km"))
     )
+    return nearest.select("latitude", "longitude", "name", "admin1", "cc", "place_id", "distance_km")

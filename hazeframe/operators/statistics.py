@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazeframe.functions.numeric import TINY, bias_corrected, pearson, ratio
+from hazeframe.functions.numeric import TINY, bias_corrected, pearson, ratio, to_number
 from hazeframe.operators.cleaning import filled_counts
 from hazeframe.operators.quantiles import cells, column_at, exact_quantiles, quantile_table
 
@@ -27,9 +27,11 @@ def _per_column(df: DataFrame, columns: Sequence[str], stats: dict[str, str]) ->
     """(column, position, statistics...): SQL aggregates over `@`, for every column in one pass."""
     rows = []
     for i, c in enumerate(columns):
-        cells_of = [f"'{name}', {sql.replace('@', f'`{c}`')}" for name, sql in stats.items()]
-        rows.append(f"named_struct('column', '{c}', 'position', {i}, {', '.join(cells_of)})")
-    return df.agg(F.expr(f"array({', '.join(rows)})").alias("rows")).select(F.inline("rows"))
+        # The same meaning of missing as elsewhere: unreadable cells and NaN are NULL.
+        cells_of = [F.expr(sql.replace("@", f"v{i}")).alias(name) for name, sql in stats.items()]
+        rows.append(F.struct(F.lit(c).alias("column"), F.lit(i).alias("position"), *cells_of))
+    numbers = df.select(*(to_number(F.col(f"`{c.replace('`', '``')}`")).alias(f"v{i}") for i, c in enumerate(columns)))
+    return numbers.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 SHAPE = {

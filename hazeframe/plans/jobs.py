@@ -70,7 +70,7 @@ def describe(spark: SparkSession, root: str, report_root: str) -> None:
 def index(spark: SparkSession, root: str) -> DataFrame:
     """-> `aqi`, `daily_city_aqi`. Returns the cross-check against the exported indexes."""
     measurements, sensors = _fact(spark, root)
-    write_table(air_quality.reading_aqi(measurements, sensors), root, "aqi")
+    write_measurements(air_quality.reading_aqi(measurements, sensors), root, "aqi")
     write_table(air_quality.daily_city_aqi(read_table(spark, root, "aqi")), root, "daily_city_aqi")
     return air_quality.cross_checks(measurements, sensors)
 

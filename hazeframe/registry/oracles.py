@@ -378,11 +378,11 @@ SELECT device_id, timestamp, city, {rs(IDX)}, dominant_pollutant, aqi_category,
 add("daily_city_aqi", [READINGS, AQI], f"SELECT city, date, {rs(IDX)}, aqi_category FROM daily_aqi")
 add("aqi_heatmap", [READINGS, AQI], f"SELECT date, city, {r('max(aqi)', 'aqi')} FROM daily_aqi GROUP BY 1, 2")
 add("aqi_cross_check", [READINGS, f"""gaps AS (
-  SELECT 'PM2.5 NowCast AQI (EPA)' AS name, abs({aqi_sql('pm25_nowcast', 'pm25')}
+  SELECT 'pm25 of the nowcast' AS name, abs({aqi_sql('pm25_nowcast', 'pm25')}
     - ({aqi_sql('pm25_nowcast', 'pm25')} + event_id % 2)) AS gap FROM joined
-  UNION ALL SELECT 'NO2 1h AQI (EPA)', abs({aqi_sql('no2_raw', 'no2')} - no2_aqi_epa) FROM joined)"""], f"""
+  UNION ALL SELECT 'no2 of the hour', abs({aqi_sql('no2_raw', 'no2')} - no2_aqi_epa) FROM joined)"""], f"""
 SELECT name, count(gap) AS n_compared, {r('avg(gap)', 'mae')},
-{r('count(*) FILTER (gap <= 1) * 100.0::DOUBLE / count(gap)', 'within_one_pct')}, 'ok' AS message
+{r('count(*) FILTER (gap <= 1) * 100.0::DOUBLE / count(gap)', 'within_one_pct')}, 'compared' AS status
 FROM gaps GROUP BY name""")
 add("category_share", [READINGS, AQI], f"""
 SELECT aqi_category, count(*) AS n, {r('count(*) * 100.0::DOUBLE / sum(count(*)) OVER ()', 'pct')}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import io
 import sys
 from collections.abc import Iterator, Sequence
 
@@ -20,13 +21,16 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TIMESTAMP_FORMATS = (
     "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX",
+    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XX",
+    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]X",
     "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS][XXX]",
+    "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]XX",
+    "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]X",
     "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]",
     "yyyy-MM-dd'T'HH:mm[XXX]",
     "yyyy-MM-dd HH:mm[XXX]",
     "yyyy-MM-dd",
 )
-HEADER_BYTES = 1 << 16
 
 
 def empty_measurements(spark: SparkSession) -> DataFrame:
@@ -75,11 +79,16 @@ def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for path in batch["path"]:
             # Spark prints local paths as file:/x, the file system wants file:///x.
             scheme, _, rest = path.partition(":")
-            uri = path if rest.startswith("//") else f"{scheme}://{rest}"
+            scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+            uri = f"{scheme}:{rest}" if rest.startswith("//") else f"{scheme}://{rest}"
             files, inner = fs.FileSystem.from_uri(uri)
             with files.open_input_stream(inner) as stream:
-                text = stream.read(HEADER_BYTES).decode("utf-8-sig", errors="replace")
-            headers.append(text.splitlines()[0] if text else "")
+                # The first record, however long, and over as many lines as its quotes span.
+                lines = io.TextIOWrapper(stream, encoding="utf-8-sig", errors="replace", newline="")
+                names = next(csv.reader(lines), [])
+            line = io.StringIO()
+            csv.writer(line, lineterminator="").writerow(names)
+            headers.append(line.getvalue() if any(names) else "")
         yield pd.DataFrame({"path": batch["path"], "header": headers})
 
 
@@ -104,7 +113,7 @@ def files_by_header(spark: SparkSession, folder: str) -> dict[str, list[str]]:
 
 
 def _scan(spark: SparkSession, header: str, paths: list[str], **options: str) -> DataFrame:
-    names = next(csv.reader([header]))
+    names = next(csv.reader(io.StringIO(header, newline="")))
     # Positional placeholders keep repeated headers apart; the first of each name is used.
     schema = ", ".join(f"c{i} string" for i in range(len(names)))
     reader = spark.read.schema(schema).option("header", True).options(**options)

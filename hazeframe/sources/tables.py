@@ -35,7 +35,7 @@ def write_table(df: DataFrame, root: str, name: str) -> None:
 
 
 def write_measurements(df: DataFrame, root: str, name: str = "measurements") -> None:
-    """Replace the fact table, one folder per UTC month.
+    """Replace the fact table, or one with a row for each of its readings, one folder per UTC month.
 
     REBALANCE lets AQE split a month (or a device within it) that outgrows one task and merge small
     ones, so file sizes stay even whatever the skew. Rows are sorted inside each file, which

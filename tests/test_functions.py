@@ -86,8 +86,8 @@ def test_clock_changes(spark):
         (2, dt.date(2022, 10, 30), "2022-10", "Sunday"),
         (0, dt.date(2023, 1, 1), "2023-01", "Sunday"),
     ]
-    assert clock.day_start_utc(dt.date(2022, 7, 1)) == dt.datetime(2022, 6, 30, 22)
-    assert clock.day_start_utc(dt.date(2022, 1, 1)) == dt.datetime(2021, 12, 31, 23)
+    assert clock.day_start_utc(dt.date(2022, 7, 1)) == dt.datetime(2022, 6, 30, 22, tzinfo=dt.timezone.utc)
+    assert clock.day_start_utc(dt.date(2022, 1, 1)) == dt.datetime(2021, 12, 31, 23, tzinfo=dt.timezone.utc)
 
 
 def test_calendar_flags(spark):

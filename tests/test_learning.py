@@ -93,15 +93,14 @@ def test_network_gradient():
         assert got[i] == pytest.approx((loss(vector + step) - loss(vector - step)) / 2e-6, abs=1e-6)
 
 
-def test_network_learns_across_tasks(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(network, "ROWS_PER_TASK", 4000)
+def test_network_learns_across_tasks(spark, tmp_path):
     df = spark.range(8000).select(
         "id", (F.randn(1) * 2).alias("a"), F.randn(2).alias("b")
     ).withColumn("target", F.abs("a") * 3 + F.col("b"))
     df = cut_lineage(df)
     fills = models.fill_values(df, ["a", "b"])
     preparation = Pipeline(stages=models.scaled_features(fills)).fit(df)
-    model = network.fit_network(df, preparation, ["id"], hidden=(32, 16), epochs=60)
+    model = network.fit_network(df, preparation, ["id"], hidden=(32, 16), epochs=60, tasks=2)
     assert model.scores[0] < 0 < 0.9 < max(model.scores) and len(model.scores) <= 61
     before = ds.evaluate(model.transform(df), "target", "prediction").first()
     assert before.r2 > 0.9

@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from hazeframe.functions.numeric import by_label_order
+from hazeframe.functions.numeric import by_label_order, to_number
 from hazeframe.operators import (
     air_quality,
     anomalies,
@@ -359,8 +359,8 @@ def test_index_falls_back_to_the_hourly_value(spark):
 
 def test_cross_check_without_overlap(spark):
     df = spark.createDataFrame([(1.0, None), (None, 2.0)], "a double, b double")
-    row = air_quality.cross_check(df, "a", "b", "x").first()
-    assert (row.n_compared, row.mae, row.message) == (0, None, "no overlapping values to cross-check")
+    row = air_quality.cross_check(df, {"x": ("a", "b")}).first()
+    assert (row.n_compared, row.mae, row.status) == (0, None, "empty")
 
 
 def test_shares_of_an_empty_table(spark):
@@ -488,3 +488,39 @@ def test_markers(spark):
     assert got["B"].tooltip == "y (B)"
     zero = spark.createDataFrame([("A", "x", 1.0, 2.0, 0.0, 1.0)], schema)
     assert dashboard.map_markers(zero, "PM").first().radius == 6.0
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_period_filter_whatever_the_zone_of_the_driver(spark, medium, zone, tmp_path):
+    """In a process of its own: the zone of the operating system is read at its start."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    import hazeframe.registry.queries as registered
+
+    code = (
+        "from hazeframe.session import get_spark; from hazeframe.registry.queries import QUERIES; import sys;"
+        "s = get_spark('zone', 'local[2]', **{'spark.sql.shuffle.partitions': '2', 'spark.local.dir': sys.argv[2]});"
+        "print('rows', QUERIES['period_filter'](s, sys.argv[1]).count())"
+    )
+    root = str(Path(__file__).resolve().parents[1])
+    env = os.environ | {"TZ": zone, "PYTHONPATH": root}
+    done = subprocess.run([sys.executable, "-c", code, medium, str(tmp_path)], env=env, capture_output=True, text=True, timeout=300)
+    assert f"rows {registered.QUERIES['period_filter'](spark, medium).count()}" in done.stdout, done.stderr[-2000:]
+
+
+def test_numbers_with_a_suffix_are_text(spark):
+    df = spark.createDataFrame([("12f",), ("12d",), ("1e3",), (" 7 ",), ("x",), ("Infinity",)], "v string")
+    assert [r.n for r in df.select(to_number("v").alias("n")).collect()] == [None, None, 1000.0, 7.0, None, float("inf")]
+
+
+def test_repeated_place_ids_give_one_sensor_each(spark):
+    rows = [("a", T0, 42.0, 19.0), ("b", T0, 43.0, 20.0)]
+    measurements = spark.createDataFrame(rows, "device_id string, timestamp timestamp, latitude double, longitude double")
+    gazetteer = spark.createDataFrame(
+        [(1, "x", "r", "c", 42.0, 19.0), (1, "y", "r", "c", 43.0, 20.0)], "place_id long, name string, admin1 string, cc string, latitude double, longitude double"
+    )
+    found = fleet.build_sensors(measurements, gazetteer).collect()
+    assert sorted((r.device_id, r.city) for r in found) == [("a", "x"), ("b", "y")]
