@@ -317,14 +317,14 @@ def impossible_values(df: DataFrame, smaller: str = "pm25_raw", larger: str = "p
 
 
 def sampled_pairs(df: DataFrame, x: str, y: str, key: Sequence[str], size: int = 5000, seed: int = 42) -> DataFrame:
-    """Seeded sample of at most `size` rows that have both columns: those with the smallest key hashes.
+    """Seeded sample of at most `size` rows that have both columns: those with the smallest MD5 of seed and key.
 
     The cut-off is found from counts per hash prefix, so the final sort sees little more than `size` rows
     instead of `size` rows from every task.
     """
     pairs = df.select(*key, x, y).where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    hashed = pairs.withColumn("_hash", F.xxhash64(*key, F.lit(seed)))
-    prefix = F.shiftrightunsigned(F.col("_hash"), 44)
+    hashed = pairs.withColumn("_hash", F.md5(F.concat_ws(":", F.lit(str(seed)), *(F.col(k).cast("string") for k in key))))
+    prefix = F.substring("_hash", 1, 5)
     per_prefix = hashed.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
     # At most 2^20 rows, however many pairs there are.
     running = per_prefix.withColumn("upto", F.sum("n").over(Window.orderBy("prefix")))
@@ -332,7 +332,7 @@ def sampled_pairs(df: DataFrame, x: str, y: str, key: Sequence[str], size: int =
     cut = running.agg(F.coalesce(enough, F.max("prefix")).alias("cut"))
     return (
         hashed.where(prefix <= cut.scalar())
-        .orderBy(F.shiftrightunsigned(F.col("_hash"), 1), *key)
+        .orderBy("_hash", *key)
         .limit(size)
         .select(*key, x, y)
     )

@@ -377,6 +377,9 @@ add("reading_aqi", [READINGS, AQI], f"""
 SELECT device_id, timestamp, city, {rs(IDX)}, dominant_pollutant, aqi_category, event_id FROM aqi""")
 add("daily_city_aqi", [READINGS, AQI], f"SELECT city, date, {rs(IDX)}, aqi_category FROM daily_aqi")
 add("aqi_heatmap", [READINGS, AQI], f"SELECT date, city, {r('max(aqi)', 'aqi')} FROM daily_aqi GROUP BY 1, 2")
+add("sampled_pairs", [READINGS], """
+SELECT event_id, humidity_internal, pm25_raw FROM readings WHERE humidity_internal IS NOT NULL AND pm25_raw IS NOT NULL
+ORDER BY md5(concat_ws(':', '42', event_id::VARCHAR)), event_id LIMIT 5000""")
 add("aqi_cross_check", [READINGS, f"""gaps AS (
   SELECT 'pm25 of the nowcast' AS name, abs({aqi_sql('pm25_nowcast', 'pm25')}
     - ({aqi_sql('pm25_nowcast', 'pm25')} + event_id % 2)) AS gap FROM joined

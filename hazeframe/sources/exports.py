@@ -93,7 +93,7 @@ def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def files_by_header(spark: SparkSession, folder: str) -> dict[str, list[str]]:
-    """Header line -> CSV files that carry it.
+    """Header line -> CSV files that carry it, or the folder if all of them carry one.
 
     One scan over files with different headers would match cells by position, so each distinct header
     gets its own scan. Headers are read on the executors; only the file listing, which the driver
@@ -108,6 +108,10 @@ def files_by_header(spark: SparkSession, folder: str) -> dict[str, list[str]]:
             return {}
         raise
     headers = listing.mapInPandas(_read_headers, "path string, header string")
+    different = headers.select("header").distinct().limit(2).collect()
+    if len(different) == 1:
+        # One header, the usual case: the folder itself is scanned, and no list of its files is gathered.
+        return {different[0].header: [folder]}
     groups = headers.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
     return {row.header: row.paths for row in groups.orderBy("header").collect()}
 
@@ -116,7 +120,7 @@ def _scan(spark: SparkSession, header: str, paths: list[str], **options: str) ->
     names = next(csv.reader(io.StringIO(header, newline="")))
     # Positional placeholders keep repeated headers apart; the first of each name is used.
     schema = ", ".join(f"c{i} string" for i in range(len(names)))
-    reader = spark.read.schema(schema).option("header", True).options(**options)
+    reader = spark.read.schema(schema).option("header", True).option("pathGlobFilter", "*.csv").options(**options)
     first = {name: i for i, name in reversed(list(enumerate(names)))}
     wanted = [F.col(f"c{i}").alias(COLUMN_MAP[name]) for name, i in first.items() if name in COLUMN_MAP]
     return reader.csv(paths).select(*wanted, F.col("_metadata.file_name").alias("source_file"))

@@ -158,3 +158,41 @@ def test_jobs_in_order(spark, tmp_path):
     assert set(jobs.available_tables(spark, root)) == {
         "measurements", "sensors", "daily_city_avg", "monthly_city_avg", "aqi", "daily_city_aqi", "anomalies",
     }
+
+
+def test_long_and_quoted_headers_are_read_whole(spark, tmp_path):
+    many = [f"Extra {i}" for i in range(12_000)]
+    write(tmp_path / "long.csv", ["Device ID", TIME, *many, PM25], ["D1", "2022-03-01T00:00:00+0000", *["x"] * len(many), "7.5"])
+    assert (tmp_path / "long.csv").stat().st_size > 150_000
+    rows = exports.load_folder(spark, str(tmp_path), "kg", maxColumns="30000").select("timestamp", "pm25_raw", "source_file").collect()
+    assert [tuple(r) for r in rows] == [(dt.datetime(2022, 3, 1), 7.5, "long.csv")]
+
+
+def test_month_folders_are_skipped_through_the_join(spark, tmp_path):
+    from hazeframe.operators import fleet
+
+    rows = [("A", dt.datetime(2022, m, 10), 1.0 * m) for m in (1, 2, 3)]
+    tables.write_measurements(spark.createDataFrame(rows, "device_id string, timestamp timestamp, pm25_raw double"), str(tmp_path))
+    sensors = spark.createDataFrame([("A", "x")], "device_id string, city string")
+    joined = fleet.located_readings(tables.read_table(spark, str(tmp_path), "measurements"), sensors, ["pm25_raw"])
+    picked = dashboard.filter_period(joined, dt.date(2022, 3, 1), dt.date(2022, 3, 31))
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(utc_month" in plan and picked.count() == 1
+
+
+def test_either_kind_of_model_loads(spark, tmp_path):
+    import numpy as np
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from hazeframe.learning import models, network, training
+
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, 6.5)], "a double, target double")
+    ridge = models.ridge(df, {"a": 2.0})
+    path = str(tmp_path / "best")
+    ridge.write().overwrite().save(path)
+    assert isinstance(training.load_model(spark, path), PipelineModel)
+    preparation = Pipeline(stages=models.scaled_features({"a": 2.0})).fit(df)
+    network.NetworkModel(preparation, [1, 1], np.array([1.0, 0.0])).save(path)
+    assert isinstance(training.load_model(spark, path), network.NetworkModel)
+    ridge.write().overwrite().save(path)
+    assert isinstance(training.load_model(spark, path), PipelineModel)
