@@ -2,22 +2,44 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import hazeframe
 from hazeframe.session import cut_lineage
 
 #: Name of the row number that stages add beside the columns of their input.
 ROW = "__row__"
 
-__all__ = ["ROW", "ascii_lower", "cut_lineage", "id_and_text", "slices", "spread", "table", "words_of"]
+__all__ = ["ROW", "ascii_lower", "cut_lineage", "id_and_text", "ship", "slices", "spread", "table", "words_of"]
+
+
+#: Applications that the code was sent to, with the folder of the archive, which Spark serves as long as it runs.
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library's code to the executors, once for each application, so that Python tasks find it there."""
+    context, package = spark.sparkContext, Path(hazeframe.__file__).parent
+    if context.applicationId in _shipped or not package.is_dir():
+        return  # sent before, or itself from an archive that was sent
+    folder = _shipped[context.applicationId] = tempfile.TemporaryDirectory(prefix="hazeframe-code-")
+    archive = Path(folder.name) / "hazeframe-code.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the test tables, read by Spark wherever the folder lies."""
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -27,6 +49,7 @@ def id_and_text(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *,
     `rows` adds ROW, a number for each input row. It depends on file splits only, so `docs` must be a scan (with
     filters or projections), as it is wherever a table was read; two readings then give equal numbers.
     """
+    ship(docs.sparkSession)
     columns = [F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")]
     return docs.select(*columns, *([F.monotonically_increasing_id().alias(ROW)] if rows else []))
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeframe.llm.buckets import block_pairs, gathered, pairs_within, whole_groups
-from hazeframe.llm.common import ROW, cut_lineage, spread, table
+from hazeframe.llm.common import ROW, cut_lineage, ship, spread, table
 from hazeframe.llm.components import components
 
 LEAST = 0.9
@@ -63,6 +63,7 @@ class Codes:
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     """ROW, vec_id, vector (double[]) and whether it is one that can link: not null, zero, or with odd components."""
+    ship(vectors.sparkSession)
     given = vectors.select(
         F.monotonically_increasing_id().alias(ROW),
         F.col(f"`{vec_id}`").cast("long").alias("vec_id"),

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeframe.llm.common import id_and_text, slices, table
+from hazeframe.llm.common import id_and_text, ship, slices, table
 from hazeframe.llm.guesses import log_guesses
 
 #: Fixed patterns; their letters stand for either case where (?i) says so, ASCII only. The whole match is the span.
@@ -140,6 +140,7 @@ def _masked(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[p
 
 def mask_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pipeline stage: every document stays, with its secrets masked and n_chars counted anew."""
+    ship(spark)
     return docs.mapInArrow(partial(_masked, columns=docs.columns), docs.schema)
 
 
