@@ -4,19 +4,26 @@ Places and coordinates become points on the unit sphere, where straight-line dis
 points as great-circle distance does and neither the poles nor the date line need special care. Space is cut into
 cubes whose edge doubles from level to level. For a coordinate, take the finest level at which its own cube holds a
 place: that place is at most sqrt(3) < 2 edges away, so the nearest one lies in the block of 27 cubes around
-the coordinate one level up. Only those candidates are measured: few, unless very many places lie close together and far
-from the coordinate.
+the coordinate one level up. Where these hold many places, as a dense cluster far from the coordinate does, they are
+replaced by their occupied parts, level by level, and parts that can't hold the nearest place are dropped; what is left is measured.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hazeframe.session import cut_lineage
+
 EARTH_RADIUS_KM = 6371.0088
 # From about 100 m up to a single cube around the whole sphere.
 EDGES = tuple(2.0**power for power in range(-16, 3))
 CELL = ("level", "cx", "cy", "cz")
+SPOT = ("latitude", "longitude")
+# Places in a coordinate's cubes from which the cubes are cut further. It bounds work; the answer doesn't depend on it.
+MOST = 256
+# On the unit sphere, well above the millimetre that distances are rounded to.
+SLACK = 1e-7
 
 
 def _point(lat: Column, lon: Column) -> Column:
@@ -59,11 +66,54 @@ def _with_neighbours(df: DataFrame) -> DataFrame:
     return df.drop("dx", "dy", "dz")
 
 
+def _edge() -> Column:
+    """Edge of the cubes of `level`."""
+    return F.element_at(F.array(*[F.lit(e) for e in EDGES]), F.col("level") + 1)
+
+
+def _from_cube(far: bool) -> Column:
+    """Least or largest straight-line distance of `point` to the places in a row's cube."""
+    total = F.lit(0.0)
+    for axis in "xyz":
+        low = F.col(f"c{axis}") * F.col("edge") - 1
+        below, above = low - F.col(f"point.{axis}"), F.col(f"point.{axis}") - low - F.col("edge")
+        part = F.greatest(F.abs(below), F.abs(above)) if far else F.greatest(below, above, F.lit(0.0))
+        total = total + part * part
+    return F.sqrt(total)
+
+
+def _thinned(cubes: DataFrame, occupied: DataFrame) -> DataFrame:
+    """Cubes to search of each coordinate, cut until they hold at most MOST places or are the finest there are."""
+    columns = [*SPOT, *CELL, "n"]
+    each = Window.partitionBy(*SPOT)
+    parts = occupied.select(
+        (F.col("level") + 1).alias("level"),
+        *[F.floor(F.col(c) / 2).alias(c) for c in CELL[1:]],
+        F.struct(*[F.col(c).alias(f"part_{c}") for c in (*CELL, "n")]).alias("part"),
+    )
+    while True:
+        cubes = cut_lineage(cubes.select(*columns))
+        crowded = (F.sum("n").over(each) > MOST) & (F.col("level") > 0)
+        marked = cubes.withColumn("crowded", crowded)
+        if not marked.where("crowded").head(1):
+            return cubes
+        finer = (
+            marked.where("crowded")
+            .join(parts, list(CELL))
+            .select(*SPOT, *[F.col(f"part.part_{c}").alias(c) for c in (*CELL, "n")])
+            .withColumn("point", _point(F.col("latitude"), F.col("longitude")))
+            .withColumn("edge", _edge())
+            .withColumn("reach", F.min(_from_cube(far=True)).over(each))
+            .where(_from_cube(far=False) <= F.col("reach") + SLACK)
+        )
+        cubes = marked.where(~F.col("crowded")).select(*columns).unionByName(finer.select(*columns))
+
+
 def nearest_settlement(coordinates: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """(latitude, longitude) -> name, admin1, cc and distance of the nearest place.
 
     `coordinates` holds distinct pairs; equal distances go to the smallest `place_id`. Coordinates that are
-    NULL, or an empty gazetteer, give no row.
+    NULL, or an empty gazetteer, give no row. The search itself runs at once, as its depth depends on the places.
     """
     # Places at one spot are told apart by id alone: keep the first of each spot.
     places = (
@@ -76,28 +126,26 @@ def nearest_settlement(coordinates: DataFrame, gazetteer: DataFrame) -> DataFram
         )
     )
     place_cells = _with_cell(places.select("*", _levels().alias("grid"))).select(*CELL, "place")
-    # Spark estimates the size of an exploded table by that of its input, so it would broadcast tables
-    # many times larger than it believes: these joins are always shuffled.
-    occupied = place_cells.select(*CELL).distinct().hint("merge")
+    # Spark takes an exploded table to be as small as its input, and would broadcast far more than it believes. The
+    # size of a stored one it measures when it is shuffled, and then picks the join.
+    occupied = cut_lineage(place_cells.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n")))
 
     wanted = coordinates.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    located = wanted.select("*", _point(F.col("latitude"), F.col("longitude")).alias("point"))
+    located = wanted.select(*SPOT, _point(F.col("latitude"), F.col("longitude")).alias("point"))
     own_cells = _with_cell(located.select("*", _levels().alias("grid")))
     finest = (
         own_cells.join(occupied, list(CELL), "left_semi")
-        .groupBy("latitude", "longitude")
+        .groupBy(*SPOT)
         .agg(F.min("level").alias("finest"))
     )
-    search_level = F.least(F.col("finest") + 1, F.lit(len(EDGES) - 1))
-    edge = F.element_at(F.array(*[F.lit(e) for e in EDGES]), F.col("search") + 1)
     searched = (
-        finest.withColumn("search", search_level)
-        .withColumn("grid", F.struct(F.col("search").alias("level"), edge.alias("edge")))
+        finest.withColumn("level", F.least(F.col("finest") + 1, F.lit(len(EDGES) - 1)))
+        .withColumn("grid", F.struct("level", _edge().alias("edge")))
+        .drop("level")
         .withColumn("point", _point(F.col("latitude"), F.col("longitude")))
     )
-    candidates = _with_neighbours(_with_cell(searched)).join(
-        place_cells.hint("merge"), list(CELL)
-    )
+    cubes = _thinned(_with_neighbours(_with_cell(searched)).join(occupied, list(CELL)), occupied)
+    candidates = cubes.join(place_cells.hint("merge"), list(CELL))
     distance = haversine_km(
         F.col("latitude"), F.col("longitude"), F.col("place.latitude"), F.col("place.longitude")
     )

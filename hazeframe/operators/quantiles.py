@@ -3,13 +3,15 @@
 Spark's `percentile` merges a value -> count map of the entire group in a single task. Here three scans find the
 values at the wanted ranks:
 
-1. mergeable sketches give approximate quantiles a little below and above each probability;
+1. sketches, merged in two levels, give approximate quantiles a little below and above each probability;
 2. these cut each column into a few segments, whose exact counts tell which segment holds which rank
    (the sketch only decides how narrow that segment is, never which value is returned);
-3. the values of those segments alone - about a 2,500th of the rows per rank - are counted, split once
-   more into equal bins, and ranked inside one bin.
+3. the values of those segments alone are counted. A segment with more rows than one window should hold is stored and
+   cut again in the same way, as often as needed, whatever the distribution of its values.
 
-Nothing but sketches, segment counts and the narrow segments is ever shuffled.
+Nothing but sketches, segment counts and the narrow segments is ever shuffled. The first two steps run at once: sketches
+are random, and numbers read back once stay the same for whatever is computed from them, also after a lost executor.
+What the driver reads is a few numbers for each column and probability.
 """
 
 from __future__ import annotations
@@ -20,15 +22,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeframe.functions.numeric import to_number
+from hazeframe.session import cut_lineage
 
-ACCURACY = 10_000
-MARGIN = 2.0 / ACCURACY
-BINS = 1 << 14
+# Size of a sketch; ranks lie within MARGIN of the sketch's with a probability above 0.99.
+SKETCH = 4096
+MARGIN = 0.0015
+# Groups of map tasks whose sketches are merged before those of all.
+GROUPS = 1024
+# Rows that one window sorts at most. It bounds memory; the answer doesn't depend on it.
+WINDOW = 200_000
+# Equal shares that a segment with more rows is cut into.
+SHARES = 64
+
+
+def _number(name: str) -> Column:
+    return to_number(F.col(f"`{name.replace('`', '``')}`"))
 
 
 def cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(position, value) of the present values; position is the index of the column."""
-    values = F.array(*[to_number(c) for c in columns])
+    values = F.array(*[_number(c) for c in columns])
     return df.select(F.posexplode(values).alias("position", "value")).where("value IS NOT NULL")
 
 
@@ -37,17 +50,32 @@ def column_at(columns: Sequence[str]) -> Column:
     return F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("position") + 1)
 
 
-def _edges(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """(position, edges): ascending approximate quantiles around each probability, one row per column."""
-    around = sorted(
-        {min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-MARGIN, MARGIN)}
-    )
-    sketches = [
-        F.percentile_approx(to_number(c), around, ACCURACY).alias(f"c{i}") for i, c in enumerate(columns)
-    ]
-    row = df.agg(*sketches)
-    return row.select(F.posexplode(F.array(*row.columns)).alias("position", "edges")).where(
-        "edges IS NOT NULL"
+def _edges(sketches: DataFrame, key: Sequence[str], fractions: Sequence[float]) -> DataFrame:
+    """key, edges: ascending approximate quantiles at the fractions, from sketches of parts of each key's values."""
+    whole = sketches.groupBy(*key).agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+    filled = whole.where(F.kll_sketch_get_n_double("sketch") > 0)
+    at = F.array(*[F.lit(float(f)) for f in fractions])
+    return filled.select(*key, F.array_sort(F.kll_sketch_get_quantile_double("sketch", at)).alias("edges"))
+
+
+def _group() -> Column:
+    return F.spark_partition_id() % GROUPS
+
+
+def _column_edges(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> dict[int, list[float]]:
+    """position -> edges. One sketch a column and task, no row is multiplied."""
+    numbers = df.select(_group().alias("part"), *[_number(c).alias(f"v{i}") for i, c in enumerate(columns)])
+    sketch = [F.kll_sketch_agg_double(f"v{i}", F.lit(SKETCH)).alias(f"v{i}") for i in range(len(columns))]
+    parts = numbers.groupBy("part").agg(*sketch)
+    long = parts.select(F.posexplode(F.array(*parts.columns[1:])).alias("position", "sketch"))
+    return {row.position: row.edges for row in _edges(long.where("sketch IS NOT NULL"), ["position"], fractions).collect()}
+
+
+def _counted(rows: DataFrame, key: Sequence[str], edges: Column, n: Column) -> DataFrame:
+    """Rows, smallest and largest value of each key's segment; a value's segment is the number of edges below it."""
+    segment = F.size(F.filter(edges, lambda e: e < F.col("value")))
+    return rows.groupBy(*key, segment.alias("segment")).agg(
+        F.sum(n).alias("n"), F.count(F.lit(1)).alias("n_values"), F.min("value").alias("low"), F.max("value").alias("high")
     )
 
 
@@ -59,11 +87,38 @@ def _first_reaching(rows: DataFrame, order: str, keep: Sequence[str]) -> DataFra
     return upto.where(hit).select("position", "rank", *keep, (F.col("upto") - F.col("n")).alias("below"))
 
 
-def _bin() -> Column:
-    """Bin of `value` in [low, high]. Monotone in the value, so bins keep the order of ranks."""
-    width = F.col("high") - F.col("low")
-    place = (F.col("value") - F.col("low")) / F.nullif(width, F.lit(0.0)) * F.lit(float(BINS))
-    return F.coalesce(F.least(F.floor(place), F.lit(BINS - 1)), F.lit(0))
+HOLDER = "position int, rank long, low double, high double, n_values long, below long"
+
+
+def _holders(found: DataFrame) -> DataFrame:
+    """The segment that holds each rank, read back: one row per column and rank."""
+    return found.sparkSession.createDataFrame(
+        [tuple(row) for row in _first_reaching(found, "segment", ["low", "high", "n_values"]).collect()], HOLDER
+    )
+
+
+def _within(rows: DataFrame, holders: DataFrame) -> DataFrame:
+    """Values of the holders' segments with their number of rows."""
+    key = ["position", "rank"] if "rank" in rows.columns else ["position"]
+    kept = rows.join(F.broadcast(holders.drop("n_values")), key).where("value BETWEEN low AND high")
+    return kept.select("position", "rank", "below", "value", *[c for c in ("n",) if c in rows.columns])
+
+
+def _narrowed(inside: DataFrame, most: int) -> DataFrame:
+    """`inside` cut down until no (position, rank) has more than `most` values."""
+    key = ["position", "rank"]
+    while True:
+        inside = cut_lineage(inside)
+        sizes = inside.groupBy(*key).agg(F.count(F.lit(1)).alias("n_values"))
+        if not sizes.where(F.col("n_values") > most).head(1):
+            return inside
+        sketch = F.kll_sketch_agg_double("value", F.lit(SKETCH)).alias("sketch")
+        parts = inside.groupBy(*key, _group().alias("part")).agg(sketch)
+        # As many rows as there are columns and probabilities, read back for the same reason as above.
+        rows = _edges(parts, key, [i / SHARES for i in range(1, SHARES)]).collect()
+        edges = inside.sparkSession.createDataFrame([tuple(r) for r in rows], "position int, rank long, edges array<double>")
+        cut = _counted(inside.join(F.broadcast(edges), key), [*key, "below"], F.col("edges"), F.col("n"))
+        inside = _within(inside.drop("below"), _holders(cut))
 
 
 def exact_quantiles(
@@ -71,17 +126,12 @@ def exact_quantiles(
 ) -> DataFrame:
     """(column, probability, value) by linear interpolation; columns without a value are absent."""
     values = cells(df, columns)
-    edges = _edges(df, columns, probabilities)
-    n_edges = 2 * len(probabilities)
-    segment = sum((F.col("value") > F.get("edges", F.lit(i))).cast("int") for i in range(n_edges))
-    # Broadcast tables below hold a few rows per column and probability.
-    segments = (
-        values.join(F.broadcast(edges), "position")
-        .groupBy("position", F.coalesce(segment, F.lit(0)).alias("segment"))
-        .agg(
-            F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
-        )
-    )
+    around = sorted({min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-MARGIN, MARGIN)})
+    found = _column_edges(df, columns, around)
+    per_column = F.array(*[F.array(*[F.lit(e) for e in found.get(i, [])]).cast("array<double>") for i in range(len(columns))])
+    counts = _counted(values, ["position"], F.element_at(per_column, F.col("position") + 1), F.lit(1))
+    # A few numbers for each column and probability from here on to `holders`.
+    segments = df.sparkSession.createDataFrame([tuple(row) for row in counts.collect()], counts.schema)
     place = (F.col("total") - 1) * F.col("probability")
     wanted = (
         segments.groupBy("position")
@@ -97,24 +147,13 @@ def exact_quantiles(
     )
     ranks = wanted.select("position", F.explode(F.array("lower_rank", "upper_rank")).alias("rank")).distinct()
     start = segments.join(F.broadcast(ranks), "position").withColumn("below", F.lit(0).cast("bigint"))
-    holders = _first_reaching(start, "segment", ["low", "high"])
-
-    inside = (
-        values.join(F.broadcast(holders), "position")
-        .where("value BETWEEN low AND high")
-        .groupBy("position", "rank", "low", "high", "below", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    bins = inside.groupBy("position", "rank", "below", _bin().alias("bin")).agg(
-        F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
-    )
-    narrow = _first_reaching(bins, "bin", ["low", "high"])
-    candidates = inside.select("position", "rank", "value", "n").join(
-        F.broadcast(narrow), ["position", "rank"]
-    )
-    found = _first_reaching(candidates.where("value BETWEEN low AND high"), "value", ["value"])
-
-    ends = wanted.join(F.broadcast(found), "position").where("rank IN (lower_rank, upper_rank)")
+    holders = _holders(start)
+    inside = _within(values, holders).groupBy("position", "rank", "below", "value").agg(F.count(F.lit(1)).alias("n"))
+    if holders.where(F.col("n_values") > WINDOW).head(1):
+        inside = _narrowed(inside, WINDOW)
+    reached = _first_reaching(inside, "value", ["value"])
+    # Broadcast: a row per column and rank.
+    ends = wanted.join(F.broadcast(reached), "position").where("rank IN (lower_rank, upper_rank)")
     lower = F.max(F.when(F.col("rank") == F.col("lower_rank"), F.col("value")))
     upper = F.max(F.when(F.col("rank") == F.col("upper_rank"), F.col("value")))
     return (

@@ -20,7 +20,9 @@ from hazeframe.operators import (
     statistics,
     timeseries,
 )
+from hazeframe.operators import geo
 from hazeframe.operators.geo import nearest_settlement
+from hazeframe.session import cut_lineage
 
 T0 = dt.datetime(2022, 3, 1)
 
@@ -151,6 +153,28 @@ def test_nearest_settlement_equals_brute_force(spark, place_spread):
         assert distances[place] == pytest.approx(min(distances), abs=1e-5)
 
 
+def test_a_far_cluster_is_not_measured_whole(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    lat, lon = 44 + rng.uniform(0, 0.5, 20_000), 20 + rng.uniform(0, 0.5, 20_000)
+    spots = [(45.8 + i / 1000, 22.0 + i / 500) for i in range(50)]
+    schema = "place_id long, name string, admin1 string, cc string, latitude double, longitude double"
+    rows = pd.DataFrame({"place_id": range(20_000), "name": "p", "admin1": "a", "cc": "c", "latitude": lat, "longitude": lon})
+    most, thinned = [], geo._thinned
+
+    def watched(cubes, occupied):
+        kept = thinned(cubes, occupied)
+        most.append(kept.groupBy("latitude", "longitude").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0])
+        return kept
+
+    monkeypatch.setattr(geo, "_thinned", watched)
+    found = nearest_settlement(spark.createDataFrame(spots, "latitude double, longitude double"), spark.createDataFrame(rows, schema))
+    got = {(r.latitude, r.longitude): r.place_id for r in found.collect()}
+    for spot in spots:
+        distances = [_haversine(*spot, *place) for place in zip(lat, lon)]
+        assert distances[got[spot]] == pytest.approx(min(distances), abs=1e-6)
+    assert most[0] <= geo.MOST
+
+
 def _haversine(lat_a, lon_a, lat_b, lon_b):
     lat_a, lon_a, lat_b, lon_b = map(math.radians, (lat_a, lon_a, lat_b, lon_b))
     h = math.sin((lat_b - lat_a) / 2) ** 2 + math.cos(lat_a) * math.cos(lat_b) * math.sin((lon_b - lon_a) / 2) ** 2
@@ -206,11 +230,30 @@ def test_quantiles_shuffle_only_narrow_segments(spark, monkeypatch):
     result = quantiles.exact_quantiles(df, ["v"], [0.25, 0.5])
     assert [r.value for r in result.orderBy("probability").collect()] == pytest.approx(want, rel=1e-12)
     # The answer does not depend on how good the sketch is.
-    monkeypatch.setattr(quantiles, "ACCURACY", 3)
+    monkeypatch.setattr(quantiles, "SKETCH", 8)
     rough = quantiles.exact_quantiles(df, ["v"], [0.25, 0.5])
     assert [r.value for r in rough.orderBy("probability").collect()] == pytest.approx(want, rel=1e-12)
 
 
+def test_quantiles_cut_crowded_segments_again(spark, monkeypatch):
+    one = spark.createDataFrame([(1e300,)], "v double")
+    df = cut_lineage(spark.range(100_000, numPartitions=4).select(F.rand(1).alias("v")).unionByName(one))
+    probabilities = [0.25, 0.5, 0.9999, 1.0]
+    want = df.toPandas()["v"].quantile(probabilities).tolist()
+    windows, narrowed = [], quantiles._narrowed
+
+    def watched(inside, most):
+        rows = narrowed(inside, most)
+        windows.append(rows.groupBy("position", "rank").count().agg(F.max("count")).first()[0])
+        return rows
+
+    monkeypatch.setattr(quantiles, "_narrowed", watched)
+    monkeypatch.setattr(quantiles, "WINDOW", 30)
+    got = quantiles.exact_quantiles(df, ["v"], probabilities).orderBy("probability").collect()
+    assert [r.value for r in got] == pytest.approx(want, rel=1e-12)
+    assert windows and windows[0] <= 30
+
+
 def test_describe_equals_pandas(spark, table):
     pdf, df = table
     pdf, df = pdf.iloc[2:], df.where("a BETWEEN -1e100 AND 1e100")
