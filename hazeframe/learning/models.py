@@ -14,6 +14,13 @@ from hazeframe.operators.quantiles import exact_quantiles
 
 RIDGE_ALPHA = 1.0
 SEED = 42
+# Depth of the forest's trees unless asked otherwise: a tree has at most 2**DEPTH leaves, however many rows there are, so
+# the model stays a size that the driver can hold.
+DEPTH = 12
+# Boosting stops when the error on the rows held out, chosen by hash of their key, has stopped falling.
+HELD_OUT, TOLERANCE = 0.1, 1e-4
+HOLD = "__held_out__"
+KEY = ("device_id", "timestamp")
 
 
 def fill_values(train: DataFrame, features: Sequence[str]) -> dict[str, float]:
@@ -64,9 +71,12 @@ def ridge(train: DataFrame, fills: dict[str, float], alpha: float = RIDGE_ALPHA)
 
 
 def random_forest(
-    train: DataFrame, fills: dict[str, float], trees: int = 100, min_leaf: int = 5, depth: int = 30
+    train: DataFrame, fills: dict[str, float], trees: int = 100, min_leaf: int = 5, depth: int = DEPTH
 ) -> PipelineModel:
-    """Bagged trees over all features; 30 levels is the deepest tree Spark grows."""
+    """Bagged trees over all features, grown to `depth` levels or leaves of `min_leaf` rows.
+
+    Spark grows trees to 30 levels at most; trees that deep grow with the data and are assembled on the driver.
+    """
     forest = RandomForestRegressor(
         featuresCol="features",
         labelCol="target",
@@ -83,12 +93,15 @@ def random_forest(
 
 
 def boosted_trees(
-    train: DataFrame, fills: dict[str, float], rounds: int = 300, rate: float = 0.1
+    train: DataFrame, fills: dict[str, float], rounds: int = 300, rate: float = 0.1, key: Sequence[str] = KEY
 ) -> PipelineModel:
     """Gradient boosting on binned features, about 31 leaves of at least 20 rows per tree.
 
-    Missing values are filled and flagged, so that trees can split on absence.
+    Missing values are filled and flagged, so that trees can split on absence. A tenth of the rows, by hash of `key`, is
+    held out: trees are added while they lower the error there, `rounds` at most. The same rows are held out every time.
     """
+    held_out = F.pmod(F.xxhash64(*key, F.lit(SEED)), F.lit(1000)) < int(1000 * HELD_OUT)
+    train = train.withColumn(HOLD, held_out)
     boosting = GBTRegressor(
         featuresCol="features",
         labelCol="target",
@@ -98,6 +111,8 @@ def boosted_trees(
         maxBins=255,
         minInstancesPerNode=20,
         checkpointInterval=10,
+        validationIndicatorCol=HOLD,
+        validationTol=TOLERANCE,
         seed=SEED,
     )
     stages = [imputer(fills, flag_missing=True), _assembler(fills, "features", flag_missing=True)]

@@ -70,7 +70,7 @@ def load_model(spark: SparkSession, path: str) -> NetworkModel | PipelineModel:
 
 def side_by_side(spark: SparkSession, task: Callable, items: Sequence) -> list:
     """Run driver-side tasks in threads. Boosting is a long chain of small jobs that leaves executors
-    idle; the jobs of other models fill them. Training seconds are wall-clock under that load."""
+    idle; the jobs of other models fill them."""
     with ThreadPool(max(1, len(items))) as pool:
         return pool.map(inheritable_thread_target(spark)(task), items)
 
@@ -104,8 +104,13 @@ def run_target(
     target_column: str,
     trainers: dict[str, Trainer] | None = None,
     horizon: int = 1,
+    together: bool = False,
 ) -> TargetRun:
-    """Train every candidate on the first 80 % of the time and score it on the rest."""
+    """Train every candidate on the first 80 % of the time and score it on the rest.
+
+    One after the other, so that their training seconds compare; `together` trains them side by side, which is sooner done
+    but times each of them under the load of the others.
+    """
     trainers = TRAINERS if trainers is None else trainers
     spark = measurements.sparkSession
     dataset = cut_lineage(build_dataset(measurements, sensors, target_column, horizon))
@@ -123,7 +128,7 @@ def run_target(
         seconds = round(time.perf_counter() - started, 1)
         return model, (target_column, name, *score(model.transform(test)), seconds)
 
-    results = side_by_side(spark, fit, list(trainers))
+    results = side_by_side(spark, fit, list(trainers)) if together else [fit(name) for name in trainers]
     fitted = {name: model for name, (model, _) in zip(trainers, results)}
     baseline = (target_column, BASELINE, *score(persistence(test, target_column)), 0.0)
     rows = [baseline, *(row for _, row in results)]
@@ -138,13 +143,14 @@ def run_targets(
     sensors: DataFrame,
     targets: Sequence[str] = TARGETS,
     trainers: dict[str, Trainer] | None = None,
+    together: bool = False,
 ) -> list[TargetRun]:
-    """All targets, side by side."""
-    return side_by_side(
-        measurements.sparkSession,
-        lambda target: run_target(measurements, sensors, target, trainers),
-        targets,
-    )
+    """All targets; with `together`, they and their models are trained side by side."""
+
+    def run(target: str) -> TargetRun:
+        return run_target(measurements, sensors, target, trainers, together=together)
+
+    return side_by_side(measurements.sparkSession, run, targets) if together else [run(target) for target in targets]
 
 
 def all_metrics(runs: Sequence[TargetRun]) -> DataFrame:

@@ -201,10 +201,32 @@ def means(columns: list[str]) -> str:
 
 # --- cleaning and sources -------------------------------------------------------------------
 
-add("union_conform", [READINGS, LONG], f"""
-SELECT device_id, timestamp, {rs(RAW)}, CAST(NULL AS DOUBLE) AS pm1_raw, 'events' AS source_dataset FROM readings
-UNION ALL SELECT device_id, timestamp, {rs(RAW[:2])}, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), 'orders'
-FROM long_readings""")
+# The columns of the stored table, in order.
+STORED = """device_id timestamp pm1_calibrated pm1_raw pm1_number_conc pm25_calibrated pm25_raw pm25_number_conc
+pm25_nowcast pm25_nowcast_aqi_epa pm25_24h_calibrated pm25_24h_raw pm25_24h_number_conc pm25_aqi_dwer pm10_calibrated
+pm10_raw pm10_number_conc pm10_24h_calibrated pm10_24h_raw pm10_24h_number_conc pm10_aqi_dwer no2_calibrated no2_raw
+no2_aqi_epa no2_aqi_dwer o3_raw temp_internal temp_ambient humidity_internal humidity_ambient wind_speed wind_direction
+pressure latitude longitude""".split()
+HELD = {
+    "readings": ["pm25_raw", "pm25_24h_raw", "pm25_nowcast", "pm25_nowcast_aqi_epa", "pm10_raw", "pm10_24h_raw", "no2_raw",
+                 "no2_aqi_epa", "temp_internal", "humidity_internal", "wind_speed", "latitude", "longitude"],
+    "long_readings": ["pm25_raw", "pm10_raw", "latitude", "longitude"],
+}
+
+
+def conformed(table: str, label: str) -> str:
+    values = [r(c, c) if c in HELD[table] else f"CAST(NULL AS DOUBLE) AS {c}" for c in STORED[2:]]
+    return f"""SELECT device_id, timestamp, {', '.join(values)}, '{label}' AS source_dataset,
+CAST(NULL AS VARCHAR) AS source_file FROM {table}"""
+
+
+NOWCAST = f"""nowcast AS (SELECT *,
+  {aqi_sql('pm25_nowcast', 'pm25')} + event_id % 2 AS pm25_nowcast_aqi_epa FROM readings)"""
+add("union_conform", [READINGS, LONG, NOWCAST],
+    conformed("readings", "events").replace("FROM readings", "FROM nowcast")
+    + " UNION ALL " + conformed("long_readings", "orders"))
+add("raw_channel_profile", [READINGS], f"""SELECT CAST(hour(local_ts) AS INTEGER) AS hour, {means(RAW)},
+CAST(NULL AS DOUBLE) AS o3_raw FROM joined GROUP BY 1""")
 add("coerced_numbers", [], f"""SELECT event_id,
 {r("TRY_CAST(CASE WHEN event_id % 3 = 0 THEN event_type ELSE CAST(value AS VARCHAR) END AS DOUBLE)", "number")}
 FROM events""")
@@ -519,3 +541,32 @@ THOUSANDTHS = [
 ]
 add("persistence_table", [READINGS, DATA], f"""
 SELECT 'Persistence (baseline)' AS model, {rounded([(f"round_even({e}, 3)", n) for e, n in THOUSANDTHS])} FROM test""")
+
+# --- what the models see --------------------------------------------------------------------
+
+TRAIN = f"{DATA}, train AS (SELECT data.* FROM data, split WHERE epoch_us(timestamp) <= cut_us)"
+MEDIANS = ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS {c}" for c in ALL_FEATURES)
+FILLED_ROWS = f"""{TRAIN}, medians AS (SELECT {MEDIANS} FROM train),
+filled AS (SELECT device_id, timestamp, {', '.join(f'coalesce(CAST(t.{c} AS DOUBLE), m.{c}) AS {c}' for c in ALL_FEATURES)}
+  FROM train t, medians m),
+moments AS (SELECT {', '.join(f'avg({c}) AS mean_{c}, stddev_samp({c}) AS sd_{c}' for c in ALL_FEATURES)} FROM filled)"""
+add("train_medians", [READINGS, TRAIN], per_column(ALL_FEATURES, f"""
+SELECT '@' AS "column", {r('quantile_cont(CAST(@ AS DOUBLE), 0.5)', 'value')} FROM train"""))
+add("standardised_features", [READINGS, FILLED_ROWS], f"""SELECT device_id, timestamp,
+{rounded([(f'coalesce(({c} - mean_{c}) / nullif(sd_{c}, 0), 0)', c) for c in ALL_FEATURES])} FROM filled, moments""")
+# Two weights in units of the sample deviation, from the normal equations divided by n - 1; the penalty is 1.
+TWO = f"""{TRAIN},
+sums AS (SELECT 1 + {d(1)} / count(*) AS a, corr(pm25_raw, lag_1h) AS b, avg(target) AS mean,
+  covar_samp(target, pm25_raw) / stddev_samp(pm25_raw) AS c1, covar_samp(target, lag_1h) / stddev_samp(lag_1h) AS c2 FROM train)"""
+add("ridge_coefficients", [READINGS, TWO], f"""
+SELECT 'pm25_raw' AS term, {r('(a * c1 - b * c2) / (a * a - b * b)', 'weight')} FROM sums
+UNION ALL SELECT 'lag_1h', {r('(a * c2 - b * c1) / (a * a - b * b)', 'weight')} FROM sums
+UNION ALL SELECT 'intercept', {r('mean', 'weight')} FROM sums""")
+
+
+def truth(target: str) -> str:
+    return f"""(WITH {READINGS}, {dataset_sql(target)} SELECT device_id, city, timestamp, {r('target', 'actual')},
+'{target}' AS target FROM test)"""
+
+
+ORACLES["held_out_truth"] = f"SELECT * FROM {truth('pm25_raw')} UNION ALL SELECT * FROM {truth('pm10_raw')}"

@@ -9,6 +9,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from hazeframe import fixtures as fx
 from hazeframe.functions import clock
 from hazeframe.functions.numeric import to_number
 from hazeframe.learning import dataset as ds
-from hazeframe.learning import training
+from hazeframe.learning import models, training
 from hazeframe.operators import (
     air_quality,
     anomalies,
@@ -29,7 +31,8 @@ from hazeframe.operators import (
     timeseries,
 )
 from hazeframe.operators.geo import nearest_settlement
-from hazeframe.session import configure
+from hazeframe.session import configure, cut_lineage
+from hazeframe.schema import measure_columns, raw_columns
 from hazeframe.sources import exports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,9 +89,14 @@ def union_conform(spark, folder):
         exports.conform(fx.readings(spark, folder).withColumn("source_dataset", F.lit("events"))),
         exports.conform(fx.long_readings(spark, folder).withColumn("source_dataset", F.lit("orders"))),
     ]
-    return exports.append(*parts).select(
-        "device_id", "timestamp", "pm25_raw", "pm10_raw", "no2_raw", "pm1_raw", "source_dataset"
-    )
+    return exports.append(exports.empty_measurements(spark), *parts)
+
+
+@query
+def raw_channel_profile(spark, folder):
+    """Mean of every hourly raw channel that the readings hold, by local hour."""
+    measurements, sensors = pair(spark, folder)
+    return profiles.diurnal_pattern(measurements, sensors, raw_columns(measure_columns(measurements)))
 
 
 @query
@@ -589,19 +597,18 @@ def forest_metrics(spark, folder):
 
 
 @query
-def network_metrics(spark, folder):
-    return one_model(spark, folder, "MLP")
+def boosting_metrics(spark, folder):
+    return one_model(spark, folder, "HistGradientBoosting")
 
 
-_RUNS: dict[tuple[str, str], list[training.TargetRun]] = {}
+@query
+def network_metrics(spark, folder):
+    return one_model(spark, folder, "MLP")
 
 
 def trained(spark: SparkSession, folder: str) -> list[training.TargetRun]:
-    """The four models of both targets are trained once per session and shared by the queries below."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _RUNS:
-        _RUNS[key] = training.run_targets(*pair(spark, folder))
-    return _RUNS[key]
+    """All models of both targets, side by side: only `train_seconds` suffers from that."""
+    return training.run_targets(*pair(spark, folder), together=True)
 
 
 @query
@@ -623,3 +630,47 @@ def model_predictions(spark, folder):
 @query
 def model_sensor_mae(spark, folder):
     return dashboard.sensor_mae(training.all_predictions(trained(spark, folder)))
+
+
+# --- what the models see --------------------------------------------------------------------
+
+
+def train_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return ds.time_split(ds.build_dataset(*pair(spark, folder), "pm25_raw"))[0]
+
+
+@query
+def train_medians(spark, folder):
+    """The values that fill missing features."""
+    rows = train_rows(spark, folder)
+    return quantiles.exact_quantiles(rows, ds.feature_columns(rows), [0.5]).select("column", "value")
+
+
+@query
+def standardised_features(spark, folder):
+    """Training rows as the linear models see them: filled, centred, in units of their deviation."""
+    rows = cut_lineage(train_rows(spark, folder))
+    fills = models.fill_values(rows, ds.feature_columns(rows))
+    prepared = Pipeline(stages=models.scaled_features(fills)).fit(rows).transform(rows)
+    cells = vector_to_array("features")
+    return prepared.select("device_id", "timestamp", *[cells[i].alias(c) for i, c in enumerate(fills)])
+
+
+@query
+def ridge_coefficients(spark, folder):
+    """Weights and intercept of a ridge over two features, which SQL can solve as well."""
+    rows = cut_lineage(train_rows(spark, folder))
+    fitted = models.ridge(rows, models.fill_values(rows, ["pm25_raw", "lag_1h"])).stages[-1]
+    named = [*zip(["pm25_raw", "lag_1h"], fitted.coefficients.tolist()), ("intercept", fitted.intercept)]
+    return spark.createDataFrame([(name, float(value)) for name, value in named], "term string, weight double")
+
+
+@query
+def held_out_truth(spark, folder):
+    """Keys and truth of the rows that every model predicts, for both targets."""
+    parts = []
+    for target in training.TARGETS:
+        _, test = ds.time_split(ds.build_dataset(*pair(spark, folder), target))
+        predicted = training.predictions_table(training.persistence(test, target), target, training.BASELINE)
+        parts.append(predicted.drop("predicted", "model"))
+    return exports.append(*parts)

@@ -75,6 +75,25 @@ def test_ridge_equals_the_closed_form(spark):
     np.testing.assert_allclose(got, z @ weights + y.mean(), atol=1e-9)
 
 
+def test_boosting_stops_early(spark):
+    df = cut_lineage(spark.range(1500).select("id", F.randn(1).alias("a")).withColumn("target", F.col("a") * 0 + F.randn(7)))
+    model = models.boosted_trees(df, {"a": 0.0}, rounds=40, key=["id"])
+    assert model.stages[-1].getNumTrees < 40
+    again = models.boosted_trees(df, {"a": 0.0}, rounds=40, key=["id"])
+    assert again.stages[-1].getNumTrees == model.stages[-1].getNumTrees
+
+
+def test_forest_of_bounded_depth_is_as_good(parts):
+    train, test = (cut_lineage(part) for part in parts)
+    fills = models.fill_values(train, ds.feature_columns(train))
+
+    def mae(depth):
+        model = models.random_forest(train, fills, trees=10, depth=depth)
+        return ds.evaluate(model.transform(test), "target", "prediction").first().mae
+
+    assert mae(models.DEPTH) == pytest.approx(mae(30), rel=0.05)
+
+
 def test_network_gradient():
     rng = np.random.default_rng(1)
     sizes = [3, 5, 4, 1]
@@ -116,7 +135,7 @@ def test_run_target(spark, medium, tmp_path):
         "HistGradientBoosting": lambda train, fills: models.boosted_trees(train, fills, rounds=3),
     }
     pair = fx.readings(spark, medium), fx.sensors(spark, medium)
-    runs = training.run_targets(*pair, trainers=trainers)
+    runs = training.run_targets(*pair, trainers=trainers, together=True)
     metrics = training.all_metrics(runs).toPandas()
     assert metrics.groupby("target")["model"].apply(list).to_dict() == {
         t: [training.BASELINE, *trainers] for t in training.TARGETS

@@ -8,7 +8,7 @@ from hazeframe.registry.oracles import ORACLES
 from hazeframe.registry.queries import QUERIES
 
 TRAINED = {
-    "ridge_metrics", "forest_metrics", "network_metrics",
+    "ridge_metrics", "forest_metrics", "boosting_metrics", "network_metrics",
     "model_metrics", "best_models", "model_predictions", "model_sensor_mae",
 }
 
