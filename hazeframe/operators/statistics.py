@@ -182,6 +182,17 @@ def _pair_sums(width: int):
     return run
 
 
+def _limits(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Centre (c0, c1, ...), minimum (low0, ...) and maximum (high0, ...) of the columns as one scalar: Spark computes it
+    once for all places of a plan that use it."""
+    parts = []
+    for i, c in enumerate(columns):
+        low, high = F.min(c), F.max(c)
+        centre = F.when(low == high, low).otherwise(F.avg(c))
+        parts += [centre.alias(f"c{i}"), low.alias(f"low{i}"), high.alias(f"high{i}")]
+    return df.agg(F.struct(*parts)).scalar()
+
+
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(pos_a, pos_b, col_a, col_b, corr) of the upper triangle, pairwise-complete.
 
@@ -189,14 +200,7 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     sums of all pairs by one matrix product; a task hands on one row per pair. Columns are centred first,
     which keeps the sums well conditioned and makes a constant column exactly zero.
     """
-    centre = df.agg(
-        F.struct(
-            *[
-                F.when(F.min(c) == F.max(c), F.min(c)).otherwise(F.avg(c)).alias(f"c{i}")
-                for i, c in enumerate(columns)
-            ]
-        )
-    ).scalar()
+    centre = _limits(df, columns)
     centred = df.select(*[(F.col(c) - centre.getField(f"c{i}")).alias(f"c{i}") for i, c in enumerate(columns)])
     names = ("n", "sum_a", "sum_b", "sum_aa", "sum_bb", "sum_ab")
     schema = "pos_a int, pos_b int, " + ", ".join(f"{name} double" for name in names)
@@ -232,11 +236,13 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     mirrored = upper.select(
         *[F.col(c).alias(f) for c, f in zip(("pos_b", "pos_a", "col_b", "col_a", "corr"), fields)]
     )
-    varies = F.when(F.col("low") < F.col("high"), F.lit(1.0)).alias("corr")
-    name, position = F.col("column"), F.col("position")
-    diagonal = _per_column(df, columns, {"low": "min(@)", "high": "max(@)"}).select(
-        position.alias("pos_a"), position.alias("pos_b"), name.alias("col_a"), name.alias("col_b"), varies
-    )
+    limits = _limits(df, columns)
+    rows = []
+    for i, c in enumerate(columns):
+        varies = F.when(limits.getField(f"low{i}") < limits.getField(f"high{i}"), F.lit(1.0))
+        values = (F.lit(i), F.lit(i), F.lit(c), F.lit(c), varies)
+        rows.append(F.struct(*[value.alias(f) for value, f in zip(values, fields)]))
+    diagonal = df.sparkSession.range(1).select(F.inline(F.array(*rows)))
     whole = upper.unionByName(mirrored).unionByName(diagonal)
     return whole.orderBy("pos_a", "pos_b").select("col_a", "col_b", "corr")
 

@@ -6,14 +6,17 @@ Each job reads tables under a root folder and replaces the tables it owns, so it
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from hazeframe.learning import training
 from hazeframe.operators import air_quality, anomalies, cleaning, fleet, profiles, statistics
 from hazeframe.schema import measure_columns
 from hazeframe.sources import exports
-from hazeframe.sources.tables import read_table, table_exists, write_measurements, write_report, write_table
+from hazeframe.sources.tables import read_table, table_exists, table_path, write_measurements, write_report, write_table
 
 
 def _fact(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
@@ -27,12 +30,22 @@ def filled_measure_columns(measurements: DataFrame) -> list[str]:
 
 
 def load(spark: SparkSession, folders: Mapping[str, str], root: str, **csv_options: str) -> DataFrame:
-    """CSV folders (label -> path) -> `measurements`. Returns the counts of each stage."""
+    """CSV folders (label -> path) -> `measurements`. Returns the counts of each stage.
+
+    The rows that are read are counted on their way, so the files are parsed once; the kept ones are those of the table.
+    Where an executor is lost, Spark may read rows again and count them again; `cleaning.stage_counts` counts from the files.
+    """
     labelled = [exports.load_folder(spark, path, label, **csv_options) for label, path in folders.items()]
-    raw = exports.append(*labelled)
-    kept = cleaning.deduplicate(cleaning.drop_unusable(raw))
-    write_measurements(kept, root)
-    return cleaning.stage_counts(raw)
+    raw = exports.append(exports.empty_measurements(spark), *labelled)
+    seen = Observation()
+    usable = reduce(and_, [F.col(c).isNotNull() for c in cleaning.KEY])
+    counted = raw.observe(seen, F.count(F.lit(1)).alias("n_read"), F.count_if(usable).alias("n_usable"))
+    write_measurements(cleaning.deduplicate(cleaning.drop_unusable(counted)), root)
+    # With the schema given: a table without rows has no file to take it from.
+    n_kept = spark.read.schema(raw.schema).parquet(table_path(root, "measurements")).count()
+    n_read, n_usable = (seen.get[name] for name in ("n_read", "n_usable"))
+    row = (n_read, n_read - n_usable, n_usable - n_kept, n_kept)
+    return spark.createDataFrame([row], "n_read long, n_unusable long, n_duplicates long, n_kept long")
 
 
 def locate(spark: SparkSession, gazetteer: DataFrame, root: str, keep_moves: bool = False) -> None:

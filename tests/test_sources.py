@@ -119,6 +119,11 @@ def test_replace_semantics(spark, tmp_path):
     assert tables.read_table(spark, root, "t").count() == 2
 
 
+def test_loading_nothing(spark, tmp_path):
+    counts = jobs.load(spark, {"kg": str(tmp_path / "none")}, str(tmp_path / "tables")).first()
+    assert tuple(counts) == (0, 0, 0, 0)
+
+
 def test_jobs_in_order(spark, tmp_path):
     raw, root = tmp_path / "raw", str(tmp_path / "tables")
     raw.mkdir()
