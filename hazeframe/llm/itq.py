@@ -23,12 +23,16 @@ from hazeframe.llm.components import components
 LEAST = 0.9
 #: Vectors on which the rotations are learned, and the rounds of learning.
 SAMPLE, ROUNDS = 5_000, 30
-#: Rotations, tables for each, and bits of a table's key. At a cosine of 0.9 a bit differs with probability
-#: acos(0.9) / pi = 0.144, so that a table holds a pair within two bits with probability 0.40, and six tables with 0.95;
-#: closer pairs are found with more (0.995 at 0.95).
-ROTATIONS, PARTS, BITS = 2, 3, 21
-#: Bits in which the whole codes of a linked pair may differ; their mean at the threshold is 18 of 126, deviation 4.
-MOST_BITS = 36
+#: Rotations at least, tables for each, and bits of a table's key at most. For vectors of mean zero a bit differs at a
+#: cosine of 0.9 with probability acos(0.9) / pi = 0.144, so that a table holds a pair within two bits with probability
+#: 0.40, and six tables with 0.95. A direction that all vectors share makes centred pairs differ in more bits: `Codes`
+#: adds rotations, up to MOST_ROTATIONS, then shortens the keys, until RECALL of the pairs at the threshold meet.
+ROTATIONS, PARTS, BITS, MOST_ROTATIONS = 2, 3, 21, 16
+#: Share of pairs at the threshold that must meet, of each kind of `threshold_pairs`, and pairs of each kind for it.
+RECALL, PAIRS = 0.95, 4_000
+#: Whole codes of a linked pair may differ in as many bits as this many deviations above the mean over pairs at the
+#: threshold, and in this share of the bits at least.
+DEVIATIONS, MOST_SHARE = 4.5, 36 / 126
 
 
 def learn_rotation(sample: np.ndarray, bits: int, seed: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -49,15 +53,62 @@ def learn_rotation(sample: np.ndarray, bits: int, seed: int, rounds: int = ROUND
     return basis @ turn
 
 
+def threshold_pairs(unit: np.ndarray, least: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of unit vectors whose cosine is `least`, by kind: vectors of the sample moved in any direction, moved towards
+    another one, and, where the sample has a hundred, pairs of its own just above `least`."""
+    random = np.random.Generator(np.random.PCG64(ROTATIONS))
+    left = unit[random.integers(len(unit), size=PAIRS)]
+    kinds = []
+    for towards in (random.standard_normal(left.shape), unit[random.integers(len(unit), size=PAIRS)]):
+        across = towards - np.einsum("ij,ij->i", towards, left)[:, None] * left
+        length = np.linalg.norm(across, axis=1)
+        some = length > 1e-6
+        across = across[some] / length[some, None]
+        kinds.append((left[some], least * left[some] + np.sqrt(max(0.0, 1 - least * least)) * across))
+    found, block = [], 500
+    for start in range(0, len(unit), block):
+        cosine = np.triu(unit[start : start + block] @ unit.T, start + 1)
+        i, j = np.nonzero((cosine >= least) & (cosine < least + (1 - least) / 5))
+        chosen = random.permutation(len(i))[: PAIRS * block // len(unit) + 1]
+        found.append(np.stack([i[chosen] + start, j[chosen]]))
+    i, j = np.hstack(found)
+    if len(i) >= 100:
+        kinds.append((unit[i], unit[j]))
+    return [kind for kind in kinds if len(kind[0])]
+
+
 class Codes:
-    """Rotations and centre as learned; `of` gives the codes, one number of PARTS * BITS bits for each rotation."""
+    """Rotations and centre as learned; `of` gives the codes, one number of PARTS * `bits` bits for each rotation.
+
+    There are as many rotations, and keys as short, as RECALL asks for; with keys of two bits all pairs would meet.
+    `most` is the number of bits in which the whole codes of a linked pair may differ.
+    """
 
-    def __init__(self, sample: np.ndarray):
+    def __init__(self, sample: np.ndarray, least: float = LEAST):
         self.centre = sample.mean(axis=0)
-        self.rotations = [learn_rotation(sample, PARTS * BITS, seed) for seed in range(ROTATIONS)]
+        pairs = threshold_pairs(sample, least)
+        for self.bits in range(BITS, 2, -3):
+            self.rotations: list[np.ndarray] = []
+            while len(self.rotations) < MOST_ROTATIONS:
+                self.rotations.append(learn_rotation(sample, PARTS * self.bits, len(self.rotations)))
+                if len(self.rotations) >= ROTATIONS and self._measure(pairs) >= RECALL:
+                    return
+
+    def _measure(self, pairs: list[tuple[np.ndarray, np.ndarray]]) -> float:
+        """The share of pairs that the index finds, of the kind where it is least; sets `most` for all kinds."""
+        apart = [self.of(left) ^ self.of(right) for left, right in pairs]
+        whole = [np.bitwise_count(a).sum(axis=1) for a in apart]
+        least = int(MOST_SHARE * self.tables * self.bits)
+        self.most = max([least, *(int(np.ceil(w.mean() + DEVIATIONS * w.std())) for w in whole)])
+        met = [(_parts_apart(a, self.bits) <= 2).any(axis=1) & (w <= self.most) for a, w in zip(apart, whole)]
+        return min((float(m.mean()) for m in met), default=1.0)
+
+    @property
+    def tables(self) -> int:
+        return PARTS * len(self.rotations)
 
     def of(self, unit: np.ndarray) -> np.ndarray:
-        weights = 1 << np.arange(PARTS * BITS, dtype=np.int64)
+        weights = 1 << np.arange(PARTS * self.bits, dtype=np.int64)
         return np.stack([((unit - self.centre) @ rotation >= 0) @ weights for rotation in self.rotations], axis=1)
 
 
@@ -92,60 +143,64 @@ def _coded(batches: Iterator[pa.RecordBatch], codes: Codes) -> Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays([batch.column(ROW), pa.array(parts.tolist(), pa.list_(pa.int64()))], [ROW, "code"])
 
 
-def _own_pairs(code: np.ndarray, left: np.ndarray, right: np.ndarray, number: np.ndarray, key: np.ndarray) -> np.ndarray:
+def _own_pairs(code: np.ndarray, left: np.ndarray, right: np.ndarray, number: np.ndarray, key: np.ndarray, bits: int, most: int) -> np.ndarray:
     """Which pairs of rows are near over the whole codes and have the table and key of their group as their own.
 
     A pair's own table is the first in which its parts differ in at most two bits; its own key there is the smallest
     under which both stand: the part itself, the smaller part, or the smaller of the two parts between them.
     """
     apart = code[left] ^ code[right]
-    near = np.bitwise_count(apart).sum(axis=1) <= MOST_BITS
+    near = np.bitwise_count(apart).sum(axis=1) <= most
     left, right, apart = left[near], right[near], apart[near]
-    bits = np.stack([np.bitwise_count(_part(apart, t)) for t in range(ROTATIONS * PARTS)], axis=1)
-    here = _part_of(apart, number[left])
-    mine, other = _part_of(code[left], number[left]), _part_of(code[right], number[left])
+    here = _part_of(apart, number[left], bits)
+    mine, other = _part_of(code[left], number[left], bits), _part_of(code[right], number[left], bits)
     count, lowest = np.bitwise_count(here), here & -here
     between = np.minimum(mine ^ lowest, mine ^ here ^ lowest)
     smallest = np.where(count == 0, mine, np.where(count == 1, np.minimum(mine, other), between))
-    own = (np.argmax(bits <= 2, axis=1) == number[left]) & (smallest == key[left])
+    own = (np.argmax(_parts_apart(apart, bits) <= 2, axis=1) == number[left]) & (smallest == key[left])
     return np.flatnonzero(near)[own]
 
 
-def _part(code: np.ndarray, table: int) -> np.ndarray:
-    return (code[:, table // PARTS] >> (table % PARTS * BITS)) & ((1 << BITS) - 1)
+def _parts_apart(apart: np.ndarray, bits: int) -> np.ndarray:
+    """Bits that are set in each table's part."""
+    return np.stack([np.bitwise_count(_part(apart, t, bits)) for t in range(PARTS * apart.shape[1])], axis=1)
+
+
+def _part(code: np.ndarray, table: int, bits: int) -> np.ndarray:
+    return (code[:, table // PARTS] >> (table % PARTS * bits)) & ((1 << bits) - 1)
 
 
-def _part_of(code: np.ndarray, tables: np.ndarray) -> np.ndarray:
+def _part_of(code: np.ndarray, tables: np.ndarray, bits: int) -> np.ndarray:
     chosen = np.take_along_axis(code, (tables // PARTS)[:, None], axis=1)[:, 0]
-    return (chosen >> (tables % PARTS * BITS)) & ((1 << BITS) - 1)
+    return (chosen >> (tables % PARTS * bits)) & ((1 << bits) - 1)
 
 
-def _candidates(groups: pa.Table, group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _candidates(groups: pa.Table, group: np.ndarray, bits: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row numbers of pairs that are candidates and have their group as their own."""
     code = _matrix(groups.column("code").combine_chunks(), np.int64)
     bucket = groups.column("bucket").to_numpy()
-    number, key = bucket >> BITS, bucket & ((1 << BITS) - 1)
+    number, key = bucket >> bits, bucket & ((1 << bits) - 1)
     for left, right in pairs_within(group, groups.column("own").to_numpy(), groups.column("same").to_numpy()):
-        own = _own_pairs(code, left, right, number, key)
+        own = _own_pairs(code, left, right, number, key, bits, most)
         yield left[own], right[own]
 
 
-def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _meeting(batches: Iterator[pa.RecordBatch], bits: int, most: int) -> Iterator[pa.RecordBatch]:
     """The members of groups that have a candidate there."""
     for groups, group in whole_groups(batches, ["bucket", "pair"]):
         met = np.zeros(groups.num_rows, dtype=bool)
-        for left, right in _candidates(groups, group):
+        for left, right in _candidates(groups, group, bits, most):
             met[left] = True
             met[right] = True
         yield from groups.filter(pa.array(met)).select(["bucket", "pair", "own", "same", "code", ROW]).to_batches()
 
 
-def _reranked(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+def _reranked(batches: Iterator[pa.RecordBatch], least: float, bits: int, most: int) -> Iterator[pa.RecordBatch]:
     """Links of the groups' own pairs: counts by member, and for each member another one to which links lead."""
     for groups, group in whole_groups(batches, ["bucket", "pair"], 2048):
         unit = _unit(_matrix(groups.column("vector").combine_chunks()))
         counts, ends = np.zeros(groups.num_rows, dtype=np.int64), []
-        for left, right in _candidates(groups, group):
+        for left, right in _candidates(groups, group, bits, most):
             linked = np.einsum("ij,ij->i", unit[left], unit[right]) >= least
             ends.append((left[linked], right[linked]))
             counts += np.bincount(left[linked], minlength=len(counts)) + np.bincount(right[linked], minlength=len(counts))
@@ -166,15 +221,15 @@ def _reranked(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Re
         )
 
 
-def _buckets(code: str) -> Column:
-    """For each table the part of a code, and that part with one bit changed, as (table << BITS) + key."""
-    changes = F.array(F.lit(0).cast("long"), *(F.lit(1 << i).cast("long") for i in range(BITS)))
+def _buckets(code: str, tables: int, bits: int) -> Column:
+    """For each table the part of a code, and that part with one bit changed, as (table << bits) + key."""
+    changes = F.array(F.lit(0).cast("long"), *(F.lit(1 << i).cast("long") for i in range(bits)))
 
     def keys(table: int) -> Column:
-        part = F.shiftright(F.col(code)[table // PARTS], table % PARTS * BITS).bitwiseAND(F.lit((1 << BITS) - 1).cast("long"))
-        return F.transform(changes, lambda change: F.lit(table << BITS).cast("long") + part.bitwiseXOR(change))
+        part = F.shiftright(F.col(code)[table // PARTS], table % PARTS * bits).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
+        return F.transform(changes, lambda change: F.lit(table << bits).cast("long") + part.bitwiseXOR(change))
 
-    return F.flatten(F.array(*(keys(t) for t in range(ROTATIONS * PARTS))))
+    return F.flatten(F.array(*(keys(t) for t in range(tables))))
 
 
 def near_vectors(
@@ -182,7 +237,7 @@ def near_vectors(
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of `vectors`.
 
-    Vectors link if their cosine, in double precision, is `least` or more and the index finds the pair (see ROTATIONS);
+    Vectors link if their cosine, in double precision, is `least` or more and the index finds the pair (see ROTATIONS and RECALL);
     none below is linked. n_links counts the other rows linked directly, rows that repeat a vector included;
     component_id is the smallest vec_id that links reach, the row's own included; kept says whether it is the row's own.
     Null vectors, zero vectors and those with a null or non-finite component link with nothing and are kept. All
@@ -193,13 +248,14 @@ def near_vectors(
     chosen = fit.select(F.xxhash64(F.col("vector")).alias("h"), "vector").orderBy("h").limit(sample).select("vector").toPandas()
     if len(chosen) < 2:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    codes = Codes(_unit(np.stack(chosen["vector"])))
+    codes = Codes(_unit(np.stack(chosen["vector"])), least)
+    near = {"bits": codes.bits, "most": codes.most}
     coded = cut_lineage(fit.mapInArrow(partial(_coded, codes=codes), f"{ROW} long, code array<long>"))
-    members = coded.select(ROW, F.explode(_buckets("code")).alias("bucket"))
+    members = coded.select(ROW, F.explode(_buckets("code", codes.tables, codes.bits)).alias("bucket"))
     parted = gathered(block_pairs(members, "bucket", ROW).join(coded, ROW), "bucket", "pair")
-    met = parted.mapInArrow(_meeting, f"bucket long, pair long, own int, same boolean, code array<long>, {ROW} long")
+    met = parted.mapInArrow(partial(_meeting, **near), f"bucket long, pair long, own int, same boolean, code array<long>, {ROW} long")
     met = gathered(met.join(fit, ROW), "bucket", "pair")
-    found = cut_lineage(met.mapInArrow(partial(_reranked, least=least), f"{ROW} long, links long, other long"))
+    found = cut_lineage(met.mapInArrow(partial(_reranked, least=least, **near), f"{ROW} long, links long, other long"))
     counts = spread(found.groupBy(ROW).agg(F.sum("links").alias("n_links")))
     named = components(found, ROW, "other")
     linked = rows.select(ROW, "vec_id").join(named, F.col(ROW) == F.col("node"), "left")

@@ -173,3 +173,20 @@ def test_odd_vectors(spark):
     ]
     assert itq.near_vectors(vectors.limit(0)).count() == 0
     assert itq.near_vectors(vectors.where("vec_id = 4")).first().kept
+
+
+@pytest.mark.parametrize("shared", [0.5, 0.85])
+def test_vectors_that_share_a_direction(spark, shared):
+    """Pairs just above the threshold, of vectors whose cosine with unrelated ones is about `shared`."""
+    random = np.random.default_rng(7)
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    noise = unit(random.standard_normal((600, 64)))
+    left = unit(np.sqrt(shared) * np.eye(64)[:1] + np.sqrt(1 - shared) * unit(noise * (np.arange(64) > 0)))
+    across = random.standard_normal(left.shape)
+    across = unit(across - np.einsum("ij,ij->i", across, left)[:, None] * left)
+    matrix = np.vstack([left, 0.9001 * left + np.sqrt(1 - 0.9001**2) * across])
+    links, _ = brute_vectors(range(len(matrix)), matrix)
+    vectors = spark.createDataFrame(list(enumerate(matrix.tolist())), "vec_id long, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in itq.near_vectors(vectors).collect()}
+    assert sum(links.values()) >= 1200 and all(found[i] <= n for i, n in links.items())
+    assert sum(found.values()) >= 0.93 * sum(links.values())
