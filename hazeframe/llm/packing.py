@@ -167,7 +167,7 @@ FIELDS = pa.schema(
 )
 
 
-def _packed(batches: Iterator[pa.RecordBatch], name: str, window: int, closing_id: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
+def _packed(batches: Iterator[pa.RecordBatch], name: str, window: int, closing_id: int) -> Iterator[pa.RecordBatch]:
     encode = encoder(public_tokenizers.path(name))
     sequence_base = TaskContext.get().partitionId() << 40
     held: list[tuple[int | None, np.ndarray]] = []
@@ -181,9 +181,14 @@ def _packed(batches: Iterator[pa.RecordBatch], name: str, window: int, closing_i
         for number, start, length, sequence, offset in pack_run([len(ids) for _, ids in held], sentences, window):
             doc_id, ids = held[number]
             part = ids[start : start + length]
-            rows.append((doc_id, start, length, zlib.crc32(part.tobytes()), len(ids), sequence_base + sequence, offset, part.tolist() if with_ids else None))
+            rows.append((doc_id, start, length, zlib.crc32(part.tobytes()), len(ids), sequence_base + sequence, offset))
         sequence_base = rows[-1][5] + 1
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), FIELDS)], schema=FIELDS)
+        columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), FIELDS)]
+        # Pieces follow each other without gaps, so that their ids are those of the run.
+        bounds = np.cumsum([0, *(row[2] for row in rows)], dtype=np.int32)
+        run = np.concatenate([ids for _, ids in held]).view("<i4")
+        columns.append(pa.ListArray.from_arrays(pa.array(bounds), pa.array(run)))
+        return pa.RecordBatch.from_arrays(columns, schema=FIELDS)
 
     for batch in slices(batches):
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
@@ -215,23 +220,15 @@ def pack(
     """
     rows = id_and_text(docs, doc_id, text)
     return rows.mapInArrow(
-        partial(_packed, name=vocabulary, window=window, closing_id=closing_id, with_ids=True),
+        partial(_packed, name=vocabulary, window=window, closing_id=closing_id),
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>",
     )
 
 
-def pack_digests(docs: DataFrame) -> DataFrame:
-    """The pieces of `pack` without their ids, which then never leave the task."""
-    return id_and_text(docs).mapInArrow(
-        partial(_packed, name=VOCABULARY, window=WINDOW, closing_id=0, with_ids=False),
-        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>",
-    ).drop("ids")
-
-
 def op2(spark: SparkSession, folder: str) -> DataFrame:
-    return pack_digests(table(spark, folder, "documents"))
+    return pack(table(spark, folder, "documents")).drop("ids")
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pipeline stage: the pieces of all documents that are left."""
-    return pack_digests(docs)
+    """Pipeline stage: the pieces of all documents that are left, with their ids."""
+    return pack(docs)

@@ -35,3 +35,21 @@ def test_stages_keep_the_columns_of_documents(spark, medium):
     docs = table(spark, medium, "documents")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, medium).schema == docs.schema
+
+
+def test_the_last_table_holds_the_ids(spark, tmp_path):
+    texts = {1: "One text. " * 900, 2: "", 3: None, 4: "Another text, é."}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    packing.pack_stage(spark, docs, "").write.parquet(f"{tmp_path}/packed")
+    found = {}
+    for p in sorted(spark.read.parquet(f"{tmp_path}/packed").collect(), key=lambda p: p.start):
+        found[p.doc_id] = [*found.get(p.doc_id, []), *p.ids]
+    encoder = packing.encoder(packing.public_tokenizers.path(packing.VOCABULARY))
+    assert found == {i: [*encoder.encode(t or "").tolist(), 0] for i, t in texts.items()}
+
+
+def test_op2_and_the_pipeline_give_the_same_pieces(spark, medium):
+    own = packing.op2(spark, medium)
+    stage = packing.pack_stage(spark, table(spark, medium, "documents"), medium)
+    assert stage.columns == [*own.columns, "ids"]
+    assert sorted(map(tuple, own.collect())) == sorted(map(tuple, stage.drop("ids").collect()))
