@@ -179,12 +179,16 @@ def _hashed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(docs: DataFrame, ratings: DataFrame, *, sample: int = SAMPLE) -> Ordinal | None:
     """A model from texts (doc_id, text) and ratings (doc_id, grade: 0, 1, ...); None without two grades.
 
-    At most `sample` ratings are used, chosen by hash of their doc_id; null grades and doc_ids are left out. Grades that
-    nobody gave, up to the greatest that was, are kept as grades.
+    At most `sample` ratings are used, chosen by hash of their doc_id; null grades and doc_ids are left out. Of the texts
+    of a repeated doc_id, the one of smallest hash is learned from. Grades that nobody gave, up to the greatest that was,
+    are kept as grades.
     """
     rated = ratings.where("grade IS NOT NULL AND doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(sample)
-    chosen = docs.join(F.broadcast(cut_lineage(rated)), "doc_id").select("text", "grade")
-    found = chosen.mapInArrow(_hashed_rows, "grade long, buckets array<int>, values array<float>").limit(2 * sample).toArrow()
+    rated = cut_lineage(rated)
+    texts = docs.join(F.broadcast(rated.select("doc_id").distinct()), "doc_id")
+    texts = texts.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    chosen = texts.join(F.broadcast(rated), "doc_id").select("least.text", "grade")
+    found = chosen.mapInArrow(_hashed_rows, "grade long, buckets array<int>, values array<float>").toArrow()
     grades = found.column("grade").to_numpy().astype(np.int64)
     if len(set(grades.tolist())) < 2:
         return None

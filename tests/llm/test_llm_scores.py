@@ -144,3 +144,14 @@ def test_toxicity_of_odd_rows(spark):
     assert len(found) == 4 and all(0 <= r.score <= 1 for r in found)
     assert toxicity.toxicity(docs.limit(0), labels).count() == 0
     assert len(toxicity.features("", {})) == len(toxicity.features("You 1d10t!", {})) == len(toxicity.FEATURES)
+
+
+def test_repeated_doc_ids_give_one_text_each(spark, monkeypatch):
+    """Whatever the order of the rows, each rated document is learned from once, by the same text."""
+    learned = []
+    monkeypatch.setattr(ordinal, "fit", lambda rows, grades, count: learned.append(sorted((r[0].tolist(), g) for r, g in zip(rows, grades.tolist()))))
+    rows = [(i, f"text {i} copy{j}") for i in range(6) for j in range(5)]
+    ratings = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, grade long")
+    for given in (rows, rows[::-1]):
+        ordinal.learn(spark.createDataFrame(given, DOCS), ratings, sample=6)
+    assert learned[0] == learned[1] and len(learned[0]) == 6
