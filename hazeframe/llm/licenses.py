@@ -53,8 +53,8 @@ def spaces(text: Column) -> Column:
 
 
 def compiled(pattern: str) -> str:
-    """A rule's expression over a words line: each space of it stands between two words."""
-    return " (?:" + pattern.replace(" ", "  ") + ") "
+    """A rule's expression over a words line: each space of it stands between two words, " ?" where a break may stand."""
+    return " (?:" + pattern.replace(" ?", "(?: )?").replace(" ", "  ") + ") "
 
 
 def places(line: Column, pattern: Column) -> Column:

@@ -60,3 +60,22 @@ def test_long_text_with_many_detections(spark):
 
 def test_no_rows(spark):
     assert licenses.scan_licenses(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_word_breaks_that_may_be_missing(spark):
+    labels = {
+        "Creative Commons Attribution-ShareAlike 4.0 International": "cc-by-sa",
+        "Creative Commons Attribution Share Alike 4.0": "cc-by-sa",
+        "Creative Commons Attribution-NonCommercial 4.0": "cc-by-nc",
+        "Creative Commons Attribution-NoDerivatives 4.0": "cc-by-nd",
+        "Creative Commons Attribution-NoDerivs 3.0": "cc-by-nd",
+        "Creative Commons Attribution-NonCommercial-ShareAlike 4.0": "cc-by-nc-sa",
+        "Creative Commons Attribution-Non-Commercial-No-Derivatives 4.0": "cc-by-nc-nd",
+        "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0": "cc-by-nc-nd",
+        "for noncommercial use only": "non-commercial",
+        "for non-commercial purposes only": "non-commercial",
+    }
+    found = scan(spark, list(labels))
+    assert [found[i].labels for i in range(len(labels))] == list(labels.values())
+    texts = ["GNU Affero General Public License", "the GNU Affero General Public License v3", "GNU Affero General Public License, version 3 only"]
+    assert ["agpl-3" in row.labels.split(",") for row in scan(spark, texts).values()] == [True] * 3
