@@ -6,6 +6,7 @@ programming over its cheapest segmentation (`guesses`).
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 from collections.abc import Iterator
@@ -26,13 +27,15 @@ HEX = re.compile(r"[0-9a-f]+")
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 #: Kinds in the order in which they stand for spans that begin together; "guess" is the method's.
 KINDS = ("assign", "access", "hex", "guess")
-#: Words after which a value is a credential's, and addresses that hold one; group "value" is judged.
+#: Words after which a value is a credential's, with an authentication scheme or without; schemes that name themselves
+#: before a value (group "bare"); and addresses that hold one. The group that ends last is judged, or "inside".
 CONTEXT = re.compile(
-    r"""(?ai)(?:password|passwd|passphrase|passcode|passwort|contraseña|pwd|secret|token|bearer|api[_-]?key|access[_-]?key|private[_-]?key|auth(?:orization)?|credentials?)(?:[_.-][a-z0-9]{1,20}){0,3}["']?\s{0,3}(?:=>|:=|[:=])\s{0,3}(?:["'`](?P<quoted>[^"'`\s]{6,})["'`]|(?P<plain>[^\s"'`<>;,]{6,}))"""
+    r"""(?ai)(?:password|passwd|passphrase|passcode|passwort|contraseña|pwd|secret|token|bearer|api[_-]?key|access[_-]?key|private[_-]?key|auth(?:orization)?|credentials?)(?:[_.-][a-z0-9]{1,20}){0,3}["']?\s{0,3}(?:=>|:=|[:=])\s{0,3}(?:["'`]?(?P<scheme>bearer|basic|token|digest)\s{1,3})?(?:["'`](?P<quoted>[^"'`\s]{6,})["'`]|(?P<plain>[^\s"'`<>;,]{6,}))"""
+    r"""|\b(?P<bare>bearer|basic)\s{1,3}["'`]?(?P<alone>[a-z0-9._~+/=-]{6,})"""
     r"""|(?P<address>[a-z][a-z0-9+.-]{1,20}://[^\s:/@"'<>]{1,64}:(?P<inside>[^\s/@"'<>]{6,})@)"""
 )
 #: One of these stands in whatever CONTEXT matches, in lower case.
-NEEDED = ("passw", "passph", "passc", "contrase", "pwd", "secret", "token", "bearer", "key", "auth", "credential", "://")
+NEEDED = ("passw", "passph", "passc", "contrase", "pwd", "secret", "token", "bearer", "basic", "key", "auth", "credential", "://")
 #: Guesses (log10) from which a value in a credential's place counts as a secret.
 LEAST_GUESSES = 10.0
 
@@ -54,6 +57,22 @@ def base_spans(text: str, low: str) -> list[Span]:
 LONG_HEX = re.compile(f"[0-9a-f]{{{LEAST_HEX},}}")
 
 
+#: What a bearer's token has and a word of prose hasn't: a digit, or a capital after a small letter.
+TOKEN = re.compile("[0-9]|[a-z][A-Z]")
+
+
+def credential(scheme: str, value: str) -> bool:
+    """Whether `value`, after white space alone, belongs to the scheme ("basic training" doesn't): for basic, base64 of a
+    name and a password with a colon between (RFC 7617)."""
+    if scheme.lower() == "bearer":
+        return TOKEN.search(value) is not None
+    try:
+        name, colon, _ = base64.b64decode(value + "=" * (-len(value) % 4), validate=True).partition(b":")
+        return colon != b"" and name != b"" and name.decode().isprintable()
+    except ValueError:
+        return False
+
+
 def guessed_spans(text: str, low: str, least: float = LEAST_GUESSES) -> list[Span]:
     """(start, kind, end) of values in a credential's place whose cheapest segmentation takes 10**least guesses or more.
 
@@ -61,12 +80,16 @@ def guessed_spans(text: str, low: str, least: float = LEAST_GUESSES) -> list[Spa
     """
     if not any(word in low for word in NEEDED):
         return []
-    found = []
-    for match in CONTEXT.finditer(text):
+    found, at = [], 0
+    while match := CONTEXT.search(text, at):
         group = match.lastgroup if match.lastgroup != "address" else "inside"
         value = match[group].rstrip(".)]}!?")
-        if len(value) >= 6 and log_guesses(value) >= least:
+        at = match.end()
+        fits = match["bare"] is None or credential(match["bare"], value)
+        if fits and len(value) >= 6 and log_guesses(value) >= least:
             found.append((match.start(group), 3, match.start(group) + len(value)))
+        elif match["scheme"] or match["bare"]:
+            at = match.start(group)  # what stands after the scheme's word may be a credential's word itself
     return found
 
 

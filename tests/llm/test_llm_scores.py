@@ -146,6 +146,22 @@ def test_toxicity_of_odd_rows(spark):
     assert len(toxicity.features("", {})) == len(toxicity.features("You 1d10t!", {})) == len(toxicity.FEATURES)
 
 
+def test_authorization_headers():
+    jwt, basic, other = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmN", "dXNlcjpwYXNzd29yZA==", "q9Zk2LwV7sXt4BnM"
+    for text, value in (
+        (f"Authorization: Bearer {jwt}", jwt), (f"authorization:bearer  {jwt}\nAccept: */*", jwt), (f"Bearer {jwt}.", jwt),
+        (f"Authorization: Basic {basic}", basic), (f"Basic {basic}", basic), (f"Authorization: Token {other}", other),
+        (f'Proxy-Authorization: Digest "{other}"', other), (f'curl -H "Authorization: Bearer {jwt}" x', jwt),
+        (f"{{'Authorization': 'Token {other}'}}", other), (f'{{"Authorization": "Basic {basic}"}}', basic),
+        (f"basic password: {other}", other), (f"auth: basic secret = {other}", other),
+    ):
+        start = text.index(value)
+        assert (start, 3, start + len(value)) in secrets.all_spans(text), text
+        assert value not in secrets.mask(text)
+    for text in ("basic training, basic infrastructure, BASIC programming language", "the bearer acknowledges receipt", "Authorization: Basic authentication"):
+        assert secrets.all_spans(text) == [], text
+
+
 def test_repeated_doc_ids_give_one_text_each(spark, monkeypatch):
     """Whatever the order of the rows, each rated document is learned from once, by the same text."""
     learned = []
