@@ -23,6 +23,7 @@ def main() -> None:
     commands.add_parser("index", help="-> aqi, daily_city_aqi")
     commands.add_parser("train", help="-> ml_metrics, ml_predictions, models")
     commands.add_parser("anomalies", help="-> anomalies")
+    commands.add_parser("drop-old", help="remove older versions of all tables")
     args = parser.parse_args()
 
     spark = get_spark()
@@ -39,6 +40,8 @@ def main() -> None:
     elif args.job == "train":
         for run in jobs.train(spark, args.root, table_path(args.root, "models")):
             run.metrics.show(truncate=False)
+    elif args.job == "drop-old":
+        print(jobs.drop_old(spark, args.root))
     else:
         jobs.find_anomalies(spark, args.root)
 

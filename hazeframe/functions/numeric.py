@@ -18,11 +18,13 @@ def as_column(value: Column | str) -> Column:
 def to_number(value: Column | str) -> Column:
     """Double, with unreadable text and NaN turned into NULL.
 
-    A final letter is not part of a number, though Java reads "12f" and "12d" as one; "inf" and "infinity" are.
+    A final letter is not part of a number, though Java reads "12f" and "12d" as one; "inf" and "infinity" are. The test
+    is for text only: the type is known when a plan is made, and the test of other columns vanishes from it.
     """
     column = as_column(value)
     parsed = column.try_cast("double")
-    suffixed = F.lower(F.trim(column.cast("string"))).rlike("[0-9.][fd]$")
+    is_text = F.typeof(column) == "string"
+    suffixed = is_text & F.lower(F.trim(column.cast("string"))).rlike("[0-9.][fd]$")
     return F.when(~F.isnan(parsed) & ~suffixed, parsed)
 
 

@@ -24,6 +24,7 @@ from hazeframe.learning.models import boosted_trees, fill_values, random_forest,
 from hazeframe.learning.network import NetworkModel, fit_network
 from hazeframe.session import cut_lineage
 from hazeframe.sources.tables import table_exists
+from hazeframe.sources.versions import Writing, current
 
 TARGETS = ("pm25_raw", "pm10_raw")
 BASELINE = "Persistence (baseline)"
@@ -57,15 +58,21 @@ class TargetRun:
     best_model: object
 
     def save_model(self, path: str) -> None:
+        """A new version of the model folder; readers get the old one until it is complete."""
+        writing = Writing(self.metrics.sparkSession, path)
+        where = f"{writing.path}/{writing.folder}"
         if isinstance(self.best_model, NetworkModel):
-            self.best_model.save(path)
+            self.best_model.save(where)
         else:
-            self.best_model.write().overwrite().save(path)
+            self.best_model.write().save(where)
+        writing.commit([writing.folder], facts={"model": self.best_name})
 
 
 def load_model(spark: SparkSession, path: str) -> NetworkModel | PipelineModel:
-    """A saved best model of either kind."""
-    return NetworkModel.load(path) if table_exists(spark, path, "parameters") else PipelineModel.load(path)
+    """A saved best model of either kind: the newest version, or a plain model folder."""
+    version = current(spark, path.rstrip("/"))
+    where = f"{version.path}/{version.folders[0]}" if version else path
+    return NetworkModel.load(where) if table_exists(spark, where, "parameters") else PipelineModel.load(where)
 
 
 def side_by_side(spark: SparkSession, task: Callable, items: Sequence) -> list:

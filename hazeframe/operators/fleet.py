@@ -102,22 +102,27 @@ def mean_by(
     are never shuffled, however large the fleet or one device; the join and the second
     aggregation see one row per device and key.
     """
-    per_device = measurements.groupBy(
-        "device_id", *[column.alias(name) for name, column in keys.items()]
-    ).agg(
-        *[
-            piece
-            for c in columns
-            for piece in (
-                F.sum(to_number(c)).alias(f"sum_{c}"),
-                F.count(to_number(c)).alias(f"n_{c}"),
-            )
-        ]
-    )
+    values = {c: to_number(c) for c in columns}
+    grouped = measurements.groupBy("device_id", *[column.alias(name) for name, column in keys.items()])
+    return mean_of_sums(grouped.agg(*sums_and_counts(values)), sensors, columns, list(keys), by_city)
+
+
+def sums_and_counts(values: Mapping[str, Column]) -> list[Column]:
+    """sum_{name} and n_{name} of each value, as aggregates."""
+    return [
+        piece
+        for name, value in values.items()
+        for piece in (F.sum(value).alias(f"sum_{name}"), F.count(value).alias(f"n_{name}"))
+    ]
+
+
+def mean_of_sums(
+    per_device: DataFrame, sensors: DataFrame, columns: Sequence[str], keys: Sequence[str], by_city: bool = True
+) -> DataFrame:
+    """Mean of every column per city (optional) and key, from its sums and counts per device and key."""
     attributes = ("city",) if by_city else ()
     located = join_sensors(per_device, sensors, attributes)
     if by_city:
         located = located.where(F.col("city").isNotNull())
-    groups = [*attributes, *keys]
     means = [mean_of(F.sum(f"sum_{c}"), F.sum(f"n_{c}")).alias(c) for c in columns]
-    return located.groupBy(*groups).agg(*means)
+    return located.groupBy(*attributes, *keys).agg(*means)

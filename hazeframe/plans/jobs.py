@@ -1,22 +1,20 @@
 """The jobs a user runs, in this order: load, locate, aggregate, describe, index, train, anomalies.
 
-Each job reads tables under a root folder and replaces the tables it owns, so it can be rerun at any time.
+Each job reads tables under a root folder and commits new versions of those it owns, so it can be rerun at any time, and
+readers see a table before or after a job but never in between. `drop_old` frees what older versions hold.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from hazeframe.learning import training
 from hazeframe.operators import air_quality, anomalies, cleaning, fleet, profiles, statistics
+from hazeframe.plans import ingest, rollups
 from hazeframe.schema import measure_columns
-from hazeframe.sources import exports
-from hazeframe.sources.tables import read_table, table_exists, table_path, write_measurements, write_report, write_table
+from hazeframe.sources.tables import drop_old_versions, read_table, table_exists, write_measurements, write_report, write_table
 
 
 def _fact(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
@@ -32,20 +30,9 @@ def filled_measure_columns(measurements: DataFrame) -> list[str]:
 def load(spark: SparkSession, folders: Mapping[str, str], root: str, **csv_options: str) -> DataFrame:
     """CSV folders (label -> path) -> `measurements`. Returns the counts of each stage.
 
-    The rows that are read are counted on their way, so the files are parsed once; the kept ones are those of the table.
-    Where an executor is lost, Spark may read rows again and count them again; `cleaning.stage_counts` counts from the files.
+    Files that are listed with the table and haven't changed aren't read again; see `ingest.load`.
     """
-    labelled = [exports.load_folder(spark, path, label, **csv_options) for label, path in folders.items()]
-    raw = exports.append(exports.empty_measurements(spark), *labelled)
-    seen = Observation()
-    usable = reduce(and_, [F.col(c).isNotNull() for c in cleaning.KEY])
-    counted = raw.observe(seen, F.count(F.lit(1)).alias("n_read"), F.count_if(usable).alias("n_usable"))
-    write_measurements(cleaning.deduplicate(cleaning.drop_unusable(counted)), root)
-    # With the schema given: a table without rows has no file to take it from.
-    n_kept = spark.read.schema(raw.schema).parquet(table_path(root, "measurements")).count()
-    n_read, n_usable = (seen.get[name] for name in ("n_read", "n_usable"))
-    row = (n_read, n_read - n_usable, n_usable - n_kept, n_kept)
-    return spark.createDataFrame([row], "n_read long, n_unusable long, n_duplicates long, n_kept long")
+    return ingest.load(spark, folders, root, **csv_options)
 
 
 def locate(spark: SparkSession, gazetteer: DataFrame, root: str, keep_moves: bool = False) -> None:
@@ -55,11 +42,12 @@ def locate(spark: SparkSession, gazetteer: DataFrame, root: str, keep_moves: boo
 
 
 def aggregate(spark: SparkSession, root: str) -> None:
-    """-> `daily_city_avg`, `monthly_city_avg`."""
-    measurements, sensors = _fact(spark, root)
-    columns = filled_measure_columns(measurements)
-    write_table(profiles.daily_city_avg(measurements, sensors, columns), root, "daily_city_avg")
-    write_table(profiles.monthly_city_avg(measurements, sensors, columns), root, "monthly_city_avg")
+    """-> `daily_city_avg`, `monthly_city_avg`, from `hourly_sums`, which is brought up to date first."""
+    rollups.refresh(spark, root)
+    sums, sensors = read_table(spark, root, rollups.STATE), read_table(spark, root, "sensors")
+    columns = rollups.filled_columns(sums)
+    write_table(rollups.rollup(sums, sensors, columns, "date"), root, "daily_city_avg")
+    write_table(rollups.rollup(sums, sensors, columns, "month"), root, "monthly_city_avg")
 
 
 def describe(spark: SparkSession, root: str, report_root: str) -> None:
@@ -104,10 +92,18 @@ def find_anomalies(spark: SparkSession, root: str) -> None:
     write_table(anomalies.detect_anomalies(daily), root, "anomalies")
 
 
+# The tables that the jobs make.
+TABLES = (
+    "measurements", "sensors", "daily_city_avg", "monthly_city_avg", "aqi",
+    "daily_city_aqi", "ml_metrics", "ml_predictions", "anomalies",
+)
+
+
 def available_tables(spark: SparkSession, root: str) -> list[str]:
     """Which of the nine tables exist already."""
-    names = (
-        "measurements", "sensors", "daily_city_avg", "monthly_city_avg", "aqi",
-        "daily_city_aqi", "ml_metrics", "ml_predictions", "anomalies",
-    )
-    return [name for name in names if table_exists(spark, root, name)]
+    return [name for name in TABLES if table_exists(spark, root, name)]
+
+
+def drop_old(spark: SparkSession, root: str, keep: int = 1) -> int:
+    """Remove older versions of all tables, and what killed jobs left. Returns the number of folders removed."""
+    return sum(drop_old_versions(spark, root, name, keep) for name in (*TABLES, rollups.STATE))

@@ -261,6 +261,20 @@ SELECT '@' AS "column", {r("(count(*) - count(@)) * 100.0::DOUBLE / count(*)", "
 KEPT = [c for c in CHANNELS if c != "pressure"]
 add("drop_empty", [READINGS], f"SELECT event_id, device_id, timestamp, {rs(KEPT)} FROM readings")
 
+# Both exports; readings of two days are in both, and one in fifty has no time.
+EXPORTED = """cells AS (SELECT *, date_trunc('hour', timestamp) AS cut_at, extract(day FROM timestamp) AS day FROM nowcast
+  WHERE event_id % 50 <> 0),
+doubled AS (SELECT * FROM cells WHERE day <= 16 UNION ALL SELECT * FROM cells WHERE day >= 15)"""
+CELLS = " + ".join(f"(CASE WHEN {c} IS NULL THEN 0 ELSE 1 END)" for c in ["device_id", "cut_at", *HELD["readings"]])
+add("loaded_exports", [READINGS, NOWCAST, EXPORTED], f"""
+SELECT device_id, cut_at AS timestamp, CAST(date_trunc('month', cut_at) AS DATE) AS utc_month, {rs(['latitude', 'longitude'])},
+  CAST({CELLS} AS INTEGER) AS n_filled, true AS named FROM doubled
+QUALIFY row_number() OVER (PARTITION BY device_id, cut_at ORDER BY n_filled DESC) = 1""")
+add("loaded_counts", [READINGS, NOWCAST, EXPORTED], """
+SELECT r.n AS n_read, r.n - u.n AS n_unusable, u.n - k.n AS n_duplicates, k.n AS n_kept FROM
+  (SELECT count(*) + count(*) FILTER (extract(day FROM timestamp) IN (15, 16)) AS n FROM readings) r,
+  (SELECT count(*) AS n FROM doubled) u, (SELECT count(*) AS n FROM (SELECT DISTINCT device_id, cut_at FROM cells)) k""")
+
 # --- sensors --------------------------------------------------------------------------------
 
 add("sensor_coordinates", [READINGS], f"SELECT DISTINCT device_id, {rs(['latitude', 'longitude'])} FROM readings")
@@ -299,6 +313,11 @@ SELECT city, CAST(hour(local_ts) AS INTEGER) AS hour, {means(RAW[:1])} FROM join
 add("weekly", [READINGS], f"SELECT dayname(local_ts) AS weekday, {means(RAW)} FROM joined GROUP BY 1")
 add("seasonal", [LONG], f"SELECT strftime(local_ts, '%Y-%m') AS month, {means(RAW[:2])} FROM long_joined GROUP BY 1")
 add("city_ranking", [READINGS], f"SELECT city, {means(RAW)} FROM joined GROUP BY 1")
+add("kept_daily_city_avg", [LONG], f"SELECT city, CAST(local_ts AS DATE) AS date, {means(RAW[:2])} FROM long_joined GROUP BY 1, 2")
+ORACLES["kept_monthly_city_avg"], ORACLES["kept_seasonal"] = ORACLES["monthly_city_avg"], ORACLES["seasonal"]
+add("kept_weekly", [LONG], f"SELECT dayname(local_ts) AS weekday, {means(RAW[:2])} FROM long_joined GROUP BY 1")
+add("kept_diurnal", [LONG], f"SELECT CAST(hour(local_ts) AS INTEGER) AS hour, {means(RAW[:2])} FROM long_joined GROUP BY 1")
+add("kept_ranking", [LONG], f"SELECT city, {means(RAW[:2])} FROM long_joined GROUP BY 1")
 add("city_extremes", [READINGS, "m AS (SELECT city, avg(pm25_raw) AS v FROM joined GROUP BY 1)"], f"""
 SELECT (SELECT city FROM m ORDER BY v DESC, city LIMIT 1) AS worst_city, {r('max(v)', 'worst_value')},
   (SELECT city FROM m ORDER BY v, city LIMIT 1) AS best_city, {r('min(v)', 'best_value')},

@@ -7,6 +7,7 @@ operators themselves return unrounded values.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
@@ -31,9 +32,11 @@ from hazeframe.operators import (
     timeseries,
 )
 from hazeframe.operators.geo import nearest_settlement
-from hazeframe.session import configure, cut_lineage
-from hazeframe.schema import measure_columns, raw_columns
-from hazeframe.sources import exports
+from hazeframe.plans import ingest, rollups
+from hazeframe.schema import COLUMN_MAP, MEASUREMENTS, measure_columns, raw_columns
+from hazeframe.session import configure, cut_lineage, ensure_checkpoint_dir
+from hazeframe.sources import exports, tables
+from hazeframe.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -149,6 +152,97 @@ def drop_empty(spark, folder):
     return cleaning.drop_empty_columns(rows)
 
 
+def exported(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """Readings as two sets of CSV cells under the export's headers, the second with its columns the other way round.
+    Readings of the first days are in both, and some have no readable time."""
+    names = {name: header for header, name in COLUMN_MAP.items()}
+    held = [c for c in fx.readings(spark, folder).columns if c in names]
+    rows = fx.duplicates(spark, folder).withColumn("day", F.dayofmonth("timestamp"))
+    text = F.when(F.col("event_id") % 50 == 0, F.lit("no time")).otherwise(clock.iso_utc("timestamp"))
+    cells = rows.withColumn("timestamp", text)
+    first, second = cells.where("day <= 16"), cells.where("day >= 15")
+    return [part.select(*[F.col(c).alias(names[c]) for c in order]) for part, order in ((first, held), (second, held[::-1]))]
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """A new folder for the tables of one query."""
+    return f"{ensure_checkpoint_dir(spark)}/tables-{uuid.uuid4()}"
+
+
+def loaded(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
+    """Root and counts of a fact table from written CSV files: of one folder first, then of both."""
+    root = scratch_root(spark)
+    folders = {}
+    for label, part in zip(("first", "second"), exported(spark, folder)):
+        folders[label] = f"{root}/csv/{label}"
+        part.write.option("header", True).csv(folders[label])
+        counts = ingest.load(spark, folders, root)
+    return root, counts
+
+
+@query
+def loaded_exports(spark, folder):
+    """Rows that come back from CSV files; where equally complete readings collide, only what tells none of them apart."""
+    rows = read_table(spark, loaded(spark, folder)[0], "measurements")
+    named = F.col("source_file").endswith(".csv").alias("named")
+    filled = cleaning.completeness([c for c in MEASUREMENTS.names if c not in ("source_dataset", "source_file")])
+    return rows.select("device_id", "timestamp", "utc_month", "latitude", "longitude", filled.alias("n_filled"), named)
+
+
+@query
+def loaded_counts(spark, folder):
+    """Rows read, unusable, duplicate and kept, as committed with the table."""
+    return loaded(spark, folder)[1]
+
+
+def kept_state(spark: SparkSession, folder: str) -> str:
+    """Root of a fact table and its partial sums, which followed it through three loads."""
+    root = scratch_root(spark)
+    rows = fx.long_readings(spark, folder)
+    year = F.year("timestamp")
+    tables.write_measurements(rows.where(year < 1998), root)
+    rollups.refresh(spark, root)
+    later = [str(r.m) for r in tables.with_month(rows.where(year >= 1998)).select(F.col("utc_month").alias("m")).distinct().collect()]
+    tables.write_measurements(rows.where(year >= 1998), root, months=later)
+    rollups.refresh(spark, root)
+    return root
+
+
+def kept_rollup(spark: SparkSession, folder: str, *key, **options) -> DataFrame:
+    sums = read_table(spark, kept_state(spark, folder), rollups.STATE)
+    return rollups.rollup(sums, fx.long_sensors(spark, folder), list(profiles.PROFILE_COLUMNS), *key, **options)
+
+
+@query
+def kept_daily_city_avg(spark, folder):
+    return kept_rollup(spark, folder, "date")
+
+
+@query
+def kept_monthly_city_avg(spark, folder):
+    return kept_rollup(spark, folder, "month")
+
+
+@query
+def kept_seasonal(spark, folder):
+    return kept_rollup(spark, folder, "month", by_city=False)
+
+
+@query
+def kept_weekly(spark, folder):
+    return kept_rollup(spark, folder, "weekday", by_city=False)
+
+
+@query
+def kept_diurnal(spark, folder):
+    return kept_rollup(spark, folder, "hour", by_city=False)
+
+
+@query
+def kept_ranking(spark, folder):
+    return kept_rollup(spark, folder)
+
+
 # --- sensors --------------------------------------------------------------------------------
 
 

@@ -19,6 +19,8 @@ from hazeframe.schema import COLUMN_MAP, MEASUREMENTS, MISSING_TOKENS, TABLE_COL
 # Task functions travel by value: executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+FILES = "source_dataset string, source_file string, path string, size long, modified timestamp"
+
 TIMESTAMP_FORMATS = (
     "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX",
     "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XX",
@@ -92,28 +94,41 @@ def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"path": batch["path"], "header": headers})
 
 
-def files_by_header(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+def list_files(spark: SparkSession, folder: str, source_dataset: str) -> DataFrame:
+    """source_dataset, source_file, path, size, modified of the CSV files of a folder; no file is opened."""
+    try:
+        listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], FILES)
+    return listing.select(
+        F.lit(source_dataset).alias("source_dataset"),
+        F.substring_index("path", "/", -1).alias("source_file"),
+        "path",
+        F.col("length").alias("size"),
+        F.col("modificationTime").alias("modified"),
+    )
+
+
+def files_by_header(spark: SparkSession, folder: str, files: DataFrame | None = None) -> dict[str, list[str]]:
     """Header line -> CSV files that carry it, or the folder if all of them carry one.
 
     One scan over files with different headers would match cells by position, so each distinct header
     gets its own scan. Headers are read on the executors; only the file listing, which the driver
-    of any file scan holds as well, comes back.
+    of any file scan holds as well, comes back. `files` (path) are those of the folder to look at, all by default.
     """
-    try:
-        listing = (
-            spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select("path")
-        )
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return {}
-        raise
-    headers = listing.mapInPandas(_read_headers, "path string, header string")
-    different = headers.select("header").distinct().limit(2).collect()
-    if len(different) == 1:
-        # One header, the usual case: the folder itself is scanned, and no list of its files is gathered.
-        return {different[0].header: [folder]}
-    groups = headers.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    return {row.header: row.paths for row in groups.orderBy("header").collect()}
+    listing = list_files(spark, folder, "") if files is None else files
+    headers = listing.select("path").mapInPandas(_read_headers, "path string, header string")
+    if files is None:
+        different = headers.select("header").distinct().limit(2).collect()
+        if len(different) == 1:
+            # One header, the usual case: the folder itself is scanned, and no list of its files is gathered.
+            return {different[0].header: [folder]}
+    groups: dict[str, list[str]] = {}
+    for row in headers.orderBy("path").toLocalIterator():
+        groups.setdefault(row.header, []).append(row.path)
+    return dict(sorted(groups.items()))
 
 
 def _scan(spark: SparkSession, header: str, paths: list[str], **options: str) -> DataFrame:
@@ -126,9 +141,12 @@ def _scan(spark: SparkSession, header: str, paths: list[str], **options: str) ->
     return reader.csv(paths).select(*wanted, F.col("_metadata.file_name").alias("source_file"))
 
 
-def load_folder(spark: SparkSession, folder: str, source_dataset: str, **options: str) -> DataFrame:
-    """All CSV exports of a folder, standardised, with the dataset label and file name of each row."""
-    groups = files_by_header(spark, folder)
+def load_folder(
+    spark: SparkSession, folder: str, source_dataset: str, files: DataFrame | None = None, **options: str
+) -> DataFrame:
+    """All CSV exports of a folder, standardised, with the dataset label and file name of each row; or only `files` (path)
+    of it."""
+    groups = files_by_header(spark, folder, files)
     result = None
     for header, paths in groups.items():
         if not header.strip():

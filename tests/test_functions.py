@@ -137,3 +137,24 @@ def test_skewness_equals_pandas(spark, values):
     got = df.agg(numeric.sample_skewness("v")).first()[0]
     want = pd.Series(values, dtype=float).skew()
     assert (got is None and pd.isna(want)) or got == pytest.approx(want, abs=1e-6)
+
+
+def test_numbers_are_tested_as_text_only_where_they_are_text(spark):
+    from hazeframe.functions.numeric import to_number
+
+    texts = ["12f", "12d", "1.5", " 7 ", "1e3", "inf", "x", "", None, "0x1F", "NaN"]
+    text = spark.createDataFrame([(t,) for t in texts], "x string").select(to_number("x").alias("n"))
+    assert [r.n for r in text.collect()] == [None, None, 1.5, 7.0, 1000.0, float("inf"), None, None, None, None, None]
+    assert "RLIKE" in text._jdf.queryExecution().executedPlan().toString()
+    for kind in ("double", "float", "int", "decimal(10,2)"):
+        plain = spark.range(3).selectExpr(f"cast(id as {kind}) x").select(to_number("x").alias("n"))
+        assert [r.n for r in plain.collect()] == [0.0, 1.0, 2.0]
+        assert "RLIKE" not in plain._jdf.queryExecution().executedPlan().toString()
+
+
+def test_measurement_columns_are_read_as_numbers(spark, small):
+    """The plans of the heavy profiles hold no text work."""
+    from hazeframe.registry.queries import QUERIES
+
+    for name in ("daily_city_avg", "corr_matrix", "histogram"):
+        assert "RLIKE" not in QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
