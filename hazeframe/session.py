@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,7 +58,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+#: Checkpoint files made within `released_checkpoints`.
+_made: ContextVar[list[str] | None] = ContextVar("_made", default=None)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so iterative jobs survive the loss of executors."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    frame = df.checkpoint(eager=True)
+    made = _made.get()
+    if made is not None:
+        made.append(frame._jdf.queryExecution().logical().rdd().getCheckpointFile().get())
+    return frame
+
+
+@contextmanager
+def released_checkpoints(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the checkpoints that were made within: for work whose result is then stored. The driver is asked
+    to collect what it no longer refers to, upon which Spark removes the shuffle files of that work."""
+    token = _made.set([])
+    try:
+        yield
+    finally:
+        made = _made.get() or []
+        _made.reset(token)
+        for path in made:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        gc.collect()
+        spark._jvm.System.gc()
