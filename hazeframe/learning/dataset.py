@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazeframe.operators.timeseries import (
+    REACH,
     calendar_features,
     hourly_grid,
     lag_features,
     lagged,
+    own_rows,
     rolling_features,
+    series_keys,
 )
 
 EXTRA_PREDICTORS = ("no2_raw", "temp_internal", "humidity_internal")
@@ -25,13 +28,14 @@ def build_dataset(
 ) -> DataFrame:
     """Features known at each hour and `target`, the value `horizon` hours later.
 
-    Grid, lags, rolling statistics and lead share one partitioning and one sort by device. Unlike a
-    rolling window over the stacked series, frames never reach into another device.
+    Lags, rolling statistics and lead share one partitioning and one sort by device and month, with months that overlap
+    by what they reach; no task holds more than a month of a device. Unlike a rolling window over the stacked series,
+    frames never reach into another device.
     """
     others = [c for c in EXTRA_PREDICTORS if c != target_column]
-    grid = hourly_grid(measurements, sensors, [target_column, *others])
+    grid = hourly_grid(measurements, sensors, [target_column, *others], margin=(REACH, max(horizon, 0)))
     featured = rolling_features(lag_features(grid, target_column), target_column)
-    featured = featured.withColumn("target", lagged(target_column, -horizon))
+    featured = own_rows(featured.withColumn("target", lagged(target_column, -horizon, series_keys(grid))))
     complete = calendar_features(featured).na.drop(subset=[target_column, "target", "lag_1h"])
     features = [c for c in complete.columns if c not in (*IDENTIFIERS, "target")]
     return complete.select(*IDENTIFIERS, *features, "target")

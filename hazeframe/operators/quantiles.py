@@ -1,4 +1,4 @@
-"""Exact quantiles of whole columns without gathering a column in one task.
+"""Exact quantiles of whole columns, and of all groups of a table, without gathering a column or group in one task.
 
 Spark's `percentile` merges a value -> count map of the entire group in a single task. Here three scans find the
 values at the wanted ranks:
@@ -170,3 +170,66 @@ def quantile_table(quantiles: DataFrame, names: dict[float, str]) -> DataFrame:
         for p, name in names.items()
     ]
     return quantiles.groupBy("column").agg(*fields)
+
+
+def spread_out(df: DataFrame) -> DataFrame:
+    """A table of one row a group, dealt out anew, so that a join shuffles both sides and Spark can split a large group."""
+    return df.hint("rebalance")
+
+
+def quantiles_by_group(
+    df: DataFrame, by: Sequence[str], column: str, probabilities: Sequence[float], most: int = WINDOW
+) -> DataFrame:
+    """by, probability, value: exact quantiles of a column in every group, by linear interpolation.
+
+    Equal values are counted first, by group and value, so that a group of any size is spread over tasks by its values. A group with
+    more than `most` distinct ones is cut into shares by a sketch, merged in two levels; counts tell which shares hold the wanted
+    ranks, and these are cut again until one window holds each. All groups are cut at once and nothing is read by the driver.
+    Rows without a group or value don't count; groups without a value are absent.
+    """
+    by = list(by)
+    numbers = df.select(*by, _number(column).alias("value")).na.drop()
+    rows = numbers.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"))
+    rows = cut_lineage(rows.withColumns({"segment": F.lit("").cast("string"), "below": F.lit(0).cast("bigint")}))
+    place = (F.col("total") - 1) * F.col("probability")
+    wanted = (
+        rows.groupBy(*by)
+        .agg(F.sum("n").alias("total"))
+        .withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
+        .select(*by, "probability", F.floor(place).alias("lower_rank"), F.ceil(place).alias("upper_rank"), (place - F.floor(place)).alias("fraction"))
+    )
+    # One row a group: the ranks it is asked for.
+    pair = F.array(F.col("lower_rank"), F.col("upper_rank"))
+    ranks = wanted.groupBy(*by).agg(F.array_distinct(F.flatten(F.collect_list(pair))).alias("ranks"))
+    key = [*by, "segment"]
+    while True:
+        sizes = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n_values"))
+        large = cut_lineage(sizes.where(F.col("n_values") > most).select(*key))
+        if large.isEmpty():
+            break
+        small = rows.join(spread_out(large), key, "left_anti")
+        inside = rows.join(spread_out(large), key)
+        sketch = F.kll_sketch_agg_double("value", F.lit(SKETCH)).alias("sketch")
+        parts = inside.groupBy(*key, _group().alias("part")).agg(sketch)
+        # Sketches are random: what they say is stored, so that every reader sees the same shares.
+        edges = cut_lineage(_edges(parts, key, [i / SHARES for i in range(1, SHARES)]))
+        share = F.size(F.filter("edges", lambda e: e < F.col("value")))
+        inside = inside.join(spread_out(edges), key).withColumn("share", share).drop("edges")
+        counts = inside.groupBy(*key, "below", "share").agg(F.sum("n").alias("m"))
+        running = F.sum("m").over(Window.partitionBy(*key).orderBy("share")) - F.col("m")
+        held = counts.withColumn("under", F.col("below") + running).join(spread_out(ranks), by)
+        held = held.where(F.exists("ranks", lambda r: (r >= F.col("under")) & (r < F.col("under") + F.col("m"))))
+        inside = inside.drop("below").join(spread_out(held.select(*key, "share", F.col("under").alias("below"))), [*key, "share"])
+        inside = inside.withColumn("segment", F.concat_ws(".", "segment", F.col("share").cast("string")))
+        rows = cut_lineage(small.select(*rows.columns).unionByName(inside.select(*rows.columns)))
+    upto = rows.withColumn("upto", F.col("below") + F.sum("n").over(Window.partitionBy(*key).orderBy("value")))
+    hits = F.filter("ranks", lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n")))
+    reached = upto.join(spread_out(ranks), by).select(*by, "value", F.explode(hits).alias("rank"))
+    ends = wanted.join(reached, by).where("rank IN (lower_rank, upper_rank)")
+    lower = F.max(F.when(F.col("rank") == F.col("lower_rank"), F.col("value")))
+    upper = F.max(F.when(F.col("rank") == F.col("upper_rank"), F.col("value")))
+    return (
+        ends.groupBy(*by, "probability", "fraction")
+        .agg((lower + (upper - lower) * F.col("fraction")).alias("value"))
+        .select(*by, "probability", "value")
+    )

@@ -275,6 +275,11 @@ SELECT r.n AS n_read, r.n - u.n AS n_unusable, u.n - k.n AS n_duplicates, k.n AS
   (SELECT count(*) + count(*) FILTER (extract(day FROM timestamp) IN (15, 16)) AS n FROM readings) r,
   (SELECT count(*) AS n FROM doubled) u, (SELECT count(*) AS n FROM (SELECT DISTINCT device_id, cut_at FROM cells)) k""")
 
+PERIODS = ", ".join(f"(DATE '{1995 + i // 2}-{1 + 5 * (i % 2):02}-03', DATE '{1995 + i // 2}-{1 + 5 * (i % 2):02}-{3 + 2 * i:02}')" for i in range(10))
+add("kept_devices", [LONG, f'periods("start", "end") AS (VALUES {PERIODS})'], """
+SELECT "start", "end", count(DISTINCT device_id) AS n, count(DISTINCT CAST(local_ts AS DATE)) AS n_days
+FROM periods LEFT JOIN long_joined ON CAST(local_ts AS DATE) BETWEEN "start" AND "end" GROUP BY ALL""")
+
 # --- sensors --------------------------------------------------------------------------------
 
 add("sensor_coordinates", [READINGS], f"SELECT DISTINCT device_id, {rs(['latitude', 'longitude'])} FROM readings")
@@ -515,6 +520,12 @@ CAST(hour(local_ts) AS INTEGER) AS hour, strftime(timestamp, '%Y-%m-%dT%H:%M:%SZ
 DAY_VALUES = ["pm25_raw", "pm10_raw"]
 add("robust_z", [READINGS, DAYS, robust("days", "pm25_raw", "z25")], f"""
 SELECT days.city, days.date, {rs(DAY_VALUES)}, {r('z', 'z_pm25')} FROM days JOIN z25 USING (city, date)""")
+add("reading_robust_z", [READINGS, """middle AS (SELECT city, median(no2_raw) AS med FROM joined GROUP BY city),
+sizes AS (SELECT city, any_value(med) AS med, median(abs(no2_raw - med)) AS mad FROM joined JOIN middle USING (city) GROUP BY city)"""], f"""
+SELECT event_id, city, {r(f"{d(0.6745)} * (no2_raw - med) / nullif(mad, 0)", 'z_no2')} FROM joined JOIN sizes USING (city)""")
+add("city_quantiles", [READINGS], " UNION ALL ".join(f"""
+SELECT city, {r(d(p), 'probability')}, {r(f'quantile_cont(no2_raw, {p})', 'value')} FROM joined GROUP BY city"""
+    for p in (0.05, 0.25, 0.5, 0.75, 0.99)))
 add("detected_anomalies", [READINGS, ANOMALIES], f"""
 SELECT city, date, {rs([*DAY_VALUES, 'z_pm25', 'z_pm10'])}, is_statistical, is_threshold, severity FROM found""")
 TENTHS = ", ".join(f"round(round_even({c}, 1) + 1e-10::DOUBLE, 6) AS {c}" for c in DAY_VALUES)

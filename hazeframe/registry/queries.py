@@ -25,6 +25,7 @@ from hazeframe.operators import (
     anomalies,
     cleaning,
     dashboard,
+    distinct,
     fleet,
     profiles,
     quantiles,
@@ -46,6 +47,7 @@ CHANNELS = [
 ]
 RAW = ["pm25_raw", "pm10_raw", "no2_raw"]
 START, END = dt.date(2024, 1, 5), dt.date(2024, 1, 12)
+PERIODS = [(dt.date(1995 + i // 2, 1 + 5 * (i % 2), 3), dt.date(1995 + i // 2, 1 + 5 * (i % 2), 3 + 2 * i)) for i in range(10)]
 CITIES = ["NATION_1", "NATION_3", "NATION_4"]
 LABEL = "PM2.5 [ug/m3]"
 
@@ -243,6 +245,16 @@ def kept_ranking(spark, folder):
     return kept_rollup(spark, folder)
 
 
+@query
+def kept_devices(spark, folder):
+    """Devices and cities that sent something in ten periods, from stored sketches of each city and day."""
+    root = kept_state(spark, folder)
+    readings = read_table(spark, root, "measurements")
+    tables.write_table(distinct.daily_sketches(readings, fx.long_sensors(spark, folder), "device_id"), root, "device_sketches")
+    kept = read_table(spark, root, "device_sketches")
+    return exports.append(*(distinct.estimate(kept, *period) for period in PERIODS))
+
+
 # --- sensors --------------------------------------------------------------------------------
 
 
@@ -545,14 +557,15 @@ def resample_month(spark, folder):
 
 @query
 def lag_features(spark, folder):
-    grid = timeseries.hourly_grid(*pair(spark, folder), ["pm25_raw"])
+    grid = timeseries.hourly_grid(*pair(spark, folder), ["pm25_raw"], margin=(timeseries.REACH, 1))
     featured = timeseries.lag_features(grid, "pm25_raw")
-    return featured.withColumn("target", timeseries.lagged("pm25_raw", -1))
+    return timeseries.own_rows(featured.withColumn("target", timeseries.lagged("pm25_raw", -1, timeseries.series_keys(grid))))
 
 
 @query
 def rolling_features(spark, folder):
-    return timeseries.rolling_features(timeseries.hourly_grid(*pair(spark, folder), ["pm25_raw"]), "pm25_raw")
+    grid = timeseries.hourly_grid(*pair(spark, folder), ["pm25_raw"], margin=(timeseries.REACH, 0))
+    return timeseries.own_rows(timeseries.rolling_features(grid, "pm25_raw"))
 
 
 @query
@@ -584,6 +597,24 @@ def robust_z(spark, folder):
     return timeseries.robust_z(city_days(spark, folder), "pm25_raw", "z_pm25")
 
 
+def located(spark, folder):
+    measurements, sensors = pair(spark, folder)
+    rows = measurements.select("event_id", "device_id", "timestamp", "pm25_raw", "no2_raw")
+    return fleet.join_sensors(rows, sensors)
+
+
+@query
+def reading_robust_z(spark, folder):
+    """Deviation of every single reading within its city, whose readings no task holds all of."""
+    scored = timeseries.robust_z_of_groups(located(spark, folder), "no2_raw", "z_no2", most=500)
+    return scored.select("event_id", "city", "z_no2")
+
+
+@query
+def city_quantiles(spark, folder):
+    return quantiles.quantiles_by_group(located(spark, folder), ["city"], "no2_raw", [0.05, 0.25, 0.5, 0.75, 0.99], most=500)
+
+
 @query
 def detected_anomalies(spark, folder):
     return anomalies.detect_anomalies(city_days(spark, folder))

@@ -4,7 +4,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from hazeframe import fixtures as fx
@@ -119,7 +119,7 @@ def test_network_learns_across_tasks(spark, tmp_path):
     df = cut_lineage(df)
     fills = models.fill_values(df, ["a", "b"])
     preparation = Pipeline(stages=models.scaled_features(fills)).fit(df)
-    model = network.fit_network(df, preparation, ["id"], hidden=(32, 16), epochs=60, tasks=2)
+    model = network.fit_network(df, preparation, ["id"], hidden=(32, 16), epochs=60)
     assert model.scores[0] < 0 < 0.9 < max(model.scores) and len(model.scores) <= 61
     before = ds.evaluate(model.transform(df), "target", "prediction").first()
     assert before.r2 > 0.9
@@ -128,6 +128,31 @@ def test_network_learns_across_tasks(spark, tmp_path):
     assert ds.evaluate(loaded.transform(df), "target", "prediction").first().mae == pytest.approx(before.mae)
 
 
+def test_network_depends_on_its_rows_alone(spark, monkeypatch):
+    """One, four and eight tasks, other orders and other partitions give the same weights; sums of many blocks as well."""
+    rows = spark.range(3000).select("id", (F.randn(1) * 2).alias("a"), F.randn(2).alias("b"))
+    df = cut_lineage(rows.withColumn("target", F.abs("a") * 3 + F.col("b")))
+    preparation = Pipeline(stages=models.scaled_features(models.fill_values(df, ["a", "b"]))).fit(df)
+    monkeypatch.setattr(network, "BLOCK_ROWS", 100)
+
+    def fitted(data, tasks):
+        return network.fit_network(data, preparation, ["id"], hidden=(8,), epochs=12, tasks=tasks).weights
+
+    one = fitted(df, 1)
+    for data, tasks in ((df, 4), (df, 8), (df.orderBy("a").repartition(3), None)):
+        np.testing.assert_allclose(fitted(data, tasks), one, rtol=0, atol=1e-9)
+
+
+def test_sums_of_many_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    sums = rng.normal(size=(90, 3))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(sums)], network.SUMS).repartition(7)
+    monkeypatch.setattr(network, "FAN", 4)
+    got = [network.total_of(df.repartition(n), 90) for n in (1, 3, 8)]
+    np.testing.assert_allclose(got[0], sums.sum(axis=0), atol=1e-12)
+    assert (got[0] == got[1]).all() and (got[0] == got[2]).all()
+
+
 def test_run_target(spark, medium, tmp_path):
     trainers = {
         "Ridge": models.ridge,
@@ -152,7 +177,7 @@ def test_run_target(spark, medium, tmp_path):
     run.save_model(str(tmp_path / "model"))
     run.save_model(str(tmp_path / "model"))
     _, test = ds.time_split(ds.build_dataset(*pair, run.target))
-    again = PipelineModel.load(str(tmp_path / "model")).transform(test)
+    again = training.load_model(spark, str(tmp_path / "model")).transform(test)
     want = predictions.where(F.col("target") == run.target).agg(F.sum("predicted")).first()[0]
     assert again.agg(F.sum("prediction")).first()[0] == pytest.approx(want)
 

@@ -431,7 +431,7 @@ def test_a_moved_sensor_has_a_grid_per_city(spark):
     assert got == [(c, h, v) for c in "xy" for h, v in ((0, 1.0), (1, None), (2, 3.0))]
 
 
-def test_features_are_partitioned_once_by_device(spark, medium):
+def test_features_are_partitioned_once_by_device_and_month(spark, medium):
     from hazeframe import fixtures as fx
     from hazeframe.learning.dataset import build_dataset
 
@@ -440,10 +440,78 @@ def test_features_are_partitioned_once_by_device(spark, medium):
     plan = data._jdf.queryExecution().executedPlan().toString()
     final = plan[: plan.index("Initial Plan")]
     above_join = final[: final.index("Join")]
-    assert above_join.count("Exchange hashpartitioning(device_id") == 1
+    # By device for the successor of each reading, by device and month for all windows over the grid.
+    assert above_join.count("Exchange hashpartitioning(device_id") == 2
+    assert above_join.count("Exchange hashpartitioning(device_id#") - above_join.count("_part#") <= 1
     assert above_join.count("Window [") == 2
 
 
+def test_a_reading_far_away_makes_no_long_rows(spark):
+    """Two readings 80 years apart: no row is extended by more than a month, and many tasks share the hours."""
+    rows = [("A", dt.datetime(2020, 1, 1), 1.0), ("A", dt.datetime(2100, 1, 1), 2.0)]
+    pair = readings(spark, rows), sensor_table(spark, ("A", "x"))
+    grid = timeseries.hourly_grid(*pair, ["pm25_raw"])
+    hours = int((rows[1][1] - rows[0][1]).total_seconds() // 3600) + 1
+    row = grid.agg(F.count("*").alias("n"), F.count_distinct("timestamp").alias("d"), F.sum("pm25_raw").alias("s")).first()
+    assert tuple(row) == (hours, hours, 3.0)
+    per_task = grid.groupBy(F.spark_partition_id().alias("task")).count()
+    assert per_task.count() > 1
+    plan = grid._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode(sequence(") == 2
+
+
+def test_margins_change_nothing(spark):
+    """Windows within months that overlap equal those over the whole device."""
+    rng = np.random.default_rng(9)
+    start = dt.datetime(2022, 1, 20)
+    hours = sorted(set(rng.integers(0, 24 * 70, 900).tolist()) | {24 * 300, 24 * 300 + 1})
+    rows = [(d, start + dt.timedelta(hours=h), float(rng.normal())) for d in "AB" for h in hours]
+    pair = readings(spark, rows), sensor_table(spark, ("A", "x"), ("B", "y"))
+
+    def featured(margin):
+        grid = timeseries.hourly_grid(*pair, ["pm25_raw"], margin)
+        by = timeseries.series_keys(grid)
+        full = timeseries.rolling_features(timeseries.lag_features(grid, "pm25_raw"), "pm25_raw")
+        full = full.withColumn("next", timeseries.lagged("pm25_raw", -3, by))
+        full = timeseries.own_rows(full) if margin else full
+        return full.toPandas().sort_values(["device_id", "timestamp"]).reset_index(drop=True)
+
+    plain, cut = featured(None), featured((24, 3))
+    assert len(plain) == 2 * (24 * 300 + 2 - hours[0])
+    pd.testing.assert_frame_equal(cut[plain.columns], plain, atol=1e-12)
+
+
+@pytest.mark.parametrize("most", [200_000, 40, 3])
+def test_quantiles_of_groups(spark, most):
+    rng = np.random.default_rng(4)
+    parts = [
+        pd.DataFrame({"g": "many", "v": rng.normal(size=4000)}), pd.DataFrame({"g": "ties", "v": rng.integers(0, 9, 3000).astype(float)}),
+        pd.DataFrame({"g": "few", "v": [5.0, 1.0]}), pd.DataFrame({"g": "one", "v": [7.0]}), pd.DataFrame({"g": "skew", "v": 10.0 ** rng.uniform(-300, 300, 2000)}),
+    ]
+    pdf = pd.concat(parts)
+    df = spark.createDataFrame(pdf).unionByName(spark.createDataFrame([("none", None), (None, 1.0)], "g string, v double"))
+    shares = [0.0, 0.1, 0.5, 0.77, 1.0]
+    got = {(r.g, r.probability): r.value for r in quantiles.quantiles_by_group(df, ["g"], "v", shares, most).collect()}
+    want = {(g, p): own["v"].quantile(p) for g, own in pdf.groupby("g") for p in shares}
+    assert set(got) == set(want)
+    for key, value in want.items():
+        assert got[key] == pytest.approx(value, rel=1e-12), key
+
+
+@pytest.mark.parametrize("most", [200_000, 10])
+def test_robust_z_of_large_groups_equals_that_of_windows(spark, most):
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"id": range(900), "city": rng.choice(["x", "y", "z"], 900), "v": rng.normal(size=900).round(1)})
+    flat = pd.DataFrame({"id": range(900, 905), "city": "flat", "v": 1.0})
+    df = spark.createDataFrame(pd.concat([pdf, flat])).unionByName(spark.createDataFrame([(990, "x", None), (991, "empty", None)], "id long, city string, v double"))
+    got = {r.id: r.z for r in timeseries.robust_z_of_groups(df, "v", "z", most=most).collect()}
+    want = {r.id: r.z for r in timeseries.robust_z(df, "v", "z").collect()}
+    assert got.keys() == want.keys()
+    for key, z in want.items():
+        assert got[key] == (None if z is None else pytest.approx(z, rel=1e-12)), key
+    assert got[900] is None and got[990] is None
+
+
 def test_autumn_hours_stay_apart(spark):
     rows = [("A", dt.datetime(2022, 10, 30, 0, 10), 1.0), ("A", dt.datetime(2022, 10, 30, 1, 10), 2.0)]
     pair = readings(spark, rows), sensor_table(spark, ("A", "x"))
