@@ -3,7 +3,8 @@
 Merging by rank is replaced by a search for the one segmentation whose neighbours are all compatible: two tokens are if
 merging their joined bytes gives the two again. From each position the longest token is tried first, found by an
 Aho-Corasick automaton over the bytes as Latin-1 text; a dead end steps back to a shorter token, and positions known to be
-dead ends aren't tried twice. Compatibility is remembered by pair, results by stretch of text.
+dead ends aren't tried twice. Whether two tokens are compatible is seen from the parts that stand at their border while
+merges are made, without making them; it is remembered by pair, results by stretch of text.
 """
 
 from __future__ import annotations
@@ -21,11 +22,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from hazeframe.llm.common import id_and_text, slices, table
-from hazeframe.llm.stretches import Remembered
+from hazeframe.llm.stretches import Remembered, part_of
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Pairs of tokens, and stretches of text, that a worker remembers before it begins anew.
-PAIRS, STRETCHES = 2_000_000, 300_000
+#: Pairs of tokens that a worker remembers before it begins anew; stretches of text and words that it remembers at least.
+PAIRS, STRETCHES, WORDS = 2_000_000, 250_000, 150_000
 
 
 class ByteBpe:
@@ -38,10 +39,16 @@ class ByteBpe:
             self.pieces[rank] = piece
         self.split = regex.compile(pattern).findall
         self.automaton = ahocorasick.Automaton()
+        # What the last merge of each token joins; none for single bytes.
+        self.halves: list[tuple[int, int] | None] = [None] * len(self.pieces)
         for piece, rank in ranks.items():
             # A token that merging its own bytes never yields can stand only for a whole word, as `word` does.
-            if len(piece) <= 2 or self.merged(piece) == [rank]:
-                self.automaton.add_word(piece.decode("latin-1"), (rank, len(piece)))
+            if len(piece) > 1:
+                halves = self.merged(piece, 2)
+                if len(halves) > 2 or self.pieces[halves[0]] + self.pieces[halves[1]] != piece:
+                    continue
+                self.halves[rank] = halves[0], halves[1]
+            self.automaton.add_word(piece.decode("latin-1"), (rank, len(piece)))
         self.automaton.make_automaton()
         # For each token, the longest token that is a proper prefix of it; -1 for single bytes.
         self.shorter = [-1] * len(self.pieces)
@@ -51,17 +58,20 @@ class ByteBpe:
                     self.shorter[rank] = ranks[piece[:size]]
                     break
         self.compatible: dict[tuple[int, int], bool] = {}
-        self.stretches = Remembered(self.stretch, STRETCHES)
+        self.ends: dict[tuple[int, int], list[int]] = {}
+        self.stretches = Remembered(lambda key: self.stretch(part_of(key)), STRETCHES)
+        self.words = Remembered(lambda word: tuple(self.word(word.encode())), WORDS)
 
     @classmethod
     def load(cls, path: str) -> ByteBpe:
         with open(path, "rb") as lines:
             return cls({base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)})
 
-    def merged(self, data: bytes) -> list[int]:
-        """The definition: of neighbouring parts, join the pair of lowest rank, the leftmost first, until none has one."""
+    def merged(self, data: bytes, least: int = 1) -> list[int]:
+        """The definition: of neighbouring parts, join the pair of lowest rank, the leftmost first, until none has one, or
+        until `least` parts are left."""
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
+        while len(parts) > least:
             ranked = [(self.ranks.get(a + b, len(self.pieces)), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
             rank, i = min(ranked)
             if rank == len(self.pieces):
@@ -69,13 +79,47 @@ class ByteBpe:
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return [self.ranks[p] for p in parts]
 
+    def end_parts(self, token: int, side: int) -> list[int]:
+        """The parts that stand first (side 0) or last (side 1) in a token while it is merged, from a byte to the whole."""
+        known = self.ends.get((token, side))
+        if known is None:
+            known, part = [token], token
+            while self.halves[part]:
+                part = self.halves[part][side]
+                known.append(part)
+            known.reverse()
+            self.ends[token, side] = known
+        return known
+
     def fits(self, left: int, right: int) -> bool:
+        """Whether merging the joined bytes of two tokens gives the two.
+
+        Of the merges that touch the border, the next in either token comes at the rank of what it makes. One over the border
+        comes first if its rank is below the left one's and not above the right one's: equal ranks go from left to right.
+        """
         known = self.compatible.get((left, right))
-        if known is None:
-            if len(self.compatible) >= PAIRS:
-                self.compatible.clear()
-            known = self.merged(self.pieces[left] + self.pieces[right]) == [left, right]
-            self.compatible[left, right] = known
+        if known is not None:
+            return known
+        if len(self.compatible) >= PAIRS:
+            self.compatible.clear()
+        last, first = self.end_parts(left, 1), self.end_parts(right, 0)
+        pieces, never = self.pieces, len(self.pieces)
+        i = j = 0
+        known = True
+        while True:
+            over = self.ranks.get(pieces[last[i]] + pieces[first[j]], never)
+            next_left = last[i + 1] if i + 1 < len(last) else never
+            next_right = first[j + 1] if j + 1 < len(first) else never
+            if over < next_left and over <= next_right and over < never:
+                known = False
+                break
+            if next_left == next_right == never:
+                break
+            if next_left <= next_right:
+                i += 1
+            else:
+                j += 1
+        self.compatible[left, right] = known
         return known
 
     def word(self, data: bytes) -> list[int]:
@@ -110,7 +154,10 @@ class ByteBpe:
                 token = self.shorter[token]
 
     def stretch(self, text: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(self.word(word.encode()) for word in self.split(text)))
+        words = self.split(text)
+        if len(words) == 1:
+            return tuple(self.word(text.encode()))
+        return tuple(chain.from_iterable(map(self.words.__getitem__, words)))
 
     def encode(self, text: str) -> list[int]:
         """The ids of a text; time in proportion to its length."""

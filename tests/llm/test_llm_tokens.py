@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from hazeframe.llm import byte_bpe, packing
-from hazeframe.llm.stretches import stretches
+from hazeframe.llm.stretches import Remembered, part_of, stretches
 
 PIECES = ["a", "b", "the", "ing", " ", "  ", "\n", "\t", "\xa0", "　", "é", "ß", "日本", "🙂", "0", "12", "'s", "'re", "!", "<|endoftext|>", "\x1c", "\x85", "\r\n", "Q", "_", "<|"]
 TEXT = st.one_of(st.text(max_size=60), st.lists(st.sampled_from(PIECES), max_size=30).map("".join))
@@ -33,7 +33,25 @@ def tik(bpe):
 @settings(max_examples=400, deadline=None)
 @given(TEXT)
 def test_stretches_join_to_the_text(text):
-    assert "".join(stretches(text)) == text
+    assert "".join(map(part_of, stretches(text))) == text
+
+
+def test_results_in_use_are_kept():
+    computed = []
+    known = Remembered(lambda key: computed.append(key) or key, 3)
+    for i in range(40):
+        known.of(f"the of w{i}")
+        assert len(known.young) <= 3 and len(known.old) <= 3
+    assert computed.count("of") == 1 and computed.count("the ") == 1 and len(computed) == 42
+
+
+def test_neighbours_are_compatible_as_merging_says(bpe):
+    random.seed(3)
+    tokens = [rank for rank in bpe.ranks.values() if len(bpe.pieces[rank]) == 1 or bpe.halves[rank]]
+    short = [t for t in tokens if len(bpe.pieces[t]) <= 3]
+    for _ in range(20_000):
+        left, right = random.choice(random.choice([tokens, short])), random.choice(random.choice([tokens, short]))
+        assert bpe.fits(left, right) == (bpe.merged(bpe.pieces[left] + bpe.pieces[right]) == [left, right])
 
 
 @settings(max_examples=600, deadline=None)
