@@ -12,7 +12,8 @@ from hazeframe.llm.minhash import drop_near_duplicates
 from hazeframe.llm.ordinal import drop_poor
 from hazeframe.llm.packing import pack_stage
 from hazeframe.llm.secrets import mask_stage
-from hazeframe.session import ensure_checkpoint_dir
+from hazeframe.session import ensure_checkpoint_dir, released_checkpoints
+from hazeframe.sources.versions import delete
 
 #: (name, function of (spark, docs, folder of the tables)); all but the last return the columns of documents.
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -28,11 +29,19 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed pieces of `documents`; each stage's result is a Parquet table in the shared checkpoint folder."""
+    """The packed pieces of `documents`; each stage's result is a Parquet table in the shared checkpoint folder.
+
+    Once a stage's table is written, its checkpoints and the table that it read are deleted: a later stage that loses
+    executors reads the last table again. Nulls, empty texts, ties and repeated rows are treated as the stages say; of
+    further columns those that documents have stay up to the last stage, and no documents give no pieces.
+    """
     folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4()}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, read = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for number, (name, stage) in enumerate(STAGES, 1):
         path = f"{folder}/{number}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with released_checkpoints(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if read:
+            delete(spark, read)
+        docs, read = spark.read.parquet(path), path
     return docs

@@ -11,7 +11,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeframe.llm.common import spread
@@ -20,12 +20,13 @@ from hazeframe.llm.common import spread
 BLOCK = 256
 
 
-def block_pairs(members: DataFrame, key: str, member: str, block: int = BLOCK) -> DataFrame:
+def block_pairs(members: DataFrame, key: str, member: str, block: int | None = None) -> DataFrame:
     """`members` of the buckets with two or more, once for each group they belong to, with two more columns.
 
     `own` is a member's block, `pair` the group's two blocks as one number: members of the two meet there, or those of
     one block with each other where `same`. (key, pair) is the group. Members must be distinct in a bucket.
     """
+    block = block or BLOCK
     sizes = members.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
     sized = members.join(spread(sizes), key)
     blocks = F.ceil(F.col("n") / block).cast("int")
@@ -42,6 +43,47 @@ def block_pairs(members: DataFrame, key: str, member: str, block: int = BLOCK) -
     )
 
 
+def block_pairs_across(members: DataFrame, key: str, member: str, label: str, block: int | None = None) -> DataFrame:
+    """As `block_pairs`, for comparisons of members with different labels only, in buckets that hold several labels.
+
+    A label with more than half a block of a bucket's members has blocks of its own there, which don't meet each other;
+    the rest of the bucket is dealt out by hash. A large label beside a few others is copied once for each of their blocks.
+    """
+    block = block or BLOCK
+    sizes = members.groupBy(key, label).agg(F.count("*").alias("n"))
+    sizes = sizes.withColumn("mine", F.when(F.col("n") > block // 2, F.col(label)))
+    # One row for each label with blocks of its own and one for the rest: few, however large the bucket.
+    shares = sizes.groupBy(key, "mine").agg(F.sum("n").alias("n"), F.count("*").alias("labels"))
+    shares = shares.withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    in_order = Window.partitionBy(key).orderBy(F.col("mine").asc_nulls_first())
+    all_of = Window.partitionBy(key)
+    shares = shares.withColumns(
+        {
+            "base": (F.sum("blocks").over(in_order) - F.col("blocks")).cast("int"),
+            "total": F.sum("blocks").over(all_of).cast("int"),
+            "several": F.sum("labels").over(all_of) > 1,
+        }
+    ).where("several")
+    own_share = shares.where("mine IS NOT NULL").select(key, F.col("mine").alias(label), "base", "blocks", "total")
+    rest_share = shares.where("mine IS NULL").select(key, *(F.col(c).alias(f"rest_{c}") for c in ("base", "blocks", "total")))
+    placed = members.join(spread(own_share), [key, label], "left").join(spread(rest_share), key, "left")
+    apart = F.col("total").isNotNull()
+    for name in ("base", "blocks", "total"):
+        placed = placed.withColumn(f"rest_{name}", F.coalesce(name, f"rest_{name}"))
+    base, blocks, total = (F.col(f"rest_{name}") for name in ("base", "blocks", "total"))
+    own = base + F.pmod(F.xxhash64(member), blocks).cast("int")
+    others = F.sequence(F.lit(0), total - 1)
+    others = F.when(apart, F.filter(others, lambda x: (x < base) | (x >= base + blocks))).otherwise(others)
+    wide = total.cast("long")
+    return (
+        placed.where(total.isNotNull())
+        .select("*", own.alias("own"), F.explode(others).alias("other"))
+        .withColumn("pair", F.least("own", "other") * wide + F.greatest("own", "other"))
+        .withColumn("same", F.col("own") == F.col("other"))
+        .select(*members.columns, "own", "pair", "same")
+    )
+
+
 def gathered(grouped: DataFrame, *key: str) -> DataFrame:
     """The same rows with those of a group in one task, one after the other, for `whole_groups`."""
     return grouped.repartition(*key).sortWithinPartitions(*key)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeframe.llm.common import ROW, cut_lineage, id_and_text, slices, spread, table
+from hazeframe.llm.common import ROW, cut_lineage, id_and_text, slices, spread, table, without_rows
 
 LEAST, MEAN_BITS, MOST = 512, 11, 16_384
 #: Bytes of chunk contents that a task remembers in order to send each of them once.
@@ -162,9 +162,12 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pipeline stage: of equal texts, the row that stays."""
-    kept = exact_duplicates(docs).where("kept").select(ROW)
-    return docs.withColumn(ROW, F.monotonically_increasing_id()).join(kept, ROW, "left_semi").drop(ROW)
+    """Pipeline stage: of equal texts, the row that stays.
+
+    Null and empty texts are one group; ties and repeated rows are settled as by `exact_duplicates`. All columns stay,
+    whatever their names; an empty table stays empty.
+    """
+    return without_rows(docs, exact_duplicates(docs).where("NOT kept"))
 
 
 ORACLE = r"""

@@ -17,7 +17,7 @@ from hazeframe.session import cut_lineage
 #: Name of the row number that stages add beside the columns of their input.
 ROW = "__row__"
 
-__all__ = ["ROW", "ascii_lower", "cut_lineage", "id_and_text", "ship", "slices", "spread", "table", "words_of"]
+__all__ = ["ROW", "ascii_lower", "cut_lineage", "id_and_text", "ship", "slices", "spread", "table", "without_rows", "words_of"]
 
 
 #: Applications that the code was sent to, with the folder of the archive, which Spark serves as long as it runs.
@@ -54,6 +54,23 @@ def id_and_text(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *,
     return docs.select(*columns, *([F.monotonically_increasing_id().alias(ROW)] if rows else []))
 
 
+def without_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """`docs`, a scan, without the rows that `rows` numbers (ROW, as by `id_and_text`); all its columns stay.
+
+    Only numbers move while those left out are few enough, as counted, for Spark's own limit of a broadcast; beyond it the
+    join is an ordinary one.
+    """
+    rows = cut_lineage(rows.select(ROW))
+    most = docs.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    if 16 * rows.count() <= most:
+        rows = F.broadcast(rows)
+    name = ROW
+    while name in docs.columns:
+        name += "_"
+    numbered = docs.withColumn(name, F.monotonically_increasing_id())
+    return numbered.join(rows.withColumnRenamed(ROW, name), name, "left_anti").drop(name)
+
+
 def ascii_lower(column: Column) -> Column:
     """Lower-case A-Z only, whatever the language."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -6,8 +6,10 @@ that its similarity reaches the threshold falls below `MISS`, or once a bitmap p
 survives is checked on the whole sets.
 
 Only which classes are connected is asked for, so a bucket isn't expanded into pairs: first its members meet its smallest
-and largest member; once components are known, members of one component need not meet, and only buckets that still hold
-several components are compared member by member, block against block.
+and largest member; once components are known, members of one component need not meet. While that leaves buckets of many
+blocks, rounds over two bands each compare members within blocks dealt out by hash and keep a spanning forest of what they
+find, so that large groups grow together at a cost in proportion to their size. What still holds several components then is
+compared member by member, block against block, but for blocks of one and the same component.
 """
 
 from __future__ import annotations
@@ -22,8 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeframe.llm.buckets import block_pairs, gathered, pairs_within, whole_groups
-from hazeframe.llm.common import ROW, cut_lineage, id_and_text, slices, spread, table, words_of
+from hazeframe.llm.buckets import block_pairs_across, gathered, pairs_within, whole_groups
+from hazeframe.llm.common import ROW, cut_lineage, id_and_text, slices, spread, table, without_rows, words_of
 from hazeframe.llm.components import components
 
 #: Words of a shingle; least similarity in hundredths.
@@ -35,6 +37,8 @@ HASHES = BANDS * ROWS
 BATCH, MISS = 24, 1e-6
 #: Bits of the bitmap that holds, for each place, whether an odd number of shingles falls on it.
 PLACES = 1024
+#: Members of a block in a round that lets groups grow, and in the comparison of all that is left; bands of a round.
+GROWING, BLOCK, BANDS_A_ROUND = 256, 1024, 2
 #: What is kept of a set: hashes, bitmap, size.
 SKETCH = np.dtype([("hashes", "<u4", HASHES), ("odd", "u1", PLACES // 8), ("size", "<u4")])
 
@@ -126,6 +130,11 @@ def survivors(sketches: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.n
     The places where two bitmaps differ are at most as many as the shingles that only one set has, and of a sum of sizes s
     at most (1 - t) / (1 + t) s may differ at a similarity t: a bound that never drops a link.
     """
+    return _compared(sketches, left, right)[0]
+
+
+def _compared(sketches: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Survivors, and how many hashes of each agree."""
     size = sketches["size"].astype(np.int64)
     low, high = np.minimum(size[left], size[right]), np.maximum(size[left], size[right])
     alive = np.flatnonzero(100 * low >= LEAST * high)
@@ -136,7 +145,8 @@ def survivors(sketches: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.n
         passed = seen >= bound
         alive, seen = alive[passed], seen[passed]
     apart = np.bitwise_count(sketches["odd"][left[alive]] ^ sketches["odd"][right[alive]]).sum(axis=1, dtype=np.int64)
-    return alive[(100 + LEAST) * apart <= (100 - LEAST) * (size[left[alive]] + size[right[alive]])]
+    passed = (100 + LEAST) * apart <= (100 - LEAST) * (size[left[alive]] + size[right[alive]])
+    return alive[passed], seen[passed]
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,6 +205,40 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the pairs of a block, of different components, that no test drops: a spanning forest, the closest pairs first."""
+    for groups, group in whole_groups(batches, ["bucket", "own"]):
+        sketches = _stack(groups.column("sketch"))
+        label, node = groups.column("component").to_numpy(), groups.column("node").to_numpy()
+        found = []
+        everyone = np.ones(len(group), dtype=bool)
+        for left, right in pairs_within(group, np.zeros(len(group), dtype=np.int64), everyone):
+            across = label[left] != label[right]
+            left, right = left[across], right[across]
+            for start in range(0, len(left), 20_000):
+                a, b = left[start : start + 20_000], right[start : start + 20_000]
+                alive, seen = _compared(sketches, a, b)
+                found.append(np.stack([a[alive], b[alive], seen]))
+        if not found:
+            continue
+        a, b, seen = np.hstack(found)
+        # Components of a block stand for themselves; blocks are apart, as a node is numbered by its row.
+        _, start = np.unique(np.stack([group, label], axis=1), axis=0, return_inverse=True)
+        root = list(range(int(start.max()) + 1))
+        kept = []
+        for i in np.argsort(-seen, kind="stable").tolist():
+            x, y = int(start[a[i]]), int(start[b[i]])
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            while root[y] != y:
+                root[y] = y = root[root[y]]
+            if x != y:
+                root[x] = y
+                kept.append(i)
+        x, y = node[a[kept]], node[b[kept]]
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Of candidate pairs (a, b), those that are similar enough on their whole sets."""
     first = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
@@ -219,10 +263,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # A class's node is the first row that has its set; all rows of a class have the same sketch.
     classes = sketched.where("digest IS NOT NULL").groupBy("digest")
     classes = cut_lineage(classes.agg(F.min(ROW).alias("node"), F.min("doc_id").alias("first_id"), F.first("sketch").alias("sketch")))
-    bands = F.array(*(F.xxhash64(F.lit(i), F.substring("sketch", 4 * ROWS * i + 1, 4 * ROWS)) for i in range(BANDS)))
+    # A bucket's number ends in its band.
+    band_keys = (F.xxhash64(F.lit(i), F.substring("sketch", 4 * ROWS * i + 1, 4 * ROWS)) for i in range(BANDS))
+    bands = F.array(*(F.shiftleft(key, 5).bitwiseOR(F.lit(i).cast("long")) for i, key in enumerate(band_keys)))
     members = classes.select("node", F.explode(bands).alias("bucket"))
     ends = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    full = cut_lineage(members.join(spread(ends), "bucket"))
+    # Sorted, so that Spark can split the members of a band that very many classes share.
+    full = cut_lineage(members.join(spread(ends).hint("merge"), "bucket"))
     wanted = full.select(F.col("node").alias(ROW)).distinct()
     sets = cut_lineage(rows.select(ROW, "text").join(wanted, ROW).mapInArrow(_sets, "node long, shingles binary"))
     low = full.where("node > low").select(F.col("low").alias("a"), F.col("node").alias("b"))
@@ -231,17 +278,31 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     of = lambda end: classes.select(F.col("node").alias(end), F.col("sketch").alias(f"sketch_{end}"))
     paired = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sketch_a", "sketch_b")
     links = _linked(paired.mapInArrow(_tested, "a long, b long"), sets)
-    # Buckets that hold more than one component after this first round: all their members across components.
-    labels = components(links, "a", "b")
-    named = cut_lineage(
-        full.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    )
-    mixed = named.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    split = named.join(spread(mixed.select("bucket")), "bucket")
-    groups = block_pairs(split, "bucket", "node").join(classes.select("node", "sketch"), "node")
-    across = gathered(groups, "bucket", "pair").mapInArrow(_across, "a long, b long").distinct()
-    links = links.unionByName(_linked(across, sets))
     labels = components(links, "a", "b")
+    sketches = classes.select("node", "sketch")
+    done = 0
+    while True:
+        # Buckets that still hold more than one component, with all their members.
+        named = full.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+        named = cut_lineage(named)
+        mixed = named.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"))
+        mixed = cut_lineage(mixed.where("x < y").select("bucket", "n"))
+        # Copies that the last comparison makes of members, if no component has blocks of its own.
+        cost = mixed.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.ceil(F.col("n") / BLOCK)).alias("copies")).first()
+        split = named.join(spread(mixed), "bucket")
+        if not cost.n or cost.copies <= 2 * cost.n or done >= BANDS:
+            break
+        band = F.col("bucket").bitwiseAND(F.lit(31).cast("long"))
+        own = F.pmod(F.xxhash64("node", F.lit(done)), F.ceil(F.col("n") / GROWING).cast("int")).alias("own")
+        turn = split.where(band.between(done, done + BANDS_A_ROUND - 1)).select("bucket", "node", "component", own)
+        met = gathered(turn.join(sketches, "node"), "bucket", "own").mapInArrow(_forest, "a long, b long").distinct()
+        links = cut_lineage(links.unionByName(_linked(met, sets)))
+        labels = components(links, "a", "b")
+        done += BANDS_A_ROUND
+    if cost.n:
+        groups = block_pairs_across(split.drop("n"), "bucket", "node", "component", BLOCK).join(sketches, "node")
+        across = gathered(groups, "bucket", "pair").mapInArrow(_across, "a long, b long").distinct()
+        labels = components(links.unionByName(_linked(across, sets)), "a", "b")
     joined = classes.select("digest", "node", "first_id").join(labels, "node", "left")
     joined = joined.select("digest", "first_id", F.coalesce("component", "node").alias("component"))
     least = spread(joined.groupBy("component").agg(F.min("first_id").alias("component_id")))
@@ -263,6 +324,11 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pipeline stage: one document of each group stays, of rows that repeat its doc_id the first by ROW."""
-    kept = near_duplicates(docs).where("kept").groupBy("group").agg(F.min(ROW).alias(ROW)).select(ROW)
-    return docs.withColumn(ROW, F.monotonically_increasing_id()).join(kept, ROW, "left_semi").drop(ROW)
+    """Pipeline stage: one document of each group stays, of rows that repeat its doc_id the first by ROW.
+
+    Null, empty and blank texts are groups of their own and stay, as do all columns, whatever their names; an empty table
+    stays empty.
+    """
+    found = cut_lineage(near_duplicates(docs).select(ROW, "kept", "group"))
+    kept = found.where("kept").groupBy("group").agg(F.min(ROW).alias(ROW)).select(ROW)
+    return without_rows(docs, found.select(ROW).join(kept, ROW, "left_anti"))
