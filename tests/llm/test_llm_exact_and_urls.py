@@ -95,6 +95,36 @@ def test_verdicts_pass_over_links(spark):
     assert {r.host for r in found if r.page_id in (4, 5)} == {""}
 
 
+def test_all_links_count_and_equal_the_sql(spark, tmp_path):
+    """Several links of a kind, entities, base addresses and odd ones, against the SQL with its recursive search."""
+    import random
+
+    canonical, graph, refresh = (
+        '<link rel="canonical" href="{}">'.format, "<meta content='{}' property=og:url>".format, '<META HTTP-EQUIV="Refresh" content="5; URL={}">'.format
+    )
+    rows = [
+        (1, "http://a.org/1", canonical("javascript:void(0)") + canonical("http://b.example.com/en/x")),
+        (2, "http://a.org/2", graph("http://a.org/q?a=1&amp;b=2")),
+        (3, "http://a.org/q?a=1&b=2", '<base href="http://net/fr/deep/">' + canonical("page")),
+        (4, "http://a.org/4", "<base href='/sub/'><base href='http://net/es/'>" + refresh("x.html") + graph("y")),
+        (5, "http://a.org/sub/x", ""), (6, "http://a.org/sub/y", None), (7, "https://m.a.org/sub/y/", canonical("//www.example.com/en/ok")),
+        (8, "http://c.org", canonical("z") + graph("mailto:a@b") + refresh("?p=1")), (8, "http://c.org", canonical("z")), (9, "http://c.org/z", "x" * 300_000 + canonical("http://c.org/late")),
+    ]
+    random.seed(5)
+    for i in range(100, 160):
+        to = [f"http://r.org/{random.randrange(100, 190)}" for _ in range(random.randrange(3))]
+        rows.append((i, f"http://r.org/{i}", "".join(random.choice([canonical, graph, refresh])(t) for t in to)))
+    rows += [(200, "http://w.example.com/en/1", canonical("http://r.org/105"))]
+    pages = spark.createDataFrame(rows, PAGES)
+    found = url_rules.url_verdicts(pages)
+    assert {r.page_id: r.verdict for r in found.collect() if r.page_id < 10} == {
+        1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow", 6: "allow", 7: "allow", 8: "allow", 9: "allow",
+    }
+    pages.coalesce(1).write.parquet(f"{tmp_path}/out")
+    next(tmp_path.glob("out/*.parquet")).rename(tmp_path / "pages.parquet")
+    assert difference(spark_rows(found), duck_rows(connect(str(tmp_path)), url_rules.ORACLE)) == ""
+
+
 def test_components_by_brute_force(spark):
     import random
 
