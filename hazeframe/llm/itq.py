@@ -4,6 +4,7 @@ Rotations learned on a bounded sample turn each vector into balanced binary code
 a vector stands under its part and under each part one bit away, so that two vectors meet if their parts differ in at most
 two bits. Of the tables and keys where a pair meets, one is its own; there, if the whole codes are near enough, the cosine
 is computed in double precision. Links are counted where they are found, and only a spanning set of them leaves a task.
+Equal vectors are one entry of the index, with their number, so that copies cost what one vector costs.
 """
 
 from __future__ import annotations
@@ -26,8 +27,11 @@ SAMPLE, ROUNDS = 5_000, 30
 #: Rotations at least, tables for each, and bits of a table's key at most. For vectors of mean zero a bit differs at a
 #: cosine of 0.9 with probability acos(0.9) / pi = 0.144, so that a table holds a pair within two bits with probability
 #: 0.40, and six tables with 0.95. A direction that all vectors share makes centred pairs differ in more bits: `Codes`
-#: adds rotations, up to MOST_ROTATIONS, then shortens the keys, until RECALL of the pairs at the threshold meet.
+#: adds rotations, up to MOST_ROTATIONS, then shortens the keys, to LEAST_BITS, until RECALL of the pairs at the threshold meet.
+#: Where centring takes pairs apart (a few vectors around their mean lie on opposite sides of it), it tries without a centre before it
+#: shortens the keys. With the shortest keys it adds rotations up to ROTATIONS_AT_LAST, and stays below RECALL if that is not enough.
 ROTATIONS, PARTS, BITS, MOST_ROTATIONS = 2, 3, 21, 16
+LEAST_BITS, ROTATIONS_AT_LAST = 15, 48
 #: Share of pairs at the threshold that must meet, of each kind of `threshold_pairs`, and pairs of each kind for it.
 RECALL, PAIRS = 0.95, 4_000
 #: Whole codes of a linked pair may differ in as many bits as this many deviations above the mean over pairs at the
@@ -35,15 +39,14 @@ RECALL, PAIRS = 0.95, 4_000
 DEVIATIONS, MOST_SHARE = 4.5, 36 / 126
 
 
-def learn_rotation(sample: np.ndarray, bits: int, seed: int, rounds: int = ROUNDS) -> np.ndarray:
+def learn_rotation(centred: np.ndarray, bits: int, seed: int, rounds: int = ROUNDS) -> np.ndarray:
     """A projection (dimension x bits): the leading principal directions, turned so that signs lose least (Gong and
     Lazebnik, 2011). Directions are added at random where a sample has fewer dimensions than bits."""
     random = np.random.Generator(np.random.PCG64(seed))
-    centred = sample - sample.mean(axis=0)
     _, vectors = np.linalg.eigh(centred.T @ centred)
     basis = vectors[:, ::-1][:, :bits]
     if basis.shape[1] < bits:
-        basis = np.hstack([basis, random.standard_normal((sample.shape[1], bits - basis.shape[1]))])
+        basis = np.hstack([basis, random.standard_normal((centred.shape[1], bits - basis.shape[1]))])
     projected = centred @ basis
     turn, _ = np.linalg.qr(random.standard_normal((bits, bits)))
     for _ in range(rounds):
@@ -55,7 +58,7 @@ def learn_rotation(sample: np.ndarray, bits: int, seed: int, rounds: int = ROUND
 
 def threshold_pairs(unit: np.ndarray, least: float) -> list[tuple[np.ndarray, np.ndarray]]:
     """Pairs of unit vectors whose cosine is `least`, by kind: vectors of the sample moved in any direction, moved towards
-    another one, and, where the sample has a hundred, pairs of its own just above `least`."""
+    another one, pairs of its own at `least` or above, and, where the sample has a hundred, those just above it."""
     random = np.random.Generator(np.random.PCG64(ROTATIONS))
     left = unit[random.integers(len(unit), size=PAIRS)]
     kinds = []
@@ -65,34 +68,39 @@ def threshold_pairs(unit: np.ndarray, least: float) -> list[tuple[np.ndarray, np
         some = length > 1e-6
         across = across[some] / length[some, None]
         kinds.append((left[some], least * left[some] + np.sqrt(max(0.0, 1 - least * least)) * across))
-    found, block = [], 500
-    for start in range(0, len(unit), block):
-        cosine = np.triu(unit[start : start + block] @ unit.T, start + 1)
-        i, j = np.nonzero((cosine >= least) & (cosine < least + (1 - least) / 5))
-        chosen = random.permutation(len(i))[: PAIRS * block // len(unit) + 1]
-        found.append(np.stack([i[chosen] + start, j[chosen]]))
-    i, j = np.hstack(found)
-    if len(i) >= 100:
-        kinds.append((unit[i], unit[j]))
+    block = 500
+    for most, enough in ((2.0, 1), (least + (1 - least) / 5, 100)):
+        found = []
+        for start in range(0, len(unit), block):
+            cosine = np.triu(unit[start : start + block] @ unit.T, start + 1)
+            i, j = np.nonzero((cosine >= least) & (cosine < most))
+            chosen = random.permutation(len(i))[: PAIRS * block // len(unit) + 1]
+            found.append(np.stack([i[chosen] + start, j[chosen]]))
+        i, j = np.hstack(found)
+        if len(i) >= enough:
+            kinds.append((unit[i], unit[j]))
     return [kind for kind in kinds if len(kind[0])]
 
 
 class Codes:
     """Rotations and centre as learned; `of` gives the codes, one number of PARTS * `bits` bits for each rotation.
 
-    There are as many rotations, and keys as short, as RECALL asks for; with keys of two bits all pairs would meet.
-    `most` is the number of bits in which the whole codes of a linked pair may differ.
+    There are as many rotations, and keys as short, as RECALL asks for. Keys never have less than LEAST_BITS: with much shorter
+    ones nearly all pairs would meet. `recall` is the share of pairs at the threshold that met in the end, and
+    `most` the number of bits in which the whole codes of a linked pair may differ.
     """
 
     def __init__(self, sample: np.ndarray, least: float = LEAST):
-        self.centre = sample.mean(axis=0)
         pairs = threshold_pairs(sample, least)
-        for self.bits in range(BITS, 2, -3):
-            self.rotations: list[np.ndarray] = []
-            while len(self.rotations) < MOST_ROTATIONS:
-                self.rotations.append(learn_rotation(sample, PARTS * self.bits, len(self.rotations)))
-                if len(self.rotations) >= ROTATIONS and self._measure(pairs) >= RECALL:
-                    return
+        mean = sample.mean(axis=0)
+        for self.bits in range(BITS, LEAST_BITS - 1, -3):
+            for self.centre in (mean, np.zeros_like(mean)):
+                self.rotations: list[np.ndarray] = []
+                while len(self.rotations) < (MOST_ROTATIONS if self.bits > LEAST_BITS else ROTATIONS_AT_LAST):
+                    self.rotations.append(learn_rotation(sample - self.centre, PARTS * self.bits, len(self.rotations)))
+                    self.recall = self._measure(pairs)
+                    if len(self.rotations) >= ROTATIONS and self.recall >= RECALL:
+                        return
 
     def _measure(self, pairs: list[tuple[np.ndarray, np.ndarray]]) -> float:
         """The share of pairs that the index finds, of the kind where it is least; sets `most` for all kinds."""
@@ -196,14 +204,16 @@ def _meeting(batches: Iterator[pa.RecordBatch], bits: int, most: int) -> Iterato
 
 
 def _reranked(batches: Iterator[pa.RecordBatch], least: float, bits: int, most: int) -> Iterator[pa.RecordBatch]:
-    """Links of the groups' own pairs: counts by member, and for each member another one to which links lead."""
+    """Links of the groups' own pairs: the rows that each member links to, and another member to which links lead."""
     for groups, group in whole_groups(batches, ["bucket", "pair"], 2048):
         unit = _unit(_matrix(groups.column("vector").combine_chunks()))
+        rows_of = groups.column("copies").to_numpy()
         counts, ends = np.zeros(groups.num_rows, dtype=np.int64), []
         for left, right in _candidates(groups, group, bits, most):
             linked = np.einsum("ij,ij->i", unit[left], unit[right]) >= least
             ends.append((left[linked], right[linked]))
-            counts += np.bincount(left[linked], minlength=len(counts)) + np.bincount(right[linked], minlength=len(counts))
+            np.add.at(counts, left[linked], rows_of[right[linked]])
+            np.add.at(counts, right[linked], rows_of[left[linked]])
         left, right = (np.concatenate([e[i] for e in ends]) for i in (0, 1))
         root = np.arange(groups.num_rows)
         while True:
@@ -238,35 +248,55 @@ def near_vectors(
     """vec_id, n_links, component_id, kept for each row of `vectors`.
 
     Vectors link if their cosine, in double precision, is `least` or more and the index finds the pair (see ROTATIONS and RECALL);
-    none below is linked. n_links counts the other rows linked directly, rows that repeat a vector included;
+    none below it is linked. n_links counts the other rows linked directly, rows that repeat a vector included;
     component_id is the smallest vec_id that links reach, the row's own included; kept says whether it is the row's own.
-    Null vectors, zero vectors and those with a null or non-finite component link with nothing and are kept. All
-    vectors that link must have one dimension. The rotations are learned on at most `sample` rows, chosen by hash.
+    Null vectors, zero vectors and those with a null or non-finite component link with nothing and are kept. Vectors
+    link with those of their own dimension only. The rotations are learned on at most `sample` distinct vectors of a dimension, chosen
+    by hash. Other columns, whatever their names, are left out; an empty table gives no rows.
     """
     rows = usable(vectors, vec_id, embedding)
-    fit = rows.where("fit").select(ROW, "vector")
-    chosen = fit.select(F.xxhash64(F.col("vector")).alias("h"), "vector").orderBy("h").limit(sample).select("vector").toPandas()
+    rows = rows.withColumn("hash", F.when(F.col("fit"), F.xxhash64("vector")))
+    # Equal vectors are one entry, numbered by its first row.
+    fit = rows.where("fit").groupBy("hash", "vector").agg(F.min(ROW).alias("node"), F.count("*").alias("copies"))
+    fit = cut_lineage(fit.withColumn("dimension", F.size("vector")))
+    found = None
+    for row in fit.select("dimension").distinct().orderBy("dimension").collect():
+        own = fit.where(F.col("dimension") == row.dimension).select(F.col("node").alias(ROW), "hash", "vector", "copies")
+        part = _links(own, least, sample)
+        if part is not None:
+            found = part if found is None else found.unionByName(part)
+    placed = rows.select(ROW, "vec_id", "hash", "vector").join(spread(fit.select("hash", "vector", "node", "copies")), ["hash", "vector"], "left")
+    placed = placed.select(ROW, "vec_id", F.coalesce("node", ROW).alias("node"), F.coalesce("copies", F.lit(1)).alias("copies"))
+    if found is None:
+        linked = placed.select(ROW, "vec_id", F.col("node").alias("component"), (F.col("copies") - 1).alias("n_links"))
+    else:
+        counts = spread(found.groupBy(F.col(ROW).alias("node")).agg(F.sum("links").alias("links")))
+        linked = placed.join(spread(components(found, ROW, "other")), "node", "left").join(counts, "node", "left")
+        all_links = F.coalesce("links", F.lit(0)) + F.col("copies") - 1
+        linked = linked.select(ROW, "vec_id", F.coalesce("component", "node").alias("component"), all_links.alias("n_links"))
+    smallest = spread(linked.groupBy("component").agg(F.min("vec_id").alias("component_id")))
+    return linked.join(smallest, "component").select(
+        "vec_id",
+        F.col("n_links").cast("long").alias("n_links"),
+        "component_id",
+        F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"),
+    )
+
+
+def _links(fit: DataFrame, least: float, sample: int) -> DataFrame | None:
+    """ROW, links, other of distinct vectors of one dimension (ROW, hash, vector, copies); None with fewer than two."""
+    chosen = fit.orderBy("hash", "vector").limit(sample).select("vector").toPandas()
     if len(chosen) < 2:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+        return None
     codes = Codes(_unit(np.stack(chosen["vector"])), least)
     near = {"bits": codes.bits, "most": codes.most}
-    coded = cut_lineage(fit.mapInArrow(partial(_coded, codes=codes), f"{ROW} long, code array<long>"))
+    vectors = fit.select(ROW, "vector", "copies")
+    coded = cut_lineage(fit.select(ROW, "vector").mapInArrow(partial(_coded, codes=codes), f"{ROW} long, code array<long>"))
     members = coded.select(ROW, F.explode(_buckets("code", codes.tables, codes.bits)).alias("bucket"))
     parted = gathered(block_pairs(members, "bucket", ROW).join(coded, ROW), "bucket", "pair")
     met = parted.mapInArrow(partial(_meeting, **near), f"bucket long, pair long, own int, same boolean, code array<long>, {ROW} long")
-    met = gathered(met.join(fit, ROW), "bucket", "pair")
-    found = cut_lineage(met.mapInArrow(partial(_reranked, least=least, **near), f"{ROW} long, links long, other long"))
-    counts = spread(found.groupBy(ROW).agg(F.sum("links").alias("n_links")))
-    named = components(found, ROW, "other")
-    linked = rows.select(ROW, "vec_id").join(named, F.col(ROW) == F.col("node"), "left")
-    linked = linked.select(ROW, "vec_id", F.coalesce("component", ROW).alias("component"))
-    smallest = spread(linked.groupBy("component").agg(F.min("vec_id").alias("component_id")))
-    return linked.join(smallest, "component").join(counts, ROW, "left").select(
-        "vec_id",
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        "component_id",
-        F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"),
-    )
+    met = gathered(met.join(vectors, ROW), "bucket", "pair")
+    return cut_lineage(met.mapInArrow(partial(_reranked, least=least, **near), f"{ROW} long, links long, other long"))
 
 
 def op10(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,5 +1,11 @@
 """Near-duplicate documents and vectors against brute force."""
 
+import json
+import subprocess
+import sys
+import textwrap
+from pathlib import Path
+
 import numpy as np
 import pytest
 
@@ -52,8 +58,10 @@ def test_documents_by_brute_force(spark, medium):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)
 
 
-def test_chains_and_stars_of_near_copies(spark, monkeypatch):
-    """A group in which few pairs are similar enough: small blocks, so that buckets are split."""
+@pytest.mark.parametrize("rounds", [True, False])
+def test_chains_and_stars_of_near_copies(spark, monkeypatch, rounds):
+    """A group in which few pairs are similar enough: small blocks, so that buckets are split. With rounds that let groups
+    grow, and without, so that all blocks meet."""
     rng = np.random.default_rng(4)
     base = [f"w{i}" for i in range(150)]
     rows = []
@@ -65,10 +73,73 @@ def test_chains_and_stars_of_near_copies(spark, monkeypatch):
     for i in range(60):  # a chain: each differs from the next in one word only
         base[i] = f"c{i}"
         rows.append((1000 + i, " ".join(base)))
-    monkeypatch.setattr(buckets, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "GROWING", 16)
+    blocks = []
+    whole = minhash.block_pairs_across
+
+    def watched(*args):
+        groups = whole(*args)
+        blocks.append(groups.select("own").distinct().count())
+        return groups
+
+    monkeypatch.setattr(minhash, "block_pairs_across", watched)
+    if not rounds:
+        monkeypatch.setattr(minhash, "_forest", lambda batches: iter(()))
     want, _ = brute_components(rows)
     found = minhash.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()
     assert {r.doc_id: r.component_id for r in found} == want
+    assert rounds or max(blocks) > 3
+
+
+@pytest.mark.parametrize("block", [4, 16, 1000])
+def test_all_members_with_different_labels_meet(spark, block):
+    random = np.random.default_rng(6)
+    rows = [(int(k), m, int(random.choice([1, 2, 3, 4, 100 + m]))) for k in range(3) for m in range(60)]
+    rows += [(7, m, 1) for m in range(50)] + [(8, 1, 1)]  # one label only: nothing to compare
+    members = spark.createDataFrame(rows, "bucket long, node long, component long")
+    found = buckets.block_pairs_across(members, "bucket", "node", "component", block).collect()
+    groups, met = {}, set()
+    for r in found:
+        groups.setdefault((r.bucket, r.pair), []).append(r)
+    for (bucket, _), own in groups.items():
+        assert len(own) <= 6 * block
+        met |= {(bucket, a.node, b.node) for a in own for b in own if a.component != b.component and (a.own != b.own or a.same)}
+    want = {(k, a, b) for k, a, x in rows for j, b, y in rows if k == j and x != y}
+    assert met == want and not any(r.bucket in (7, 8) for r in found)
+
+
+def test_shuffles_grow_with_a_group_of_near_copies(tmp_path):
+    """12,000 near copies of one text, one word changed in each: bytes shuffled by the event log, in sketches of the group."""
+    n = 12_000
+    script = f"""
+        import sys
+        sys.path.insert(0, {str(Path(__file__).resolve().parents[2])!r})
+        import numpy as np
+        from hazeframe.llm import minhash
+        from hazeframe.session import get_spark
+        conf = {{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "4g"}}
+        conf |= {{"spark.checkpoint.dir": "{tmp_path}/checkpoints", "spark.eventLog.enabled": "true", "spark.eventLog.dir": "{tmp_path}"}}
+        conf |= {{"spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"}}
+        spark = get_spark("child", "local[8]", **conf)
+        random = np.random.default_rng(1)
+        texts = [[f"w{{j}}" for j in range(60)] for _ in range({n})]
+        for i, words in enumerate(texts):
+            words[int(random.integers(60))] = f"v{{i}}"
+        docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(8)
+        docs.write.parquet("{tmp_path}/docs")
+        print("GROUPS", minhash.near_duplicates(spark.read.parquet("{tmp_path}/docs")).select("component_id").distinct().count())
+        spark.stop()
+    """
+    child = subprocess.run([sys.executable, "-c", textwrap.dedent(script)], capture_output=True, timeout=300, text=True)
+    assert "GROUPS 1\n" in child.stdout, child.stderr[-2000:]
+    written = 0
+    for log in tmp_path.glob("local-*"):
+        for line in log.read_text().splitlines():
+            if '"SparkListenerTaskEnd"' in line:
+                metrics = json.loads(line).get("Task Metrics") or {}
+                written += (metrics.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+    assert 0 < written <= 10 * n * minhash.SKETCH.itemsize
 
 
 def test_odd_documents(spark):
@@ -86,6 +157,9 @@ def test_odd_documents(spark):
     extra = docs.selectExpr("doc_id", "text", "1 AS node", "'x' AS digest", "2 AS component_id")
     kept = minhash.drop_near_duplicates(spark, extra, "")
     assert kept.schema == extra.schema and kept.count() == 10
+    numbered = docs.selectExpr("doc_id", "text", "7 AS __row__", "8 AS __row___")
+    kept = minhash.drop_near_duplicates(spark, numbered, "")
+    assert kept.schema == numbered.schema and [tuple(r)[2:] for r in kept.collect()] == [(7, 8)] * 10
 
 
 def test_bayesian_bounds():
@@ -173,6 +247,42 @@ def test_odd_vectors(spark):
     ]
     assert itq.near_vectors(vectors.limit(0)).count() == 0
     assert itq.near_vectors(vectors.where("vec_id = 4")).first().kept
+    extra = vectors.selectExpr("*", "1 AS hash", "2 AS node", "'x' AS copies", "3 AS n_links", "4 AS component", "5 AS dimension")
+    assert sorted((r.vec_id or 0, r.n_links, r.component_id, r.kept) for r in itq.near_vectors(extra).collect()) == found
+
+
+def test_each_dimension_links_with_itself(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.01]), (3, [1.0, 0.0, 0.0]), (4, [1.0, 0.0, 0.01]), (5, [1.0]), (6, [0.0, 1.0, 0.0])]
+    found = itq.near_vectors(spark.createDataFrame(rows, VECTORS)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == [(1, 1, 1), (2, 1, 1), (3, 1, 3), (4, 1, 3), (5, 0, 5), (6, 0, 6)]
+
+
+def test_copies_teach_no_rotation(spark, monkeypatch):
+    """5,200 copies of one vector beside 2,000 distinct ones: the sample holds distinct vectors and keys stay long."""
+    learned = []
+    whole = itq.Codes
+
+    def watched(sample, least):
+        learned.append((len(np.unique(sample, axis=0)), whole(sample, least)))
+        return learned[-1][1]
+
+    monkeypatch.setattr(itq, "Codes", watched)
+    random = np.random.default_rng(3)
+    matrix = np.vstack([np.repeat(random.standard_normal((1, 64)), 5200, axis=0), random.standard_normal((2000, 64))])
+    matrix[5200:5300] = matrix[5300:5400] + 0.01 * random.standard_normal((100, 64))
+    vectors = spark.createDataFrame(list(enumerate(matrix.tolist())), VECTORS)
+    found = {r.vec_id: (r.n_links, r.component_id) for r in itq.near_vectors(vectors).collect()}
+    assert learned[0][0] == 2001 and learned[0][1].bits >= 21 and learned[0][1].recall >= itq.RECALL
+    assert all(found[i] == (5199, 0) for i in range(5200))
+    assert sum(found[i][0] for i in range(5200, 7200)) == 200
+
+
+def test_keys_stay_long_where_recall_is_out_of_reach():
+    """Vectors that hardly differ but for one direction: more rotations, not shorter keys, and the recall is told."""
+    random = np.random.default_rng(2)
+    sample = np.array([[1.0, *[0.0] * 15]]) + 1e-9 * random.standard_normal((300, 16))
+    codes = itq.Codes(sample / np.linalg.norm(sample, axis=1, keepdims=True))
+    assert codes.bits >= itq.LEAST_BITS and len(codes.rotations) <= itq.ROTATIONS_AT_LAST and 0 <= codes.recall <= 1
 
 
 @pytest.mark.parametrize("shared", [0.5, 0.85])
