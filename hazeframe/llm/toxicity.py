@@ -179,15 +179,18 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     """doc_id, held_out, score, predicted for each row of `docs`.
 
     Only labels of rows outside the held-out quarter (crc32 of doc_id as text, mod 4, is 2) are learned from; null
-    labels are left out, and of repeated labels or documents of a doc_id all count. Null text counts as empty, and
+    labels are left out. Each doc_id of the sample is learned from once: its text of smallest hash, toxic if a label says
+    so. Null text counts as empty, and
     empty texts are scored like others; null doc_ids are not held out. predicted is 1 from a score of THRESHOLD on.
     """
     rows = id_and_text(docs, doc_id, text)
     marked = labels.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{label}`").cast("double").alias("label"))
     # The labels' side is cut to the sample before texts are joined to it.
     marked = marked.where(F.col("label").isin(0.0, 1.0) & ~held_out(F.col("doc_id")))
+    marked = marked.groupBy("doc_id").agg(F.max("label").alias("label"))
     marked = cut_lineage(marked.orderBy(F.xxhash64(F.col("doc_id")), "doc_id").limit(SAMPLE))
-    scorer = learn(rows.join(F.broadcast(marked), "doc_id"))
+    texts = rows.join(F.broadcast(marked), "doc_id").groupBy("doc_id", "label")
+    scorer = learn(texts.agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first")).select("doc_id", "first.text", "label"))
     return scorer.score(rows).select(
         "doc_id",
         F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
