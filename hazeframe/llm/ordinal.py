@@ -245,7 +245,11 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pipeline stage: documents of the wanted grade stay, with all their columns; no row is moved for it."""
+    """Pipeline stage: documents of the wanted grade stay, with all their columns; no row is moved for it.
+
+    Null and empty texts are graded like others, repeated rows alike; without two grades in the labels all documents stay,
+    and an empty table stays empty.
+    """
     model = learn(id_and_text(docs), ratings_of(table(spark, folder, "labels")))
     if model is None:
         return docs

@@ -230,5 +230,9 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pipeline stage: the pieces of all documents that are left, with their ids."""
+    """Pipeline stage: the pieces of all documents that are left, with their ids.
+
+    Null and empty texts have one id, repeated rows are packed each time, other columns are left out, and an empty table
+    gives no pieces.
+    """
     return pack(docs)

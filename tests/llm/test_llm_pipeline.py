@@ -3,7 +3,7 @@
 import corpus_pipeline
 from test_llm_near_duplicates import brute_components
 
-from hazeframe.llm import ordinal, packing, secrets
+from hazeframe.llm import guesses, ordinal, packing, secrets
 from hazeframe.llm.common import table
 
 
@@ -21,7 +21,9 @@ def test_run_equals_brute_force(spark, medium):
         best[key] = max(doc_id, best.get(key, doc_id))
     texts = {i: texts[i] for i in best.values()}
     labels, _ = brute_components(sorted(texts.items()))
-    texts = {i: secrets.mask(texts[i]) for i in texts if labels[i] == i}
+    texts = {i: texts[i] for i in texts if labels[i] == i}
+    guesser = guesses.Guesser(secrets.learned_words(spark.createDataFrame(list(texts.items()), "doc_id long, text string")))
+    texts = {i: secrets.mask(t, guesser) for i, t in texts.items()}
     pieces = corpus_pipeline.run(spark, medium).collect()
     assert {p.doc_id for p in pieces} == set(texts) and 0 < len(texts) < docs.count()
     encoder = packing.encoder(packing.public_tokenizers.path(packing.VOCABULARY))

@@ -39,34 +39,115 @@ def test_base_spans_by_brute_force(spark, medium):
         assert got.base_sha256 == hashlib.sha256(secrets.written(spans).encode()).hexdigest()
         assert {s for s in secrets.written(spans).split(",") if s} <= set(got.spans.split(","))
     assert found[-8].spans == "guess:8:19"
+    assert secrets.secret_digests(secrets.find_secrets(docs)).columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess"]
     assert secrets.find_secrets(docs.limit(0)).count() == 0
 
 
 def test_guess_costs_are_ordered():
     cost = guesses.log_guesses
     weak = ["password", "qwertyuiop", "changeme", "2023-01-02", "abcabcabc", "11111111111", "s3cr3tp4ssw0rd", "zxcvbnm,./"]
+    weak += ["abcdefghi" * 20, "placeholder" * 5, "changeme" * 5, "as" * 500, "xK7#q" + "password" * 4]
     strong = ["k8Hd02kLmQ", "Tr0ub4dor&3", "f33e61083db5dbdf4bd2369d2f80176e57f7fda2"]
-    assert max(map(cost, weak)) < secrets.LEAST_GUESSES < min(map(cost, strong))
+    assert max(map(cost, weak[:-1])) < secrets.LEAST_GUESSES < min(map(cost, strong))
     assert cost("") == 0 and cost("a" * 10_000) < cost("k8Hd02kLmQ" * 1_000)
+    # What a corpus teaches makes a value cheaper, and nothing dearer.
+    assert guesses.Guesser(["troubadour", "orchard"]).log_guesses("orchard-gate") < cost("orchard-gate")
+
+
+def pieces(value, guesser):
+    """All parts of the model as {(start, end): cost}, by their definitions."""
+    size, found = len(value), {}
+
+    def offer(start, end, cost):
+        found[start, end] = min(found.get((start, end), 99.0), cost + (guesses.JOIN if start else 0.0))
+
+    for start in range(size):
+        for end in range(start + 3, min(size, start + guesses.LONGEST) + 1):
+            if (cost := guesser.word(value[start:end])) is not None:
+                offer(start, end, cost)
+            text = value[start:end]
+            if all(guesses._adjacent(a, b) for a, b in zip(text, text[1:])) and len(text) >= 4:
+                offer(start, end, guesses.WALK + guesses.KEY * len(text))
+            if all(guesses._follows(a, b) for a, b in zip(text, text[1:])):
+                offer(start, end, guesses.SEQUENCE)
+        if date := guesses.DATES.match(value, start):
+            offer(start, date.end(), np.log10(119 if date.end() - start == 4 else 119 * 365))
+    for start, limit, distance in guesses.repeats(value):
+        for end in range(start + 3, limit + 1):
+            assert value[start:end] == value[start - distance : end - distance]
+            offer(start, end, guesses.REPEAT + np.log10(distance + 1))
+    return found
 
 
 def test_guess_cost_is_the_cheapest_segmentation():
-    """Against recursion over all segmentations into known words and single characters."""
+    """Against recursion over all segmentations into words, dates, repeats, walks, sequences and single characters."""
+    guesser = guesses.Guesser(["troubadour"])
 
     def brute(value):
-        rate = guesses._rate(value)
+        plain, offers = guesses.plain_costs(value), pieces(value, guesser)
         best = {len(value): 0.0}
         for start in reversed(range(len(value))):
-            options = [rate + best[start + 1]]
-            for end in range(start + 3, len(value) + 1):
-                word = guesses._word(value[start:end])
-                if word is not None:
-                    options.append(word + (guesses.JOIN if start else 0.0) + best[end])
+            options = [plain[start] + best[start + 1]]
+            options += [cost + best[end] for (first, end), cost in offers.items() if first == start]
             best[start] = min(options)
         return best[0]
 
-    for value in ("passwordZq", "lovedragonX7", "xqmonkeyv", "Summerhouse!"):
-        assert abs(guesses.log_guesses(value) - brute(value)) < 1e-9
+    values = ["passwordZq", "lovedragonX7", "xqmonkeyv", "Summerhouse!", "tr0ubadour2024-01-05qwerty", "abcdefzyx4321", "k8k8k8k8", "01/02/1999!!", "asdfqwerasdfqwer"]
+    random = np.random.default_rng(4)
+    alphabet = list("abqwe123-._Zé") + ["password", "2021", "qwert", "monkey"]
+    values += ["".join(random.choice(alphabet, random.integers(1, 14))) for _ in range(300)]
+    for value in values:
+        assert abs(guesser.log_guesses(value) - brute(value)) < 1e-9, value
+
+
+def test_long_values_are_judged_whole():
+    """Also over any place where a value could be cut, in time that grows with its length."""
+    import time
+
+    cost = guesses.log_guesses
+    random = np.random.default_rng(1)
+    noise = "".join(random.choice(list("abcdefghijklmnopqrstuvwxyzABCDEFG0123456789"), 400))
+    for at in range(100, 160, 7):
+        assert cost(noise[:at] + "password" + noise[at:]) < cost(noise) + 3
+    started = time.perf_counter()
+    cost(noise * 3 + "a" * 20_000 + "as" * 10_000 + "token=" * 5_000)
+    assert time.perf_counter() - started < 15
+
+
+def test_code_and_placeholders_are_no_secrets():
+    for text in (
+        "pwd = os.environ.get", "credentials: config.get_secret_value", "auth: configuration-manager", "passcode: your-access-token-goes-here",
+        "pwd=process.env.DATABASE_PASSWORD", "passphrase = " + "abcdefghi" * 20, "pwd: " + "placeholder" * 5, "pwd: " + "changeme" * 5,
+    ):
+        assert [s for s in secrets.all_spans(text) if s[1] == 3] == [], text
+
+
+def test_no_length_hides_a_secret():
+    value = "Xk9fQ2mVb7z"
+    for text in (
+        f"https://{'u' * 70}:{value}@host/", f"{'a' * 300}+ssh://u:{value}@h", f"password{'_part' * 40} = {value}", f"pwd {' ' * 50}:{' ' * 50}'{value}'",
+        f"Authorization: Bearer{' ' * 30}{value}", f"db.password.{'x' * 90}: {value}", f"x = 1; pwd={value}", f"a=b=pwd={value}",
+    ):
+        start = text.index(value)
+        assert any(s <= start and e >= start + len(value) for s, _, e in secrets.all_spans(text)), text
+
+
+def test_long_texts_take_time_in_proportion():
+    import time
+
+    started = time.perf_counter()
+    for text in ("secret_" * 60_000, "token=" * 60_000, "a" * 400_000 + "://", "://a" * 100_000, "bearer " * 60_000, "pwd:" + " " * 400_000, "pwd: 'x" * 60_000):
+        secrets.guessed_spans(text, text.lower(), secrets.PLAIN)
+    assert time.perf_counter() - started < 30
+
+
+def test_words_of_the_corpus(spark):
+    rows = [(i, f"Orchard gates and orchard k8orchard {'x' * i}") for i in range(8)] + [(9, "rare Rare rare"), (10, None)]
+    words = secrets.learned_words(spark.createDataFrame([(i, t or "") for i, t in rows], DOCS))
+    assert words == ["and", "gates", "orchard"]
+    assert secrets.learned_words(spark.createDataFrame([(i, t or "") for i, t in rows], DOCS), 2) == []
+    more = rows + [(20 + i, "gates") for i in range(5)]
+    assert secrets.learned_words(spark.createDataFrame([(i, t or "") for i, t in more], DOCS), 2) == ["gates"]
 
 
 def test_mask_keeps_rows_and_columns(spark):
