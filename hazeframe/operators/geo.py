@@ -125,9 +125,9 @@ def nearest_settlement(coordinates: DataFrame, gazetteer: DataFrame) -> DataFram
             _point(F.col("latitude"), F.col("longitude")).alias("point"),
         )
     )
-    place_cells = _with_cell(places.select("*", _levels().alias("grid"))).select(*CELL, "place")
     # Spark takes an exploded table to be as small as its input, and would broadcast far more than it believes. The
     # size of a stored one it measures when it is shuffled, and then picks the join.
+    place_cells = cut_lineage(_with_cell(places.select("*", _levels().alias("grid"))).select(*CELL, "place"))
     occupied = cut_lineage(place_cells.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n")))
 
     wanted = coordinates.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
@@ -145,7 +145,7 @@ def nearest_settlement(coordinates: DataFrame, gazetteer: DataFrame) -> DataFram
         .withColumn("point", _point(F.col("latitude"), F.col("longitude")))
     )
     cubes = _thinned(_with_neighbours(_with_cell(searched)).join(occupied, list(CELL)), occupied)
-    candidates = cubes.join(place_cells.hint("merge"), list(CELL))
+    candidates = cubes.join(place_cells, list(CELL))
     distance = haversine_km(
         F.col("latitude"), F.col("longitude"), F.col("place.latitude"), F.col("place.longitude")
     )

@@ -43,8 +43,12 @@ def get_spark(app_name: str = "hazeframe", master: str | None = None, **conf: st
     return configure(builder.getOrCreate())
 
 
+#: The temporary folder of a local session that names none.
+_temporary: tempfile.TemporaryDirectory | None = None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for checkpoints: the one the cluster names, else (local mode only) a new temporary one."""
+    """Folder for checkpoints: the one the cluster names, else (local mode only) a temporary one, gone when Python ends."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
@@ -53,7 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        configured = tempfile.mkdtemp(prefix="hazeframe-checkpoint-")
+        global _temporary
+        _temporary = tempfile.TemporaryDirectory(prefix="hazeframe-checkpoint-", ignore_cleanup_errors=True)
+        configured = _temporary.name
     context.setCheckpointDir(configured)
     return configured
 
