@@ -158,3 +158,17 @@ def test_measurement_columns_are_read_as_numbers(spark, small):
 
     for name in ("daily_city_avg", "corr_matrix", "histogram"):
         assert "RLIKE" not in QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_checkpoints_of_a_piece_of_work_are_released(spark):
+    from pathlib import Path
+
+    from hazeframe.session import cut_lineage, ensure_checkpoint_dir, released_checkpoints
+
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    stays = cut_lineage(spark.range(5))
+    before = set(folder.iterdir())
+    with released_checkpoints(spark):
+        assert cut_lineage(cut_lineage(spark.range(7))).count() == 7
+        assert len(set(folder.iterdir()) - before) == 2
+    assert set(folder.iterdir()) == before and stays.count() == 5
