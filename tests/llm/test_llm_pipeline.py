@@ -55,3 +55,24 @@ def test_op2_and_the_pipeline_give_the_same_pieces(spark, medium):
     stage = packing.pack_stage(spark, table(spark, medium, "documents"), medium)
     assert stage.columns == [*own.columns, "ids"]
     assert sorted(map(tuple, own.collect())) == sorted(map(tuple, stage.drop("ids").collect()))
+
+
+def test_a_run_leaves_its_last_table_only(spark, small):
+    """Checkpoints and earlier tables go as soon as the next table is written, and the result can be read again and again."""
+    from pathlib import Path
+
+    from hazeframe.session import ensure_checkpoint_dir
+
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    pieces = corpus_pipeline.run(spark, small)
+    left = set(folder.iterdir()) - before
+    assert [p.name.split("-")[0] for p in left] == ["pipeline"]
+    assert [p.name for p in left.pop().iterdir()] == ["5-packing"]
+    assert pieces.count() == pieces.count() > 0
+
+
+def test_a_run_on_no_documents(spark, tmp_path, small):
+    spark.read.parquet(f"{small}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{small}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
