@@ -456,8 +456,12 @@ def test_a_reading_far_away_makes_no_long_rows(spark):
     assert tuple(row) == (hours, hours, 3.0)
     per_task = grid.groupBy(F.spark_partition_id().alias("task")).count()
     assert per_task.count() > 1
+    pieces = timeseries.hourly_grid(*pair, ["pm25_raw"], margin=(0, 0)).groupBy(timeseries.PART).count()
+    assert pieces.agg(F.max("count"), F.count("*")).first() == (744, 12 * 80 + 1)
+    # Months first, then a shuffle, then hours.
     plan = grid._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Generate explode(sequence(") == 2
+    hours, shuffle, months = (plan.find(x) for x in ("Generate explode(sequence(_from", "RepartitionByExpression", "Generate explode(transform(sequence("))
+    assert 0 <= hours < shuffle < months
 
 
 def test_margins_change_nothing(spark):
