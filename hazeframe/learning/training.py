@@ -29,6 +29,8 @@ from hazeframe.sources.versions import Writing, current
 TARGETS = ("pm25_raw", "pm10_raw")
 BASELINE = "Persistence (baseline)"
 METRICS_SCHEMA = "target string, model string, mae double, rmse double, r2 double, train_seconds double"
+#: Rows of a training task: at least, up to as many tasks as the cluster runs at once, and at most.
+LEAST_ROWS, MOST_ROWS = 4096, 250_000
 
 Trainer = Callable[[DataFrame, dict[str, float]], object]
 
@@ -82,6 +84,20 @@ def side_by_side(spark: SparkSession, task: Callable, items: Sequence) -> list:
         return pool.map(inheritable_thread_target(spark)(task), items)
 
 
+def training_tasks(rows: int, at_once: int) -> int:
+    """Tasks that so many rows are trained in, on a cluster that runs `at_once`."""
+    return max(1, min(-(-rows // LEAST_ROWS), at_once), -(-rows // MOST_ROWS))
+
+
+def by_rows(dataset: DataFrame) -> DataFrame:
+    """A stored data set in as many partitions as its rows need, which keeps each row's neighbours.
+
+    In each of the many jobs of a training a task of trees fills, and sends, sums of all bins of the nodes at hand, however few rows
+    it has. Hours of a fleet are few beside its readings, so partitions by the size of these would multiply that work.
+    """
+    return dataset.coalesce(training_tasks(dataset.count(), dataset.sparkSession.sparkContext.defaultParallelism))
+
+
 def persistence(test: DataFrame, target_column: str) -> DataFrame:
     """Baseline: the next hour equals the current one."""
     return test.withColumn("prediction", F.col(target_column))
@@ -120,7 +136,7 @@ def run_target(
     """
     trainers = TRAINERS if trainers is None else trainers
     spark = measurements.sparkSession
-    dataset = cut_lineage(build_dataset(measurements, sensors, target_column, horizon))
+    dataset = by_rows(cut_lineage(build_dataset(measurements, sensors, target_column, horizon)))
     # As microseconds: a timestamp on the driver would pass through the zone of its operating system.
     micros = split_point(dataset).select(F.unix_micros("split_ts").alias("at")).first()["at"]
     train, test = time_split(dataset, split_ts=F.timestamp_micros(F.lit(micros)))

@@ -182,6 +182,32 @@ def test_run_target(spark, medium, tmp_path):
     assert again.agg(F.sum("prediction")).first()[0] == pytest.approx(want)
 
 
+def test_training_tasks_follow_the_rows(spark):
+    """However many partitions a data set is made in, its models see as many as its rows need, and the same rows."""
+    assert [training.training_tasks(n, 12) for n in (0, 1, 5000, 10**6, 10**7)] == [1, 1, 2, 12, 40]
+    rng = np.random.default_rng(3)
+    rows = [(d, T0 + dt.timedelta(hours=h), float(rng.normal(20, 5)), None, None, None) for d in "ABCDE" for h in range(150)]
+    schema = "device_id string, timestamp timestamp, pm25_raw double, no2_raw double, temp_internal double, humidity_internal double"
+    sensors = spark.createDataFrame([(d, "x") for d in "ABCDE"], "device_id string, city string")
+    seen, before = [], spark.conf.get("spark.sql.shuffle.partitions")
+
+    def trainer(train, fills):
+        seen.append((train.rdd.getNumPartitions(), train.count()))
+        return models.ridge(train, fills)
+
+    try:
+        scores = []
+        for partitions in ("3", "40"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            run = training.run_target(spark.createDataFrame(rows, schema), sensors, "pm25_raw", {"Ridge": trainer})
+            scores.append([(r.model, pytest.approx(r.mae), pytest.approx(r.rmse)) for r in run.metrics.collect()])
+            assert run.predictions.count() > 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [n for n, _ in seen] == [1, 1] and seen[0] == seen[1]
+    assert [[c.expected if hasattr(c, "expected") else c for c in r] for r in scores[0]] == [list(r) for r in scores[1]]
+
+
 def test_best_model_ignores_the_baseline(spark):
     rows = [("t", training.BASELINE, 0.1, 0.1, 1.0, 0.0), ("t", "Ridge", 2.0, 2.0, 0.5, 1.0), ("t", "MLP", 1.0, 2.0, 0.5, 1.0)]
     assert training.best_model(spark.createDataFrame(rows, training.METRICS_SCHEMA)).first().model == "MLP"
