@@ -38,6 +38,7 @@ class ByteBpe:
         for piece, rank in ranks.items():
             self.pieces[rank] = piece
         self.split = regex.compile(pattern).findall
+        self.usual = pattern == public_tokenizers.PATTERN
         self.automaton = ahocorasick.Automaton()
         # What the last merge of each token joins; none for single bytes.
         self.halves: list[tuple[int, int] | None] = [None] * len(self.pieces)
@@ -48,8 +49,9 @@ class ByteBpe:
                 if len(halves) > 2 or self.pieces[halves[0]] + self.pieces[halves[1]] != piece:
                     continue
                 self.halves[rank] = halves[0], halves[1]
-            self.automaton.add_word(piece.decode("latin-1"), (rank, len(piece)))
+            self.automaton.add_word(piece.decode("latin-1"), rank)
         self.automaton.make_automaton()
+        self.sizes = [len(piece) for piece in self.pieces]
         # For each token, the longest token that is a proper prefix of it; -1 for single bytes.
         self.shorter = [-1] * len(self.pieces)
         for piece, rank in ranks.items():
@@ -59,7 +61,7 @@ class ByteBpe:
                     break
         self.compatible: dict[tuple[int, int], bool] = {}
         self.ends: dict[tuple[int, int], list[int]] = {}
-        self.stretches = Remembered(lambda key: self.stretch(part_of(key)), STRETCHES)
+        self.stretches = Remembered(self.keyed, STRETCHES)
         self.words = Remembered(lambda word: tuple(self.word(word.encode())), WORDS)
 
     @classmethod
@@ -127,31 +129,51 @@ class ByteBpe:
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        text, size, fits = data.decode("latin-1"), len(data), self.fits
-        # The longest token at each place that greedy steps reach; other places are looked up when they are met.
-        longest, place = {}, 0
-        for _, (rank, length) in self.automaton.iter_long(text):
-            longest[place] = rank
-            place += length
+        text, size, sizes, shorter = data.decode("latin-1"), len(data), self.sizes, self.shorter
+        known, fits = self.compatible.get, self.fits
+        # Often the longest token at each place fits the one before it.
         ids: list[int] = []
-        dead, place, token = bytearray(size + 1), 0, longest[0]
+        left, place, steps = -1, 0, self.automaton.iter_long(text)
+        for end, token in steps:
+            if left >= 0 and not (fits(left, token) if (fit := known((left, token))) is None else fit):
+                break
+            ids.append(token)
+            left, place = token, end + 1
+        else:
+            return ids
+        # The longest token at each place that greedy steps reach; other places are looked up when they are met.
+        longest, at = {place: token}, end + 1
+        for end, later in steps:
+            longest[at] = later
+            at = end + 1
+        at = 0
+        for earlier in ids:
+            longest[at] = earlier
+            at += sizes[earlier]
+        dead, token = bytearray(size + 1), shorter[token]
         while True:
-            end = place + len(self.pieces[token])
-            if not dead[end] and (not ids or fits(ids[-1], token)):
-                ids.append(token)
-                if end == size:
-                    return ids
-                place = end
-                token = longest.get(place)
-                if token is None:
-                    token = longest[place] = next(self.automaton.iter_long(text, place))[1][0]
-                continue
-            token = self.shorter[token]
             while token < 0:  # a dead end: the token before it must be shorter
                 dead[place] = 1
                 token = ids.pop()
-                place -= len(self.pieces[token])
-                token = self.shorter[token]
+                place -= sizes[token]
+                token = shorter[token]
+            end = place + sizes[token]
+            if dead[end] or ids and not (fits(ids[-1], token) if (fit := known((ids[-1], token))) is None else fit):
+                token = shorter[token]
+                continue
+            ids.append(token)
+            if end == size:
+                return ids
+            place = end
+            token = longest.get(place)
+            if token is None:
+                token = longest[place] = next(self.automaton.iter_long(text, place))[1]
+
+    def keyed(self, key: str) -> tuple[int, ...]:
+        """The ids of the stretch of a key."""
+        if self.usual and key.isascii() and key.isalpha():  # a space and letters: one match of the pattern
+            return tuple(self.word(b" " + key.encode()))
+        return self.stretch(part_of(key))
 
     def stretch(self, text: str) -> tuple[int, ...]:
         words = self.split(text)

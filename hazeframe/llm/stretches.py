@@ -6,8 +6,8 @@ import re
 from collections.abc import Callable
 from typing import Any
 
-#: White space before a space, or a space at the beginning: there, splitting at spaces isn't enough.
-_uneven = re.compile(r"\s |\A ").search
+#: A space after white space: there, and at a space at the beginning, splitting at spaces isn't enough.
+_uneven = re.compile(r" (?<=\s )").search
 _cuts = re.compile(r"(?<=\S)(?= )").split
 
 
@@ -21,7 +21,7 @@ def stretches(text: str) -> list[str]:
     """
     if not text:
         return []
-    if _uneven(text):
+    if text[0] == " " or _uneven(text):
         return [p[1:] if p[0] == " " and " " not in p[1:] else p + " " for p in _cuts(text)]
     keys = text.split(" ")
     keys[0] += " "

@@ -74,6 +74,22 @@ def test_bpe_on_long_words(bpe, tik):
         assert bpe.encode(word) == tik.encode_ordinary(word)
 
 
+def test_words_of_letters_are_not_split_again(bpe, tik):
+    """New words of plain letters after a space need no pattern; greedy and other segmentations are the library's, for any pattern."""
+    rng, texts = random.Random(8), []
+    for _ in range(3000):
+        words = ("".join(rng.choice("aeinorstéß") for _ in range(rng.randint(1, 14))) for _ in range(4))
+        texts.append(rng.choice([" ", "\n ", ""]) + rng.choice([" ", "  ", "\u3000 ", ", "]).join(words))
+    own = byte_bpe.ByteBpe(bpe.ranks)
+    asked, split = [], own.split
+    own.split = lambda text: asked.append(text) or split(text)
+    for text in texts:
+        assert own.encode(text) == tik.encode_ordinary(text)
+    assert asked and not any(a[0] == " " and a[1:].isascii() and a[1:].isalpha() for a in asked)
+    single = byte_bpe.ByteBpe(bpe.ranks, r"(?s:.)")
+    assert single.encode("ab cd") == [bpe.ranks[c.encode()] for c in "ab cd"]
+
+
 def test_token_digests_of_odd_rows(spark):
     rows = [(1, None), (2, ""), (2, ""), (None, "a b"), (3, " ")]
     docs = spark.createDataFrame(rows, DOCS)
